@@ -1,8 +1,9 @@
 """The whole load as one composition of the library's operators.
 
-``build_warehouse`` goes from raw source rows to the star schema in
-memory-free, lazily composed DataFrames; the only eager steps are the
-checkpoints inside surrogate-key assignment.  :mod:`starloom.plans.pipeline`
+``build_warehouse`` goes from raw source rows to the star schema as
+composed DataFrames, with reliable checkpoints where a frame has several
+consumers (classified sources, stage-2 tables, the fact) and inside
+surrogate-key assignment.  :mod:`starloom.plans.pipeline`
 runs the same steps with every table written to storage and audited.
 """
 
@@ -17,6 +18,7 @@ from ..operators import bridge as B
 from ..operators import dims as Dm
 from ..operators import fact as Fa
 from ..operators import stage as St
+from ..session import materialize
 
 PRODUCT_KEY = "product_source_key"
 # s2 column → product dimension column
@@ -69,8 +71,11 @@ class Warehouse(NamedTuple):
 
 
 def build_stage1(raw_reviews: DataFrame, raw_products: DataFrame, ratio_mode: str = "half_up") -> Stage1:
-    s1_review, rev_rejects = St.review_outputs(St.classify_reviews(raw_reviews, ratio_mode))
-    po = St.product_outputs(St.classify_products(raw_products))
+    """Classify both sources once (checkpointed), then derive rows and rejects."""
+    reviews = materialize(St.classify_reviews(raw_reviews, ratio_mode))
+    products = materialize(St.classify_products(raw_products))
+    s1_review, rev_rejects = St.review_outputs(reviews)
+    po = St.product_outputs(products)
     return Stage1(s1_review, po.products, po.categories, po.related, rev_rejects.unionByName(po.rejects))
 
 
@@ -79,6 +84,8 @@ def build_warehouse(raw_reviews: DataFrame, raw_products: DataFrame, as_of: str,
                     related_mode: str = "literal") -> Warehouse:
     s1 = build_stage1(raw_reviews, raw_products, ratio_mode)
     s2 = St.dedup_stage(s1.products, s1.reviews, s1.categories, s1.related, related_mode)
+    s2 = s2._replace(products=materialize(s2.products), reviews=materialize(s2.reviews),
+                     categories=materialize(s2.categories), related=materialize(s2.related))
     date = date_dim if date_dim is not None else Dm.date_dim_covering(s2.reviews, "r_review_datetime")
     reviewer, _ = Dm.scd1_upsert(None, reviewer_rows(s2.reviews))
     product, _ = Dm.scd2_merge(None, product_snapshot(s2.products), PRODUCT_KEY,
@@ -89,6 +96,7 @@ def build_warehouse(raw_reviews: DataFrame, raw_products: DataFrame, as_of: str,
                                                         F.col("r_review_title").alias("review_title")))
     related, _, rq = B.load_related(s2.related, product)
     fact, fq, _ = Fa.load_fact(St.review_view(s2.reviews), reviewer, product, junk, date)
+    fact = materialize(fact)
     quarantine = (fq.select(F.lit("review_fact").alias("entity"), F.col("reject_reason").alias("reason"),
                             F.to_json(F.struct("r_reviewer_source_key", "r_product_key",
                                                "date_reviewed_key")).alias("row"))

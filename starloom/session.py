@@ -104,6 +104,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df, eager: bool = True):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where one computed frame feeds several consumers (or a key
+    assignment), so a lost executor recomputes from the checkpoint, not
+    from the raw input.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written intermediates."""
     base = ensure_checkpoint_dir(spark)
@@ -116,4 +127,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["RECOMMENDED_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path",
-           "local_path", "ship_package"]
+           "local_path", "ship_package", "materialize"]
