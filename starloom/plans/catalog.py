@@ -716,3 +716,335 @@ def l1(spark, sf):
 def t3(spark, sf):
     """A page of orders in a stated order (paging is the feature)."""
     return U.page(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], 25, 10)
+
+
+# Sources and sinks -----------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from ..session import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("s1_csv_scan", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def s1(spark, sf):
+    """Documents written as CSV (quotes, commas, newlines in text) and scanned back."""
+    from ..sources import csv as C
+    path = _scratch(spark, "docs_csv")
+    C.write_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
+    good, _ = C.split_malformed(C.csv_scan(spark, path), "documents")
+    return good
+
+
+@register("s2_malformed_row_split", """SELECT 'orders' AS entity, 'malformed record' AS reason,
+  CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) AS row
+FROM orders WHERE o_orderstatus = 'P'""")
+def s2q(spark, sf):
+    """Order lines missing their last field (status 'P') are quarantined as malformed."""
+    from ..sources import csv as C
+    path = _scratch(spark, "orders_lines")
+    o = table(spark, sf, "orders")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+                       F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")))
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    scan = C.csv_scan(spark, path, columns=["orderkey", "custkey", "priority"], multi_line=False, header=False)
+    parsed = _scratch(spark, "orders_parsed")
+    scan.write.mode("overwrite").parquet(parsed)   # parse once; the corrupt column is then a plain column
+    return C.split_malformed(spark.read.parquet(parsed), "orders")[1]
+
+
+@register("s3_table_scan", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+def s3(spark, sf):
+    from ..sources import sinks
+    return sinks.table_scan(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderdate"])
+
+
+@register("s4_bulk_append", O.query(" SELECT * FROM s1_review"))
+def s4(spark, sf):
+    from ..sources import sinks
+    path = _scratch(spark, "s1_review")
+    sinks.bulk_append(warehouse(spark, sf).stage1.reviews, path)
+    return spark.read.parquet(path)
+
+
+@register("s5_row_insert", O.query(" SELECT * FROM s2_product"))
+def s5(spark, sf):
+    from ..sources import sinks
+    wh = warehouse(spark, sf)
+    kept, _ = St.stage2_products(wh.stage1.products)
+    path = _scratch(spark, "s2_product")
+    sinks.bulk_append(kept, path)
+    sinks.bulk_append(wh.stage2.placeholders, path)
+    return spark.read.parquet(path)
+
+
+@register("s9_to_json_rows", O.query(""" SELECT r_reviewer_source_key, r_product_key,
+  strftime(r_review_datetime, '%Y-%m-%dT%H:%M:%S') AS review_datetime_iso FROM s2_review"""))
+def s9(spark, sf):
+    from ..sources import sinks
+    js = sinks.to_json_rows(warehouse(spark, sf).stage2.reviews)
+    return js.select(*[F.get_json_object("json", f"$.{c}").alias(n) for c, n in (
+        ("r_reviewer_source_key", "r_reviewer_source_key"), ("r_product_key", "r_product_key"),
+        ("r_review_datetime", "review_datetime_iso"))])
+
+
+@register("s10_csv_to_json_keyed", O.query(""" SELECT reviewerID AS key,
+  arg_max(asin, struct_pack(o := CAST(_c0 AS BIGINT), a := asin)) AS last_asin FROM raw_reviews
+  GROUP BY reviewerID"""))
+def s10(spark, sf):
+    """Rows keyed by reviewer; the last row in file order (the index column) wins.
+
+    The stand-in's index repeats for a few line items, so the product key
+    breaks those ties.
+    """
+    from ..sources import sinks
+    r = S.raw_reviews(spark, sf).withColumn("_order", F.struct(F.col("_c0").cast("bigint"), F.col("asin")))
+    keyed = sinks.keyed_last_wins(r, "reviewerID", "_order")
+    return keyed.select(F.col("reviewerID").alias("key"), F.get_json_object("json", "$.asin").alias("last_asin"))
+
+
+@register("s11_csv_to_json_typed", None)
+def s11(spark, sf):
+    """Each raw product cell typed (JSON value, number, or string); no SQL oracle (VARIANT typing)."""
+    from ..sources import sinks
+    return sinks.typed_json_rows(S.raw_products(spark, sf, late=True))
+
+
+@register("p8_infer_scalar", None)
+def p8(spark, sf):
+    """Type of each event cell under the notebook rule; no SQL oracle (VARIANT typing)."""
+    from ..functions.infer import cell_type, infer_scalar
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", cell_type(infer_scalar(F.col("value").cast("string"))).alias("value_type"),
+                     cell_type(infer_scalar("props")).alias("props_type"))
+
+
+@register("s12_csv_dump", O.query(" SELECT * FROM s2_product_category"))
+def s12(spark, sf):
+    from ..sources import csv as C
+    path = _scratch(spark, "category_dump")
+    C.csv_dump(warehouse(spark, sf).stage2.categories, path)
+    good, _ = C.split_malformed(C.csv_scan(spark, path, columns=list(St.S1_CATEGORY_COLUMNS), header=False),
+                                "dump")
+    return good
+
+
+@register("k2_not_null_key", O.query(""" SELECT 's1_review' AS table_name,
+  count(*) FILTER (WHERE r_reviewer_source_key IS NULL OR r_product_key IS NULL) AS null_keys FROM s1_review
+UNION ALL SELECT 's1_product', count(*) FILTER (WHERE p_product_source_key IS NULL) FROM s1_product"""))
+def k2(spark, sf):
+    wh = warehouse(spark, sf)
+    r = wh.stage1.reviews.agg(F.count(F.when(F.col("r_reviewer_source_key").isNull()
+                                            | F.col("r_product_key").isNull(), 1)).alias("null_keys"))
+    p = wh.stage1.products.agg(F.count(F.when(F.col("p_product_source_key").isNull(), 1)).alias("null_keys"))
+    return (r.select(F.lit("s1_review").alias("table_name"), "null_keys")
+            .unionByName(p.select(F.lit("s1_product").alias("table_name"), "null_keys")))
+
+
+@register("l11_unknown_member", O.query(""" SELECT * FROM reviewer_dim
+UNION ALL SELECT -1, '*Unknown', '*Unknown username'"""))
+def l11(spark, sf):
+    wh = warehouse(spark, sf)
+    return wh.reviewer.unionByName(Dm.unknown_reviewer_member(spark))
+
+
+# Audit log -------------------------------------------------------------------------------
+
+def audit_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of two batches: batch 1 loaded the stand-in (counts from its rows), batch 2 is running."""
+    from ..operators import audit as A
+
+    def build():
+        wh = warehouse(spark, sf)
+        rc = St.classify_reviews(S.raw_reviews(spark, sf))
+        pc = St.classify_products(S.raw_products(spark, sf))
+        t0, t1, t2, t3 = ("2024-01-01 00:00:00", "2024-01-01 00:10:00", "2024-01-01 00:20:00",
+                          "2024-01-01 01:00:00")
+        b2 = "2024-02-01 00:00:00"
+        ev = [
+            A.batch_event(spark, 1, "review warehouse load", A.RUNNING, t0, 1, 2024, 1),
+            A.process_event(spark, 11, 1, "ingest", A.RUNNING, t0, 2),
+            A.task_event(None, spark, 1101, 11, "s1_review", A.RUNNING, t0, 3),
+            A.task_event(A.outcome_counts(rc), spark, 1101, 11, "s1_review", A.COMPLETED, t1, 4),
+            A.task_event(None, spark, 1102, 11, "s1_product", A.RUNNING, t1, 5),
+            A.task_event(A.outcome_counts(pc), spark, 1102, 11, "s1_product", A.COMPLETED, t2, 6),
+            A.process_event(spark, 11, 1, "ingest", A.COMPLETED, t2, 7),
+            A.process_event(spark, 12, 1, "stage_1_to_stage_2", A.RUNNING, t2, 8),
+            A.task_event(None, spark, 1201, 12, "s2_review", A.RUNNING, t2, 9),
+            A.task_event(wh.stage2.reviews.agg(F.count(F.lit(1)).alias("records_out")),
+                         spark, 1201, 12, "s2_review", A.COMPLETED, t3, 10),
+            A.process_event(spark, 12, 1, "stage_1_to_stage_2", A.COMPLETED, t3, 11),
+            A.batch_event(spark, 1, "review warehouse load", A.COMPLETED, t3, 12),
+            A.batch_event(spark, 2, "review warehouse load", A.RUNNING, b2, 1, 2024, 2),
+            A.process_event(spark, 21, 2, "ingest", A.RUNNING, b2, 2),
+            A.task_event(None, spark, 2101, 21, "s1_review", A.RUNNING, b2, 3),
+        ]
+        out = ev[0]
+        for e in ev[1:]:
+            out = out.unionByName(e)
+        return out
+    return _memo(("audit", spark.sparkContext.applicationId, sf), build)
+
+
+AUDIT_EVENTS = """, ev AS (
+  SELECT * FROM (VALUES
+    ('batch', 1, NULL, 'review warehouse load', 2024, 1, 'Running', TIMESTAMP '2024-01-01 00:00:00', 1),
+    ('process', 11, 1, 'ingest', NULL, NULL, 'Running', TIMESTAMP '2024-01-01 00:00:00', 2),
+    ('task', 1101, 11, 's1_review', NULL, NULL, 'Running', TIMESTAMP '2024-01-01 00:00:00', 3),
+    ('task', 1101, 11, 's1_review', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 00:10:00', 4),
+    ('task', 1102, 11, 's1_product', NULL, NULL, 'Running', TIMESTAMP '2024-01-01 00:10:00', 5),
+    ('task', 1102, 11, 's1_product', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 00:20:00', 6),
+    ('process', 11, 1, 'ingest', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 00:20:00', 7),
+    ('process', 12, 1, 'stage_1_to_stage_2', NULL, NULL, 'Running', TIMESTAMP '2024-01-01 00:20:00', 8),
+    ('task', 1201, 12, 's2_review', NULL, NULL, 'Running', TIMESTAMP '2024-01-01 00:20:00', 9),
+    ('task', 1201, 12, 's2_review', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 01:00:00', 10),
+    ('process', 12, 1, 'stage_1_to_stage_2', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 01:00:00', 11),
+    ('batch', 1, NULL, 'review warehouse load', NULL, NULL, 'Completed', TIMESTAMP '2024-01-01 01:00:00', 12),
+    ('batch', 2, NULL, 'review warehouse load', 2024, 2, 'Running', TIMESTAMP '2024-02-01 00:00:00', 1),
+    ('process', 21, 2, 'ingest', NULL, NULL, 'Running', TIMESTAMP '2024-02-01 00:00:00', 2),
+    ('task', 2101, 21, 's1_review', NULL, NULL, 'Running', TIMESTAMP '2024-02-01 00:00:00', 3)
+  ) AS t(level, id, parent_id, description, year, month, status, event_ts, seq)),
+cnt AS (
+  SELECT 1101 AS cid, 4 AS cseq, count(*) AS records_in, count(reject_reason) AS records_failed,
+         count(*) - count(reject_reason) AS records_out FROM rc
+  UNION ALL SELECT 1102, 6, count(*), count(reject_reason), count(*) - count(reject_reason) FROM pc
+  UNION ALL SELECT 1201, 10, NULL, NULL, count(*) FROM s2_review),
+events AS (SELECT ev.*, cnt.records_in, cnt.records_failed, cnt.records_out
+           FROM ev LEFT JOIN cnt ON ev.level = 'task' AND ev.id = cnt.cid AND ev.seq = cnt.cseq),
+latest AS (
+  SELECT level, id, max(parent_id) AS parent_id, max(year) AS year, max(month) AS month,
+         min(event_ts) AS start_ts,
+         arg_max(status, (event_ts, seq)) AS status, arg_max(event_ts, (event_ts, seq)) AS last_ts,
+         arg_max(description, (event_ts, seq)) AS description,
+         arg_max(records_in, (event_ts, seq)) AS records_in,
+         arg_max(records_failed, (event_ts, seq)) AS records_failed,
+         arg_max(records_out, (event_ts, seq)) AS records_out
+  FROM events GROUP BY level, id),
+import_batch AS (SELECT id AS ib_id, description AS ib_description, year AS ib_year, month AS ib_month,
+  start_ts AS ib_start, CASE WHEN status <> 'Running' THEN last_ts END AS ib_end, status AS ib_status
+  FROM latest WHERE level = 'batch'),
+import_batch_process AS (SELECT id AS ibp_id, parent_id AS ib_id, description AS ib_description,
+  start_ts AS ib_start, CASE WHEN status <> 'Running' THEN last_ts END AS ib_end, status AS ib_status
+  FROM latest WHERE level = 'process'),
+import_batch_process_task AS (SELECT id AS ibpt_id, parent_id AS ibp_id, description AS ib_description,
+  start_ts AS ib_start, CASE WHEN status <> 'Running' THEN last_ts END AS ib_end, status AS ib_status,
+  records_in AS ibpt_records_in, records_failed AS ibpt_records_failed, records_out AS ibpt_records_out,
+  CAST(NULL AS BIGINT) AS ibpt_records_type_2, CAST(NULL AS BIGINT) AS ibpt_records_type_1,
+  CAST(NULL AS BIGINT) AS ibpt_records_dim_new
+  FROM latest WHERE level = 'task')
+"""
+
+
+def _audit(final: str) -> str:
+    return O.query(AUDIT_EVENTS + final)
+
+
+@register("m1_start_batch", _audit(" SELECT * FROM import_batch"))
+def m1(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch(audit_log(spark, sf))
+
+
+@register("m2_end_batch", _audit(" SELECT ib_id, ib_end, ib_status FROM import_batch WHERE ib_status <> 'Running'"))
+def m2(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch(audit_log(spark, sf)).filter(F.col("ib_status") != A.RUNNING) \
+        .select("ib_id", "ib_end", "ib_status")
+
+
+@register("m3_start_end_process", _audit(" SELECT * FROM import_batch_process"))
+def m3(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch_process(audit_log(spark, sf))
+
+
+@register("m4_start_end_task", _audit(" SELECT * FROM import_batch_process_task"))
+def m4(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch_process_task(audit_log(spark, sf))
+
+
+@register("a5_load_counts", _audit(""" SELECT ibpt_id, ibpt_records_in, ibpt_records_failed, ibpt_records_out
+FROM import_batch_process_task WHERE ib_status = 'Completed'"""))
+def a5(spark, sf):
+    from ..operators import audit as A
+    t = A.import_batch_process_task(audit_log(spark, sf)).filter(F.col("ib_status") == A.COMPLETED)
+    return t.select("ibpt_id", "ibpt_records_in", "ibpt_records_failed", "ibpt_records_out")
+
+
+@register("m5_record_failure", _audit(""" SELECT level, id, 'Failed' AS status FROM (
+  SELECT level, id, row_number() OVER (PARTITION BY level ORDER BY start_ts DESC, id DESC) AS rn
+  FROM latest WHERE status = 'Running') WHERE rn = 1"""))
+def m5(spark, sf):
+    from ..operators import audit as A
+    return A.record_failure(audit_log(spark, sf), "2024-02-01 00:05:00", 4, "task failed").select(
+        "level", "id", "status")
+
+
+@register("s8_error_log_sink", _audit(""" SELECT level AS entity, id, 'task failed' AS message FROM (
+  SELECT level, id, row_number() OVER (PARTITION BY level ORDER BY start_ts DESC, id DESC) AS rn
+  FROM latest WHERE status = 'Running') WHERE rn = 1 AND level = 'task'"""))
+def s8(spark, sf):
+    """A failed task's error row: the newest running task is marked Failed with its message."""
+    from ..operators import audit as A
+    ev = A.record_failure(audit_log(spark, sf), "2024-02-01 00:05:00", 4, "task failed")
+    return ev.filter(F.col("level") == "task").select(F.col("level").alias("entity"), "id", "message")
+
+
+@register("m6_latest_running_batch", _audit(""" SELECT ib_id FROM import_batch WHERE ib_status = 'Running'
+ORDER BY ib_start DESC, ib_id DESC LIMIT 1"""))
+def m6(spark, sf):
+    from ..operators import audit as A
+    return A.latest_running_batch(audit_log(spark, sf))
+
+
+@register("t2_top1_latest", _audit(""" SELECT ibpt_id, ib_start FROM import_batch_process_task
+ORDER BY ib_start DESC, ibpt_id DESC LIMIT 1"""))
+def t2(spark, sf):
+    from ..operators import audit as A
+    t = A.import_batch_process_task(audit_log(spark, sf))
+    return t.orderBy(F.col("ib_start").desc(), F.col("ibpt_id").desc()).limit(1).select("ibpt_id", "ib_start")
+
+
+@register("m7_status_set", _audit(" SELECT level, status, count(*) AS n FROM latest GROUP BY level, status"))
+def m7(spark, sf):
+    from ..operators import audit as A
+    return A.latest_state(audit_log(spark, sf)).groupBy("level", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("v10_status_filter", _audit(" SELECT ib_id, ib_status FROM import_batch WHERE ib_status = 'Running'"))
+def v10(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch(audit_log(spark, sf)).filter(F.col("ib_status") == A.RUNNING).select("ib_id", "ib_status")
+
+
+@register("a4_max_scalar", _audit(" SELECT max(ib_id) AS max_ib_id FROM import_batch"))
+def a4(spark, sf):
+    from ..operators import audit as A
+    return A.import_batch(audit_log(spark, sf)).agg(F.max("ib_id").alias("max_ib_id"))
+
+
+@register("v11_latest_equals_max", _audit(""" SELECT * FROM import_batch
+WHERE ib_id = (SELECT max(ib_id) FROM import_batch)"""))
+def v11(spark, sf):
+    from ..operators import audit as A
+    b = A.import_batch(audit_log(spark, sf))
+    return b.join(F.broadcast(b.agg(F.max("ib_id").alias("ib_id"))), "ib_id")
+
+
+@register("q3_import_statistics", _audit(""" SELECT t.*, p.ib_id, p.ib_description AS process_description,
+  p.ib_status AS process_status, b.ib_description AS batch_description, b.ib_status AS batch_status
+FROM import_batch_process_task t JOIN import_batch_process p ON t.ibp_id = p.ibp_id
+JOIN import_batch b ON p.ib_id = b.ib_id WHERE b.ib_id = (SELECT max(ib_id) FROM import_batch)"""))
+def q3(spark, sf):
+    from ..operators import audit as A
+    return A.import_statistics(audit_log(spark, sf))
+
+
+@register("j9_audit_join", _audit(""" SELECT t.ibpt_id, t.ib_description, p.ibp_id, p.ib_id
+FROM import_batch_process_task t JOIN import_batch_process p ON t.ibp_id = p.ibp_id"""))
+def j9(spark, sf):
+    from ..operators import audit as A
+    log = audit_log(spark, sf)
+    t = A.import_batch_process_task(log)
+    p = A.import_batch_process(log).select("ibp_id", "ib_id")
+    return t.join(p, "ibp_id").select("ibpt_id", "ib_description", "ibp_id", "ib_id")
