@@ -29,6 +29,23 @@ MISSING_DESCRIPTORS = "unknown review descriptors"
 MISSING_DATE = "date outside date dimension"
 
 
+def descriptor_lookup(junk_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the junk dimension by whether its hash identifies one row.
+
+    Returns (hash → key for unique hashes, full rows of colliding hashes).
+    The first side carries no text, so the fact resolution shuffles 32-byte
+    hashes instead of review texts; the second is empty unless two
+    different (text, title) pairs share an md5, and then those reviews are
+    matched on the texts themselves, so the lookup stays exact.
+    """
+    per_hash = junk_dim.groupBy("descriptor_hash").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("review_descriptors_key").alias("review_descriptors_key"))
+    unique = per_hash.filter(F.col("_n") == 1).select("descriptor_hash", "review_descriptors_key")
+    collided = junk_dim.join(per_hash.filter(F.col("_n") > 1).select("descriptor_hash"), "descriptor_hash",
+                             "left_semi")
+    return unique, collided
+
+
 def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFrame,
                       junk_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Join the four lookups; adds the surrogate keys and a ``reject_reason``.
@@ -36,39 +53,53 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
     The date dimension is bounded (one row per calendar day) and is
     broadcast; the other dimensions grow with the data and are left to AQE
     (broadcast when measured small, else sort-merge with skew splitting).
+    Review texts are reduced to their hash before any shuffle; see
+    :func:`descriptor_lookup` for the exact handling of hash collisions.
     """
     r = reviews.select(
         F.col("r_reviewer_source_key").alias("_rsk"), F.col("r_product_key").alias("_psk"),
+        descriptor_hash("r_review_text", "r_review_title").alias("_h"),
         F.col("r_review_text").alias("_text"), F.col("r_review_title").alias("_title"),
         F.col("r_review_date_key").alias("date_reviewed_key"),
         F.col("r_helpfulness_rating").cast("double").alias("helpfulness_rating"),
         F.col("r_review_score").cast("double").alias("review_rating"))
+    unique, collided = descriptor_lookup(junk_dim)
+    rest = [c for c in r.columns if c not in ("_text", "_title")]
+    by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
+    # Reviews whose hash collides in the dimension: match on hash + both texts.
+    coll = collided.select(F.col("descriptor_hash").alias("_jh"), F.col("review_text").alias("_jt"),
+                           F.col("review_title").alias("_jti"),
+                           F.col("review_descriptors_key").alias("_ck"))
+    coll_keys = (r.join(coll, (F.col("_h") == F.col("_jh")) & (F.col("_text") == F.col("_jt"))
+                        & (F.col("_title") == F.col("_jti")), "inner")
+                 .select("_rsk", "_psk", "_h", "date_reviewed_key", "_ck"))
+    by_hash = (by_hash.join(coll_keys, ["_rsk", "_psk", "_h", "date_reviewed_key"], "left")
+               .withColumn("review_descriptors_key", F.coalesce("review_descriptors_key", "_ck"))
+               .drop("_ck"))
     rv = reviewer_dim.select(F.col("reviewer_source_key").alias("_rsk"), "reviewer_key")
     pr = current_products(product_dim).select(F.col("product_source_key").alias("_psk"), "product_key")
-    jk = junk_dim.select(F.col("descriptor_hash").alias("_jh"), F.col("review_text").alias("_jt"),
-                         F.col("review_title").alias("_jti"), "review_descriptors_key")
     dd = F.broadcast(date_dim.select(F.col("date_key").alias("_dk")).distinct())
-    j = (r.join(rv, "_rsk", "left").join(pr, "_psk", "left")
-         .withColumn("_h", descriptor_hash("_text", "_title"))
-         .join(jk, (F.col("_h") == F.col("_jh")) & (F.col("_text") == F.col("_jt"))
-               & (F.col("_title") == F.col("_jti")), "left")
+    j = (by_hash.join(rv, "_rsk", "left").join(pr, "_psk", "left")
          .join(dd, F.col("date_reviewed_key") == F.col("_dk"), "left"))
     reason = (F.when(F.col("reviewer_key").isNull(), F.lit(MISSING_REVIEWER))
               .when(F.col("product_key").isNull(), F.lit(MISSING_PRODUCT))
               .when(F.col("review_descriptors_key").isNull(), F.lit(MISSING_DESCRIPTORS))
               .when(F.col("_dk").isNull(), F.lit(MISSING_DATE)))
-    return j.withColumn(REASON, reason)
+    return j.select("_rsk", "_psk", *FACT_COLUMNS, "_dk", reason.alias(REASON))
 
 
 def load_fact(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFrame,
-              junk_dim: DataFrame, date_dim: DataFrame, existing: DataFrame | None = None
-              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+              junk_dim: DataFrame, date_dim: DataFrame, existing: DataFrame | None = None,
+              resolved: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (rows to append, quarantined rows, counts).
 
-    ``counts`` has ``records_in``, ``failed`` and ``out`` computed from the
-    classified rows by one aggregate.
+    ``counts`` has ``records_in`` and ``unresolved`` computed from the
+    classified rows by one aggregate.  Pass ``resolved`` (the output of
+    :func:`resolve_fact_keys`, e.g. written once by the pipeline) so the
+    three outputs share one resolution pass instead of repeating the joins.
     """
-    j = resolve_fact_keys(reviews, reviewer_dim, product_dim, junk_dim, date_dim)
+    j = resolved if resolved is not None else resolve_fact_keys(
+        reviews, reviewer_dim, product_dim, junk_dim, date_dim)
     unresolved = j.filter(F.col(REASON).isNotNull()).select(
         F.col("_rsk").alias("r_reviewer_source_key"), F.col("_psk").alias("r_product_key"),
         "date_reviewed_key", REASON)

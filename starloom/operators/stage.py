@@ -38,10 +38,29 @@ S1_CATEGORY_COLUMNS = ["pc_product_source_key", "pc_category"]
 S1_RELATED_COLUMNS = ["rl_product_source_key", "rl_related_product_source_key", "rl_relation"]
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _raw_json(cols: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
 
 
+def _with_malformed(raw: DataFrame, rules: list) -> list:
+    """A scan's malformed rows (wrong field count) fail before any other rule."""
+    if CORRUPT in raw.columns:
+        return [(V.MALFORMED, F.col(CORRUPT).isNotNull()), *rules]
+    return rules
+
+
+def _source_row(raw: DataFrame, reason: Column) -> Column:
+    """The source row as JSON, only for rejected rows (the raw line for malformed ones)."""
+    present = [c for c in raw.columns if c != CORRUPT]
+    row = _raw_json(present)
+    if CORRUPT in raw.columns:
+        row = F.coalesce(F.col(CORRUPT), row)
+    return F.when(reason.isNotNull(), row)
+
+
 # --------------------------------------------------------------------------- reviews
 
 def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up") -> DataFrame:
@@ -62,7 +81,7 @@ def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up") -> DataFrame:
         (V.REASONS["helpful"], ~helpful_ok),
         (V.REASONS["datetime"], ts.isNull()),
     ]
-    present = [c for c in raw.columns if not c.startswith("_corrupt")]
+    reason = V.first_failure(_with_malformed(raw, rules))
     return df.select(
         rid.alias("r_reviewer_source_key"), pkey.alias("r_product_key"),
         clean_text("reviewerName", d["reviewer_name"]).alias("r_reviewer_name"),
@@ -71,8 +90,8 @@ def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up") -> DataFrame:
         score.alias("r_review_score"),
         clean_text("summary", d["review_title"], strip=True).alias("r_review_title"),
         ts.alias("r_review_datetime"),
-        V.first_failure(rules).alias(V.REASON),
-        _raw_json(present).alias("_source_row"))
+        reason.alias(V.REASON),
+        _source_row(raw, reason).alias("_source_row"))
 
 
 def review_outputs(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +128,7 @@ def classify_products(raw: DataFrame) -> DataFrame:
         (V.REASONS["image_url"], V.too_long(image, L["p_image_url"])),
         (V.REASONS["brand"], V.too_long(brand, L["p_brand"])),
     ]
-    present = [c for c in raw.columns if not c.startswith("_corrupt")]
+    reason = V.first_failure(_with_malformed(raw, rules))
     return df.select(
         mid.alias("p_product_metadata_id"), skey.alias("p_product_source_key"),
         rank_cat.alias("p_sales_rank_category"), rank.alias("p_sales_rank"),
@@ -119,8 +138,9 @@ def classify_products(raw: DataFrame) -> DataFrame:
         price.alias("p_price"), brand.alias("p_brand"),
         F.col("_categories"), F.col("_categories_kind"),
         F.col("_related"), F.col("_related_kind"),
-        V.first_failure(rules).alias(V.REASON),
-        _raw_json(present).alias("_source_row"))
+        reason.alias(V.REASON),
+        # Kept for every product: rejected categories/relations of accepted products cite it.
+        _source_row(raw, F.lit("all")).alias("_source_row"))
 
 
 class ProductOutputs(NamedTuple):
