@@ -117,7 +117,10 @@ def with_category_list(df: DataFrame, src: str, out: str) -> DataFrame:
     flat = F.from_json(c, "array<string>", LENIENT)
     # A flat read of ragged text stringifies inner lists; reject those.
     flat_ok = flat.isNotNull() & ~F.exists(flat, lambda x: x.startswith("[") | x.startswith("{"))
-    jvm = F.when(nested.isNotNull(), F.flatten(nested)).when(flat_ok, flat)
+    # A nested read of deeper text stringifies the innermost lists; reject those too.
+    nested_ok = nested.isNotNull() & ~F.exists(F.flatten(nested),
+                                                 lambda x: x.startswith("[") | x.startswith("{"))
+    jvm = F.when(nested_ok, F.flatten(nested)).when(nested.isNull() & flat_ok, flat)
     need = c.isNotNull() & (jvm.isNull() | c.rlike(SUSPECT))
     fb = f"__fb_{out}"
     df = df.withColumn(fb, _python_literal(F.when(need, c)))
