@@ -1048,3 +1048,76 @@ def j9(spark, sf):
     t = A.import_batch_process_task(log)
     p = A.import_batch_process(log).select("ibp_id", "ib_id")
     return t.join(p, "ibp_id").select("ibpt_id", "ib_description", "ibp_id", "ib_id")
+
+
+# Rules exercised on long texts, streaming ingest, batch clock parts ---------------------------
+
+@register("v3_category_rules", """SELECT CAST(doc_id AS VARCHAR) AS product_source_key,
+  1 + CASE WHEN length(text) <= 150 THEN 1 ELSE 0 END AS n_kept,
+  CASE WHEN length(text) > 150 THEN 1 ELSE 0 END AS n_too_long FROM documents""")
+def v3(spark, sf):
+    """Each document becomes a product whose categories are [[lang, whole text]]: texts over
+    150 characters are rejected as ``category too long``, the language is kept."""
+    d = table(spark, sf, "documents")
+    raw = d.select(F.col("doc_id").cast("string").alias("metadataid"), F.col("doc_id").cast("string").alias("asin"),
+                   F.lit(None).cast("string").alias("salesrank"), F.lit(None).cast("string").alias("imurl"),
+                   F.to_json(F.array(F.array("lang", "text"))).alias("categories"),
+                   F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("description"),
+                   F.lit(None).cast("string").alias("price"), F.lit(None).cast("string").alias("related"),
+                   F.lit(None).cast("string").alias("brand"))
+    po = St.product_outputs(St.classify_products(raw))
+    kept = po.categories.groupBy(F.col("pc_product_source_key").alias("product_source_key")) \
+        .agg(F.count(F.lit(1)).alias("n_kept"))
+    long_ = (po.rejects.filter(F.col("reason") == V.REASONS["category"])
+             .groupBy(F.get_json_object("row", "$.asin").alias("product_source_key"))
+             .agg(F.count(F.lit(1)).alias("n_too_long")))
+    return (kept.join(long_, "product_source_key", "full")
+            .select("product_source_key", F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
+                    F.coalesce("n_too_long", F.lit(0)).alias("n_too_long")))
+
+
+@register("v4_relation_rules", """SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS product_source_key,
+  CASE WHEN length(text) <= 10 AND length(role) <= 20 THEN 1 ELSE 0 END AS n_kept,
+  CASE WHEN length(text) <= 10 AND length(role) <= 20 THEN 0 ELSE 1 END AS n_too_long
+FROM conversations""")
+def v4(spark, sf):
+    """Each conversation turn becomes a product related to its whole text under its role:
+    keys over 10 characters (or relations over 20) are rejected, the rest kept."""
+    c = table(spark, sf, "conversations")
+    key = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    raw = c.select(F.lit("m").alias("metadataid"), key.alias("asin"), F.lit(None).cast("string").alias("salesrank"),
+                   F.lit(None).cast("string").alias("imurl"), F.lit("[]").alias("categories"),
+                   F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("description"),
+                   F.lit(None).cast("string").alias("price"),
+                   F.to_json(F.create_map("role", F.array("text"))).alias("related"),
+                   F.lit(None).cast("string").alias("brand"))
+    po = St.product_outputs(St.classify_products(raw))
+    kept = po.related.groupBy(F.col("rl_product_source_key").alias("product_source_key")) \
+        .agg(F.count(F.lit(1)).alias("n_kept"))
+    long_ = (po.rejects.filter(F.col("reason") == V.REASONS["related"])
+             .groupBy(F.get_json_object("row", "$.asin").alias("product_source_key"))
+             .agg(F.count(F.lit(1)).alias("n_too_long")))
+    all_keys = po.products.select(F.col("p_product_source_key").alias("product_source_key"))
+    return (all_keys.join(kept, "product_source_key", "left").join(long_, "product_source_key", "left")
+            .select("product_source_key", F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
+                    F.coalesce("n_too_long", F.lit(0)).alias("n_too_long")))
+
+
+@register("p23_now_parts", _audit(" SELECT ib_id, ib_year, ib_month FROM import_batch"))
+def p23(spark, sf):
+    """Batch year and month come from the ``as_of`` argument given to the batch, not a clock."""
+    from ..operators import audit as A
+    return A.import_batch(audit_log(spark, sf)).select("ib_id", "ib_year", "ib_month")
+
+
+@register("streaming_stage1_ingest", O.query(" SELECT * EXCLUDE (_c0) FROM rc"))
+def stream_ingest(spark, sf):
+    """Review CSV files dropped in a folder, ingested by Structured Streaming (availableNow)."""
+    from ..sources.csv import write_csv
+    from ..streaming.ingest import start_review_ingest
+    folder, out, ck = _scratch(spark, "drop"), _scratch(spark, "stream_out"), _scratch(spark, "stream_ck")
+    raw = S.raw_reviews(spark, sf)
+    write_csv(raw, folder)
+    q = start_review_ingest(spark, folder, raw.columns, out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*St.S1_REVIEW_COLUMNS, V.REASON)
