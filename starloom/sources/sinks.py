@@ -46,9 +46,14 @@ def insert_ignore(incoming: DataFrame, existing: DataFrame | None, pk: list[str]
     return one.select(*incoming.columns)
 
 
-def write_quarantine(rejects: DataFrame, path: str) -> None:
-    """Append rejects (``entity, reason, row`` …) as JSON lines, one folder per entity."""
-    rejects.write.mode("append").partitionBy("entity").json(path)
+def write_quarantine(rejects: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write rejects (``entity, reason, row`` …) as JSON lines, one folder per entity.
+
+    Give each writer its own ``path`` (e.g. per step and batch): Hadoop's
+    output committer keeps one job directory per path, so two concurrent
+    jobs must not target the same folder.
+    """
+    rejects.write.mode(mode).partitionBy("entity").json(path)
 
 
 def error_rows(entity: Column | str, message: Column | str, chunk: Column | None = None) -> list[Column]:
