@@ -32,6 +32,9 @@ from starloom.session import build_session, scratch_path  # noqa: E402
 from starloom.sources.csv import write_csv  # noqa: E402
 
 
+PARALLEL = os.environ.get("BENCH_PARALLEL_STEPS", "1") == "1"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -56,7 +59,7 @@ def main() -> None:
     t = time.time()
     P.run_pipeline(spark, reviews_csv, products_csv, P.RunConfig(
         root=root, as_of="2024-01-01 00:00:00", date_start="1990-01-01", date_years=40,
-        csv_partitions=int(cpus) * 2))
+        parallel_steps=PARALLEL))
     times["load_batch1"] = time.time() - t
 
     w = P.warehouse_tables(spark, root)
@@ -74,7 +77,7 @@ def main() -> None:
     t = time.time()
     P.run_pipeline(spark, reviews_csv, products2_csv, P.RunConfig(
         root=root, as_of="2024-02-01 00:00:00", date_start="1990-01-01", date_years=40,
-        csv_partitions=int(cpus) * 2))
+        parallel_steps=PARALLEL))
     times["load_batch2"] = time.time() - t
 
     fact_rows = spark.read.parquet(f"{root}/adw/review_fact").agg(F.count(F.lit(1))).first()[0]
