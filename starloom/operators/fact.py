@@ -22,6 +22,10 @@ from .validate import REASON
 FACT_PK = ["date_reviewed_key", "reviewer_key", "product_key", "review_descriptors_key"]
 FACT_COLUMNS = [*FACT_PK, "helpfulness_rating", "review_rating"]
 
+# Colliding md5 hashes up to this many are broadcast to select the reviews
+# that need a text comparison; beyond it the selection is a shuffle join.
+COLLISION_BROADCAST_LIMIT = 100_000
+
 # Reasons for reviews whose keys do not resolve.
 MISSING_REVIEWER = "unknown reviewer"
 MISSING_PRODUCT = "unknown product"
@@ -66,16 +70,25 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
     unique, collided = descriptor_lookup(junk_dim)
     rest = [c for c in r.columns if c not in ("_text", "_title")]
     by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
-    # Reviews whose hash collides in the dimension: match on hash + both texts.
-    coll = collided.select(F.col("descriptor_hash").alias("_jh"), F.col("review_text").alias("_jt"),
-                           F.col("review_title").alias("_jti"),
-                           F.col("review_descriptors_key").alias("_ck"))
-    coll_keys = (r.join(coll, (F.col("_h") == F.col("_jh")) & (F.col("_text") == F.col("_jt"))
-                        & (F.col("_title") == F.col("_jti")), "inner")
-                 .select("_rsk", "_psk", "_h", "date_reviewed_key", "_ck"))
-    by_hash = (by_hash.join(coll_keys, ["_rsk", "_psk", "_h", "date_reviewed_key"], "left")
-               .withColumn("review_descriptors_key", F.coalesce("review_descriptors_key", "_ck"))
-               .drop("_ck"))
+    # Reviews whose hash collides in the dimension are matched on hash + both
+    # texts.  The colliding hashes are counted first (one scalar): with none,
+    # the branch is not planned at all, so no review text is shuffled; a
+    # short list is broadcast to pick out the few reviews that need it, and
+    # a long one is joined by shuffle.
+    hashes = collided.select(F.col("descriptor_hash").alias("_h")).distinct()
+    n_collided = hashes.count()
+    if n_collided:
+        pick = F.broadcast(hashes) if n_collided <= COLLISION_BROADCAST_LIMIT else hashes
+        suspects = r.join(pick, "_h", "left_semi")
+        coll = collided.select(F.col("descriptor_hash").alias("_jh"), F.col("review_text").alias("_jt"),
+                               F.col("review_title").alias("_jti"),
+                               F.col("review_descriptors_key").alias("_ck"))
+        coll_keys = (suspects.join(coll, (F.col("_h") == F.col("_jh")) & (F.col("_text") == F.col("_jt"))
+                                   & (F.col("_title") == F.col("_jti")), "inner")
+                     .select("_rsk", "_psk", "_h", "date_reviewed_key", "_ck"))
+        by_hash = (by_hash.join(coll_keys, ["_rsk", "_psk", "_h", "date_reviewed_key"], "left")
+                   .withColumn("review_descriptors_key", F.coalesce("review_descriptors_key", "_ck"))
+                   .drop("_ck"))
     rv = reviewer_dim.select(F.col("reviewer_source_key").alias("_rsk"), "reviewer_key")
     pr = current_products(product_dim).select(F.col("product_source_key").alias("_psk"), "product_key")
     dd = F.broadcast(date_dim.select(F.col("date_key").alias("_dk")).distinct())

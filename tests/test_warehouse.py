@@ -202,3 +202,22 @@ def test_q3_newest_batch_only(spark):
     assert [r.ib_id for r in A.latest_running_batch(log).collect()] == [2]
     failed = A.record_failure(log, "2024-02-01 00:05:00", 4, "boom")
     assert sorted((r.level, r.id) for r in failed.collect()) == [("batch", 2), ("process", 21), ("task", 211)]
+
+
+def test_fact_lookup_through_hash_collision(spark):
+    """Two dimension rows share one hash: the review is matched on its texts."""
+    date = Dm.build_date_dim(spark, "2020-01-01", 1)
+    reviewers = spark.createDataFrame([(1, "R1", "n")], "reviewer_key long, reviewer_source_key string, "
+                                                        "reviewer_name string")
+    prods = product_dim(spark, ["P1"])
+    h = spark.range(1).select(Dm.descriptor_hash(F.lit("x"), F.lit("y")).alias("h")).first().h
+    junk = spark.createDataFrame([(7, "p", "q", h), (8, "x", "y", h)],
+                                 "review_descriptors_key long, review_text string, review_title string, "
+                                 "descriptor_hash string")
+    reviews = spark.createDataFrame([("R1", "P1", "n", 0.5, "x", 5.0, "y", dt.datetime(2020, 5, 1))],
+                                    "r_reviewer_source_key string, r_product_key string, r_reviewer_name string, "
+                                    "r_helpfulness_rating double, r_review_text string, r_review_score double, "
+                                    "r_review_title string, r_review_datetime timestamp_ntz")
+    rows, bad, _ = Fa.load_fact(St.review_view(reviews), reviewers, prods, junk, date)
+    assert [r.review_descriptors_key for r in rows.collect()] == [8]
+    assert bad.count() == 0
