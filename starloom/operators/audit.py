@@ -4,7 +4,8 @@ Instead of updating batch/process/task rows in place, every start, end and
 failure appends an event.  The three audit tables are views over the log:
 start = time of the first event, end and status = the newest event.
 Counts of a task come from aggregates over the classified rows of that
-task; they are joined in as a one-row frame, never collected.
+task; the event row is projected from that one-row aggregate, so the
+counts are never collected to the driver.
 """
 
 from __future__ import annotations
@@ -70,16 +71,12 @@ def task_event(counts: DataFrame | None, spark, ibpt_id, ibp_id, description, st
     base = _event(spark, "task", ibpt_id, ibp_id, description, status, ts, seq, message=message)
     if counts is None:
         return base
-    lits = {c: F.lit(v) for c, v in zip(EVENT_SCHEMA.fieldNames(), (
-        "task", ibpt_id, ibp_id, description, None, None, status, ts, seq))}
-    return counts.select(
-        lits["level"].alias("level"), lits["id"].cast("long").alias("id"),
-        lits["parent_id"].cast("long").alias("parent_id"), lits["description"].alias("description"),
-        F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"),
-        lits["status"].alias("status"), lits["event_ts"].cast("timestamp_ntz").alias("event_ts"),
-        lits["seq"].cast("long").alias("seq"),
-        *[(F.col(n) if n in counts.columns else F.lit(None)).cast("long").alias(n) for n in COUNT_COLUMNS],
-        F.lit(message).cast("string").alias("message"))
+    counted = [(F.col(n) if n in counts.columns else F.lit(None)).cast("long").alias(n) for n in COUNT_COLUMNS]
+    literals = [c for c in base.columns if c not in COUNT_COLUMNS and c != "message"]
+    return counts.select(*[F.lit(base_value).alias(name) for name, base_value in zip(literals, (
+        "task", ibpt_id, ibp_id, description, None, None, status, ts, seq))], *counted,
+        F.lit(message).cast("string").alias("message")) \
+        .select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
 
 
 def outcome_counts(classified: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
