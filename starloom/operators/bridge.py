@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import restrict_to_keys
 from .validate import REASON
 
 # Reasons for rows whose natural key has no dimension member.
@@ -26,8 +27,10 @@ def load_bridge(pairs: DataFrame, product_dim: DataFrame, category_dim: DataFram
 
     Returns (bridge, added pairs, quarantined rows with a reason).
     """
-    prods = current_products(product_dim).withColumnRenamed("product_source_key", "_src")
-    cats = category_dim.select(F.col("product_category").alias("_cat"), "category_key")
+    prods = restrict_to_keys(current_products(product_dim), "product_source_key", pairs, src) \
+        .withColumnRenamed("product_source_key", "_src")
+    cats = restrict_to_keys(category_dim, "product_category", pairs, cat) \
+        .select(F.col("product_category").alias("_cat"), "category_key")
     j = (pairs.select(F.col(src).alias("src"), F.col(cat).alias("category")).distinct()
          .join(prods, F.col("src") == F.col("_src"), "left")
          .join(cats, F.col("category") == F.col("_cat"), "left"))
@@ -51,7 +54,8 @@ def load_related(edges: DataFrame, product_dim: DataFrame, existing: DataFrame |
     relations keeps the smallest relation name (D10).  Pairs already present
     are skipped (insert-ignore).  Returns (table, added, quarantined).
     """
-    prods = current_products(product_dim)
+    ends = edges.select(F.col(src).alias("_k")).unionByName(edges.select(F.col(dst).alias("_k")))
+    prods = restrict_to_keys(current_products(product_dim), "product_source_key", ends, "_k")
     p1 = prods.select(F.col("product_source_key").alias("_s1"), F.col("product_key").alias("primary_product_key"))
     p2 = prods.select(F.col("product_source_key").alias("_s2"),
                       F.col("product_key").alias("secondary_product_key"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.text import text_hash
+from .joins import restrict_to_keys
 from .keys import assign_surrogate_keys, max_key
 
 DATE_COLUMNS = ["date_key", "date", "day_of_week", "month_of_year", "month_of_year_number",
@@ -237,7 +238,10 @@ def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "r
     pairs = reviews.select(F.col(text).alias("review_text"), F.col(title).alias("review_title")).distinct()
     pairs = pairs.withColumn("descriptor_hash", descriptor_hash("review_text", "review_title"))
     if existing is not None:
-        ex = existing.select("descriptor_hash", "review_text", "review_title")
+        # Only stored pairs sharing a hash with this batch can be equal; they are
+        # picked out while the dimension is scanned, then compared exactly.
+        ex = restrict_to_keys(existing.select("descriptor_hash", "review_text", "review_title"),
+                              "descriptor_hash", pairs, "descriptor_hash")
         pairs = pairs.join(ex, ["descriptor_hash", "review_text", "review_title"], "left_anti")
     added = assign_surrogate_keys(pairs, ["descriptor_hash", "review_text", "review_title"],
                                   "review_descriptors_key",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .bridge import current_products
 from .dims import descriptor_hash
+from .joins import restrict_to_keys
 from .keys import dedupe_on_key
 from .validate import REASON
 
@@ -67,6 +68,11 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
         F.col("r_review_date_key").alias("date_reviewed_key"),
         F.col("r_helpfulness_rating").cast("double").alias("helpfulness_rating"),
         F.col("r_review_score").cast("double").alias("review_rating"))
+    # Only dimension rows this batch can hit take part: each large dimension
+    # is filtered by the batch's keys while it is scanned (see restrict_to_keys).
+    junk_dim = restrict_to_keys(junk_dim, "descriptor_hash", r, "_h")
+    reviewer_dim = restrict_to_keys(reviewer_dim, "reviewer_source_key", r, "_rsk")
+    product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", r, "_psk")
     unique, collided = descriptor_lookup(junk_dim)
     rest = [c for c in r.columns if c not in ("_text", "_title")]
     by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
@@ -90,7 +96,7 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
                    .withColumn("review_descriptors_key", F.coalesce("review_descriptors_key", "_ck"))
                    .drop("_ck"))
     rv = reviewer_dim.select(F.col("reviewer_source_key").alias("_rsk"), "reviewer_key")
-    pr = current_products(product_dim).select(F.col("product_source_key").alias("_psk"), "product_key")
+    pr = product_dim.select(F.col("product_source_key").alias("_psk"), "product_key")
     dd = F.broadcast(date_dim.select(F.col("date_key").alias("_dk")).distinct())
     j = (by_hash.join(rv, "_rsk", "left").join(pr, "_psk", "left")
          .join(dd, F.col("date_reviewed_key") == F.col("_dk"), "left"))

@@ -109,3 +109,23 @@ def write_version(df: DataFrame, table_root: str, version: int) -> str:
     spark.createDataFrame([(path,)], T.StructType([T.StructField("value", T.StringType())])) \
         .coalesce(1).write.mode("overwrite").text(f"{table_root}/_current")
     return path
+
+
+def write_batch_part(df: DataFrame, table_root: str, batch_id: int) -> str:
+    """Insert-only tables: this batch's new rows in ``table_root/batch=<id>``.
+
+    Nothing already stored is rewritten; re-running the same batch replaces
+    only its own folder.
+    """
+    path = f"{table_root}/batch={batch_id}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_table(spark: SparkSession, table_root: str, columns: list[str] | None = None) -> DataFrame | None:
+    """All batch folders of an insert-only table (None before the first write)."""
+    try:
+        df = spark.read.parquet(table_root)
+    except Exception:  # nothing written yet
+        return None
+    return df.select(*columns) if columns else df
