@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.text import text_hash
-from .joins import restrict_to_keys
+from ..session import materialize
+from .joins import restrict_to_keys, small_side
 from .keys import assign_surrogate_keys, max_key
 
 DATE_COLUMNS = ["date_key", "date", "day_of_week", "month_of_year", "month_of_year_number",
@@ -113,25 +114,27 @@ def scd1_upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "rev
     ``incoming`` may hold several rows per key; the newest by ``ts`` wins (D8).
     Returns (new dimension, counts with ``records_in``, ``type_1``, ``dim_new``).
     """
-    latest = latest_per_key(incoming, key, attr, ts)
+    # Batch-sized and read by several steps below: computed once.
+    latest = materialize(latest_per_key(incoming, key, attr, ts).select(key, F.col(attr).alias("_new")))
     if existing is None:
-        existing_cols = latest.sparkSession.createDataFrame([], f"{sk} long, {key} string, {attr} string")
-    else:
-        existing_cols = existing.select(sk, key, attr)
-    old = existing_cols.select(F.col(sk), F.col(key), F.col(attr).alias("_old"))
-    j = old.join(latest.select(key, F.col(attr).alias("_new")), key, "full_outer")
-    j = j.withColumn("_change", F.when(F.col(sk).isNull(), F.lit("new"))
-                     .when(F.col("_new").isNull(), F.lit("untouched"))
-                     .when(F.col("_new").eqNullSafe(F.col("_old")), F.lit("same"))
-                     .otherwise(F.lit("type_1")))
-    kept = j.filter(F.col(sk).isNotNull()).select(
-        sk, key, F.coalesce("_new", "_old").alias(attr))
-    added = assign_surrogate_keys(j.filter(F.col("_change") == "new").select(key, F.col("_new").alias(attr)),
-                                  [key], sk, start_after=max_key(existing, sk)).select(sk, key, attr)
+        existing = latest.sparkSession.createDataFrame([], f"{sk} long, {key} string, {attr} string")
+    old = existing.select(F.col(sk), F.col(key), F.col(attr).alias("_old"))
+    # The batch side is small next to the dimension: broadcast it (when its
+    # counted size allows) so the whole dimension streams through once.
+    upd = old.join(small_side(latest), key, "left")
+    kept = upd.select(sk, key, F.coalesce("_new", "_old").alias(attr))
+    known = restrict_to_keys(old.select(key), key, latest, key)
+    fresh = latest.join(known, key, "left_anti")
+    added = assign_surrogate_keys(fresh.select(key, F.col("_new").alias(attr)), [key], sk,
+                                  start_after=max_key(existing, sk)).select(sk, key, attr)
     dim = kept.unionByName(added)
-    counts = j.agg(F.count(F.col("_new")).alias("records_in"),
-                   F.sum(F.when(F.col("_change") == "type_1", 1).otherwise(0)).cast("long").alias("type_1"),
-                   F.sum(F.when(F.col("_change") == "new", 1).otherwise(0)).cast("long").alias("dim_new"))
+    changed = upd.filter(F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col("_old")))
+    tagged = (latest.select(F.lit("in").alias("_t"))
+              .unionByName(changed.select(F.lit("type_1").alias("_t")))
+              .unionByName(fresh.select(F.lit("new").alias("_t"))))
+    counts = tagged.agg(F.count(F.when(F.col("_t") == "in", 1)).alias("records_in"),
+                        F.count(F.when(F.col("_t") == "type_1", 1)).alias("type_1"),
+                        F.count(F.when(F.col("_t") == "new", 1)).alias("dim_new"))
     return dim, counts
 
 
@@ -168,12 +171,13 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, key: str, attrs: Sequ
         dim_all = None
     else:
         dim_all = dim.select(*cols)
-        cur = dim_all.filter("is_current").select(sk, key, *attrs)
+        # Only current rows of keys in this snapshot can change.
+        cur = restrict_to_keys(dim_all.filter("is_current").select(sk, key, *attrs), key, snap, key)
     old = cur.select(F.col(key), F.col(sk), *[F.col(a).alias(f"_o_{a}") for a in attrs])
     j = snap.join(old, key, "left")
     diff = F.lit(True) if change == "always" else _changed(attrs, "", "_o_")
-    j = j.withColumn("_change", F.when(F.col(sk).isNull(), F.lit("new"))
-                     .when(diff, F.lit("type_2")).otherwise(F.lit("same")))
+    j = materialize(j.withColumn("_change", F.when(F.col(sk).isNull(), F.lit("new"))
+                                 .when(diff, F.lit("type_2")).otherwise(F.lit("same"))))
     inserts = j.filter(F.col("_change") != "same").select(key, *attrs)
     added = assign_surrogate_keys(inserts, [key], sk, start_after=max_key(dim, sk)).select(
         sk, key, *attrs, as_of_ts.alias("effective_date"),
@@ -184,7 +188,7 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, key: str, attrs: Sequ
                    F.sum(F.when(F.col("_change") == "same", 1).otherwise(0)).cast("long").alias("unchanged"))
     if dim_all is None:
         return added.select(*cols), counts
-    expiring = j.filter(F.col("_change") == "type_2").select(F.col(sk).alias("_exp_sk"))
+    expiring = small_side(j.filter(F.col("_change") == "type_2").select(F.col(sk).alias("_exp_sk")))
     marked = dim_all.join(expiring, F.col(sk) == F.col("_exp_sk"), "left")
     hit = F.col("_exp_sk").isNotNull() & F.col("is_current")
     kept = marked.select(

@@ -36,6 +36,16 @@ def restrict_to_keys(big: DataFrame, big_col: str, keys: DataFrame, key_col: str
     return big.join(side, F.col(big_col) == F.col("_rk"), "left_semi")
 
 
+def small_side(df: DataFrame, limit: int = KEY_BROADCAST_LIMIT) -> DataFrame:
+    """``df`` marked for broadcast when its counted row count is within ``limit``.
+
+    For batch-sized sides that meet a history-sized table: the large table
+    is then streamed through the join instead of shuffled.  The count is
+    one scalar; beyond the limit the plain (shuffle) join is kept.
+    """
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def reciprocal_anti(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Distinct edges whose reverse edge (any relation) does not exist.
 
