@@ -240,7 +240,7 @@ def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "r
     apart.  Returns (new dimension, added rows).
     """
     pairs = reviews.select(F.col(text).alias("review_text"), F.col(title).alias("review_title")).distinct()
-    pairs = pairs.withColumn("descriptor_hash", descriptor_hash("review_text", "review_title"))
+    pairs = materialize(pairs.withColumn("descriptor_hash", descriptor_hash("review_text", "review_title")))
     if existing is not None:
         # Only stored pairs sharing a hash with this batch can be equal; they are
         # picked out while the dimension is scanned, then compared exactly.

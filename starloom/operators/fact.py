@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .bridge import current_products
 from .dims import descriptor_hash
+from ..session import materialize
 from .joins import restrict_to_keys
 from .keys import dedupe_on_key
 from .validate import REASON
@@ -70,9 +71,11 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
         F.col("r_review_score").cast("double").alias("review_rating"))
     # Only dimension rows this batch can hit take part: each large dimension
     # is filtered by the batch's keys while it is scanned (see restrict_to_keys).
-    junk_dim = restrict_to_keys(junk_dim, "descriptor_hash", r, "_h")
-    reviewer_dim = restrict_to_keys(reviewer_dim, "reviewer_source_key", r, "_rsk")
-    product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", r, "_psk")
+    # The batch's key columns are computed once (hashing every text once).
+    keys = materialize(r.select("_rsk", "_psk", "_h"))
+    junk_dim = restrict_to_keys(junk_dim, "descriptor_hash", keys, "_h")
+    reviewer_dim = restrict_to_keys(reviewer_dim, "reviewer_source_key", keys, "_rsk")
+    product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", keys, "_psk")
     unique, collided = descriptor_lookup(junk_dim)
     rest = [c for c in r.columns if c not in ("_text", "_title")]
     by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
