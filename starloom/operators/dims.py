@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.text import text_hash
 from ..session import materialize
 from .joins import restrict_to_keys, small_side
 from .keys import assign_surrogate_keys, max_key
@@ -258,4 +257,4 @@ def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "r
 
 __all__ = ["build_date_dim", "date_dim_covering", "unknown_date_member", "unknown_reviewer_member",
            "load_category", "latest_per_key", "scd1_upsert", "scd2_merge", "scd2_history",
-           "descriptor_hash", "load_junk_dim", "text_hash", "DATE_COLUMNS"]
+           "descriptor_hash", "load_junk_dim", "DATE_COLUMNS"]
