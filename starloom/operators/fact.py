@@ -52,8 +52,24 @@ def descriptor_lookup(junk_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     return unique, collided
 
 
+def product_versions_at(product_dim: DataFrame) -> DataFrame:
+    """Validity interval of every product version for event-time lookups (H7).
+
+    A version is valid from its ``effective_date`` to its ``expiration_date``
+    (open at the end for the current one); the first version of a key is
+    also valid before it was loaded, so older reviews bind to it.  The first
+    start per key is a per-key aggregate (a key has one row per version).
+    """
+    v = product_dim.select("product_source_key", "product_key", "effective_date", "expiration_date")
+    first = v.groupBy("product_source_key").agg(F.min("effective_date").alias("_first"))
+    return (v.join(first, "product_source_key")
+            .select("product_source_key", "product_key",
+                    F.when(F.col("effective_date") > F.col("_first"), F.col("effective_date")).alias("_valid_from"),
+                    F.col("expiration_date").alias("_valid_to")))
+
+
 def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFrame,
-                      junk_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
+                      junk_dim: DataFrame, date_dim: DataFrame, product_version: str = "load") -> DataFrame:
     """Join the four lookups; adds the surrogate keys and a ``reject_reason``.
 
     The date dimension is bounded (one row per calendar day) and is
@@ -61,12 +77,19 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
     (broadcast when measured small, else sort-merge with skew splitting).
     Review texts are reduced to their hash before any shuffle; see
     :func:`descriptor_lookup` for the exact handling of hash collisions.
+
+    ``product_version='load'`` (default) binds a review to the product
+    version current at load time; ``'event'`` binds it to the version valid
+    at the review's timestamp (equi-join on the key plus an interval test).
     """
+    if product_version not in ("load", "event"):
+        raise ValueError("product_version must be 'load' or 'event'")
     r = reviews.select(
         F.col("r_reviewer_source_key").alias("_rsk"), F.col("r_product_key").alias("_psk"),
         descriptor_hash("r_review_text", "r_review_title").alias("_h"),
         F.col("r_review_text").alias("_text"), F.col("r_review_title").alias("_title"),
         F.col("r_review_date_key").alias("date_reviewed_key"),
+        F.col("r_review_datetime").cast("timestamp_ntz").alias("_ts"),
         F.col("r_helpfulness_rating").cast("double").alias("helpfulness_rating"),
         F.col("r_review_score").cast("double").alias("review_rating"))
     # Only dimension rows this batch can hit take part: each large dimension
@@ -75,7 +98,10 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
     keys = materialize(r.select("_rsk", "_psk", "_h"))
     junk_dim = restrict_to_keys(junk_dim, "descriptor_hash", keys, "_h")
     reviewer_dim = restrict_to_keys(reviewer_dim, "reviewer_source_key", keys, "_rsk")
-    product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", keys, "_psk")
+    if product_version == "load":
+        product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", keys, "_psk")
+    else:
+        product_dim = restrict_to_keys(product_versions_at(product_dim), "product_source_key", keys, "_psk")
     unique, collided = descriptor_lookup(junk_dim)
     rest = [c for c in r.columns if c not in ("_text", "_title")]
     by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
@@ -99,10 +125,19 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
                    .withColumn("review_descriptors_key", F.coalesce("review_descriptors_key", "_ck"))
                    .drop("_ck"))
     rv = reviewer_dim.select(F.col("reviewer_source_key").alias("_rsk"), "reviewer_key")
-    pr = product_dim.select(F.col("product_source_key").alias("_psk"), "product_key")
     dd = F.broadcast(date_dim.select(F.col("date_key").alias("_dk")).distinct())
-    j = (by_hash.join(rv, "_rsk", "left").join(pr, "_psk", "left")
-         .join(dd, F.col("date_reviewed_key") == F.col("_dk"), "left"))
+    j = by_hash.join(rv, "_rsk", "left")
+    if product_version == "load":
+        pr = product_dim.select(F.col("product_source_key").alias("_psk"), "product_key")
+        j = j.join(pr, "_psk", "left")
+    else:
+        pr = product_dim.select(F.col("product_source_key").alias("_pv_key"), "product_key", "_valid_from",
+                                "_valid_to")
+        within = ((F.col("_psk") == F.col("_pv_key"))
+                  & (F.col("_valid_from").isNull() | (F.col("_ts") >= F.col("_valid_from")))
+                  & (F.col("_valid_to").isNull() | (F.col("_ts") < F.col("_valid_to"))))
+        j = j.join(pr, within, "left").drop("_pv_key", "_valid_from", "_valid_to")
+    j = j.join(dd, F.col("date_reviewed_key") == F.col("_dk"), "left")
     reason = (F.when(F.col("reviewer_key").isNull(), F.lit(MISSING_REVIEWER))
               .when(F.col("product_key").isNull(), F.lit(MISSING_PRODUCT))
               .when(F.col("review_descriptors_key").isNull(), F.lit(MISSING_DESCRIPTORS))
@@ -112,7 +147,8 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
 
 def load_fact(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFrame,
               junk_dim: DataFrame, date_dim: DataFrame, existing: DataFrame | None = None,
-              resolved: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+              resolved: DataFrame | None = None, product_version: str = "load"
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (rows to append, quarantined rows, counts).
 
     ``counts`` has ``records_in`` and ``unresolved`` computed from the
@@ -121,7 +157,7 @@ def load_fact(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFram
     three outputs share one resolution pass instead of repeating the joins.
     """
     j = resolved if resolved is not None else resolve_fact_keys(
-        reviews, reviewer_dim, product_dim, junk_dim, date_dim)
+        reviews, reviewer_dim, product_dim, junk_dim, date_dim, product_version)
     unresolved = j.filter(F.col(REASON).isNotNull()).select(
         F.col("_rsk").alias("r_reviewer_source_key"), F.col("_psk").alias("r_product_key"),
         "date_reviewed_key", REASON)

@@ -1121,3 +1121,32 @@ def stream_ingest(spark, sf):
     q = start_review_ingest(spark, folder, raw.columns, out, ck)
     q.awaitTermination()
     return spark.read.parquet(out).select(*St.S1_REVIEW_COLUMNS, V.REASON)
+
+
+@register("l9_fact_event_time_versions", O.query(PRODUCT_DIM_2 + """,
+pv AS (SELECT product_key, product_source_key, expiration_date AS valid_to,
+         CASE WHEN effective_date > min(effective_date) OVER (PARTITION BY product_source_key)
+              THEN effective_date END AS valid_from FROM product_dim_2),
+fr AS (
+  SELECT r.r_review_date_key AS date_reviewed_key, rv.reviewer_key, pv.product_key, j.review_descriptors_key,
+         CAST(r.r_helpfulness_rating AS DOUBLE) AS helpfulness_rating,
+         CAST(r.r_review_score AS DOUBLE) AS review_rating
+  FROM s2_review_view r
+  JOIN reviewer_dim rv ON rv.reviewer_source_key = r.r_reviewer_source_key
+  JOIN pv ON pv.product_source_key = r.r_product_key
+         AND (pv.valid_from IS NULL OR r.r_review_datetime >= pv.valid_from)
+         AND (pv.valid_to IS NULL OR r.r_review_datetime < pv.valid_to)
+  JOIN junk_dim j ON j.review_text = r.r_review_text AND j.review_title = r.r_review_title
+  JOIN date_dim d ON d.date_key = r.r_review_date_key)
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY date_reviewed_key, reviewer_key, product_key, review_descriptors_key
+    ORDER BY review_rating DESC NULLS LAST, helpfulness_rating ASC NULLS FIRST, review_rating ASC NULLS FIRST) AS _rn
+  FROM fr) WHERE _rn = 1"""))
+def l9_event(spark, sf):
+    """Facts bound to the product version valid at the review time (H7), against the
+    two-snapshot product dimension; older reviews bind to a key's first version."""
+    wh = warehouse(spark, sf)
+    rows, _, _ = Fa.load_fact(St.review_view(wh.stage2.reviews), wh.reviewer, product_dim_v2(spark, sf),
+                              wh.junk, wh.date, product_version="event")
+    return rows

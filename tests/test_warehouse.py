@@ -221,3 +221,28 @@ def test_fact_lookup_through_hash_collision(spark):
     rows, bad, _ = Fa.load_fact(St.review_view(reviews), reviewers, prods, junk, date)
     assert [r.review_descriptors_key for r in rows.collect()] == [8]
     assert bad.count() == 0
+
+
+def test_fact_event_time_binding(spark):
+    date = Dm.build_date_dim(spark, "1999-01-01", 26)
+    reviewers = spark.createDataFrame([(1, "R1", "n")], "reviewer_key long, reviewer_source_key string, "
+                                                        "reviewer_name string")
+    prods = spark.createDataFrame([
+        (1, "P1", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), False),
+        (2, "P1", dt.datetime(2024, 2, 1), None, True)],
+        "product_key long, product_source_key string, effective_date timestamp_ntz, "
+        "expiration_date timestamp_ntz, is_current boolean")
+    rv_cols = ("r_reviewer_source_key string, r_product_key string, r_reviewer_name string, "
+               "r_helpfulness_rating double, r_review_text string, r_review_score double, r_review_title string, "
+               "r_review_datetime timestamp_ntz")
+    reviews = spark.createDataFrame([
+        ("R1", "P1", "n", 0.5, "a", 5.0, "t", dt.datetime(2024, 1, 15)),
+        ("R1", "P1", "n", 0.5, "b", 5.0, "t", dt.datetime(2024, 3, 1)),
+        ("R1", "P1", "n", 0.5, "c", 5.0, "t", dt.datetime(1999, 6, 1))], rv_cols)
+    junk, _ = Dm.load_junk_dim(None, reviews.select(F.col("r_review_text").alias("review_text"),
+                                                    F.col("r_review_title").alias("review_title")))
+    ev, _, _ = Fa.load_fact(St.review_view(reviews), reviewers, prods, junk, date, product_version="event")
+    got = sorted((r.date_reviewed_key, r.product_key) for r in ev.collect())
+    assert got == [(19990601, 1), (20240115, 1), (20240301, 2)]
+    ld, _, _ = Fa.load_fact(St.review_view(reviews), reviewers, prods, junk, date)
+    assert {r.product_key for r in ld.collect()} == {2}
