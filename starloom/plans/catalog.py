@@ -638,7 +638,7 @@ def p24(spark, sf):
 
 
 @register("p10_epoch_to_timestamp", O.query(
-    " SELECT _c0 AS source_row_id, make_timestamp(CAST(unixReviewTime AS BIGINT) * 1000000) AS review_datetime"
+    " SELECT _c0 AS source_row_id, make_timestamp(TRY_CAST(unixReviewTime AS BIGINT) * 1000000) AS review_datetime"
     " FROM raw_reviews"))
 def p10(spark, sf):
     return S.raw_reviews(spark, sf).select(F.col("_c0").alias("source_row_id"),

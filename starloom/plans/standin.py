@@ -10,7 +10,11 @@ dialect helpers) feeds Spark and the DuckDB oracle.
 Roles:
 
 * review  ← lineitem ⋈ orders ⋈ customer, text from ``documents`` where an
-  order id matches a document id (else the cell is empty);
+  order id matches a document id (else the cell is empty); some cells are
+  malformed by data-derived conditions (a market segment and priority give
+  an over-long reviewer id, high supplier ids an over-long product key, line
+  7 a one-element helpful list, pending orders an unparsable review time,
+  zero discount an unparsable score) so every review rule is exercised;
 * product ← part; a product's ``related`` lists the neighbouring part ids;
   ``p_size > 45`` parts arrive late (only in the second snapshot), so
   reviews and relations referencing them exercise late-arriving members.
@@ -45,16 +49,22 @@ def raw_reviews_sql(d: Dialect) -> str:
     return f"""
 SELECT
   {s('l.l_orderkey * 10 + l.l_linenumber')} AS _c0,
-  'A' || {s('o.o_custkey')} AS reviewerID,
-  {s('l.l_partkey')} AS asin,
+  CASE WHEN c.c_mktsegment = 'AUTOMOBILE' AND o.o_orderpriority = '1-URGENT'
+       THEN 'A' || {s('o.o_custkey')} || '-' || c.c_mktsegment || '-' || o.o_orderpriority
+       ELSE 'A' || {s('o.o_custkey')} END AS reviewerID,
+  CASE WHEN l.l_suppkey > 95 THEN 'B0' || lpad({s('l.l_partkey')}, 9, '0')
+       ELSE {s('l.l_partkey')} END AS asin,
   c.c_name AS reviewerName,
-  '[' || {s('l.l_linenumber - 1')} || ', ' || {s('CAST(ROUND(l.l_tax * 100) AS INT)')} || ']' AS helpful,
+  CASE WHEN l.l_linenumber = 7 THEN '[' || {s('l.l_linenumber')} || ']'
+       ELSE '[' || {s('l.l_linenumber - 1')} || ', ' || {s('CAST(ROUND(l.l_tax * 100) AS INT)')} || ']' END
+    AS helpful,
   doc.text AS reviewText,
   CASE WHEN l.l_discount = 0 THEN 'n/a'
        ELSE {s('CAST(CEIL(l.l_quantity / 10) AS INT)')} || '.0' END AS overall,
   CASE WHEN l.l_linestatus = 'O' THEN '  ' || o.o_orderpriority || '  '
        ELSE o.o_orderpriority || ' ' || l.l_returnflag END AS summary,
-  {s(d.epoch_days('o.o_orderdate') + ' * 86400')} AS unixReviewTime
+  CASE WHEN o.o_orderstatus = 'P' AND l.l_returnflag = 'A' THEN 'pending'
+       ELSE {s(d.epoch_days('o.o_orderdate') + ' * 86400')} END AS unixReviewTime
 FROM {{lineitem}} l
 JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
 JOIN {{customer}} c ON o.o_custkey = c.c_custkey
