@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.literals import with_category_list, with_literal
+from ..functions.literals import LENIENT, SUSPECT, with_category_list, with_literal
 from ..functions.numbers import epoch_to_timestamp, py_float, ratio_round
 from ..functions.text import (PRODUCT_DEFAULTS, REVIEW_DEFAULTS, clean_text, default_if_blank,
                               is_blank)
@@ -63,35 +63,85 @@ def _source_row(raw: DataFrame, reason: Column) -> Column:
 
 # --------------------------------------------------------------------------- reviews
 
-def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up") -> DataFrame:
-    """L13 core: stage-1 review columns, ``reject_reason`` and the source row as JSON."""
+PENDING = "pending python parse"
+
+
+def _helpful_rules(helpful: Column) -> tuple[Column, Column, Column]:
+    """(valid?, first vote, second vote) of a parsed helpful list."""
+    a, b = F.get(helpful, 0), F.get(helpful, 1)
+    ok = helpful.isNotNull() & (F.size(helpful) >= 2) & b.isNotNull() & ((b == 0) | a.isNotNull())
+    return ok, a, b
+
+
+def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up", python_fallback: str = "inline") -> DataFrame:
+    """L13 core: stage-1 review columns, ``reject_reason`` and the source row as JSON.
+
+    ``python_fallback='inline'`` parses helpful-vote text the JVM cannot read
+    exactly with the Arrow fallback inside this projection.  ``'defer'``
+    keeps this pass JVM-only: such rows (when no earlier rule already
+    rejects them) get reason ``pending python parse`` plus the columns
+    :func:`resolve_pending_reviews` needs, so Python later sees only those
+    rows instead of every row of the scan.
+    """
+    if python_fallback not in ("inline", "defer"):
+        raise ValueError("python_fallback must be 'inline' or 'defer'")
     d = REVIEW_DEFAULTS
-    df = with_literal(raw, "helpful", "_helpful", "array<double>", ("list", "tuple"))
+    if python_fallback == "inline":
+        df = with_literal(raw, "helpful", "_helpful", "array<double>", ("list", "tuple"))
+        needs_python = F.lit(False)
+    else:
+        lenient = F.from_json(F.col("helpful"), "array<double>", LENIENT)
+        needs_python = F.col("helpful").isNotNull() & (lenient.isNull() | F.col("helpful").rlike(SUSPECT))
+        df = raw.withColumn("_helpful", F.when(~needs_python, lenient))
     rid = default_if_blank("reviewerID", d["reviewer_source_key"])
     pkey = default_if_blank("asin", d["product_key"])
     score = py_float("overall")
-    a, b = F.get(F.col("_helpful"), 0), F.get(F.col("_helpful"), 1)
-    helpful_ok = (F.col("_helpful").isNotNull() & (F.size("_helpful") >= 2) & b.isNotNull()
-                  & ((b == 0) | a.isNotNull()))
+    helpful_ok, a, b = _helpful_rules(F.col("_helpful"))
     ts = epoch_to_timestamp("unixReviewTime")
-    rules = [
+    before_helpful = _with_malformed(raw, [
         (V.REASONS["reviewer_id"], V.too_long(rid, V.REVIEW_MAX_LENGTHS["r_reviewer_source_key"])),
         (V.REASONS["product_key"], V.too_long(pkey, V.REVIEW_MAX_LENGTHS["r_product_key"])),
         (V.REASONS["score"], score.isNull()),
-        (V.REASONS["helpful"], ~helpful_ok),
-        (V.REASONS["datetime"], ts.isNull()),
-    ]
-    reason = V.first_failure(_with_malformed(raw, rules))
-    return df.select(
+    ])
+    earlier = V.first_failure(before_helpful)
+    pending = needs_python & earlier.isNull()
+    rules = [*before_helpful, (PENDING, pending), (V.REASONS["helpful"], ~helpful_ok),
+             (V.REASONS["datetime"], ts.isNull())]
+    reason = V.first_failure(rules)
+    out = df.select(
         rid.alias("r_reviewer_source_key"), pkey.alias("r_product_key"),
         clean_text("reviewerName", d["reviewer_name"]).alias("r_reviewer_name"),
-        F.when(helpful_ok, ratio_round(a, b, ratio_mode)).alias("r_helpfulness_rating"),
+        # Defined for accepted rows (rejected ones keep only their source row).
+        F.when(reason.isNull() & helpful_ok, ratio_round(a, b, ratio_mode)).alias("r_helpfulness_rating"),
         clean_text("reviewText", d["review_text"]).alias("r_review_text"),
         score.alias("r_review_score"),
         clean_text("summary", d["review_title"], strip=True).alias("r_review_title"),
         ts.alias("r_review_datetime"),
         reason.alias(V.REASON),
-        _source_row(raw, reason).alias("_source_row"))
+        _source_row(raw, reason).alias("_source_row"),
+        *([pending.alias("_pending"), F.when(pending, F.col("helpful")).alias("_helpful_src")]
+          if python_fallback == "defer" else []))
+    return out
+
+
+def resolve_pending_reviews(classified: DataFrame, ratio_mode: str = "half_up") -> DataFrame:
+    """Finish the rows a deferred classification left ``pending``.
+
+    Only those rows reach Python (the literal fallback on their helpful
+    text); the helpful and review-time rules are applied in order, as in
+    the inline pass.  Returns the same columns with ``_pending`` false.
+    """
+    pend = classified.filter(F.col("_pending"))
+    pend = with_literal(pend, "_helpful_src", "_h", "array<double>", ("list", "tuple"))
+    helpful_ok, a, b = _helpful_rules(F.col("_h"))
+    reason = F.coalesce(F.when(~helpful_ok, F.lit(V.REASONS["helpful"])),
+                        F.when(F.col("r_review_datetime").isNull(), F.lit(V.REASONS["datetime"])))
+    return (pend.withColumn("r_helpfulness_rating",
+                            F.when(reason.isNull() & helpful_ok, ratio_round(a, b, ratio_mode)))
+            .withColumn(V.REASON, reason)
+            .withColumn("_source_row", F.when(reason.isNotNull(), F.col("_source_row")))
+            .withColumn("_pending", F.lit(False))
+            .select(*classified.columns))
 
 
 def review_outputs(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
