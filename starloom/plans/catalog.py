@@ -1110,7 +1110,8 @@ def p23(spark, sf):
     return A.import_batch(audit_log(spark, sf)).select("ib_id", "ib_year", "ib_month")
 
 
-@register("streaming_stage1_ingest", O.query(" SELECT * EXCLUDE (_c0) FROM rc"))
+@register("streaming_stage1_ingest", O.query(""" SELECT * EXCLUDE (_c0, r_helpfulness_rating),
+  CASE WHEN reject_reason IS NULL THEN r_helpfulness_rating END AS r_helpfulness_rating FROM rc"""))
 def stream_ingest(spark, sf):
     """Review CSV files dropped in a folder, ingested by Structured Streaming (availableNow)."""
     from ..sources.csv import write_csv

@@ -12,7 +12,7 @@ Roles:
 * review  ← lineitem ⋈ orders ⋈ customer, text from ``documents`` where an
   order id matches a document id (else the cell is empty); some cells are
   malformed by data-derived conditions (a market segment and priority give
-  an over-long reviewer id, high supplier ids an over-long product key, line
+  an over-long reviewer id, one tax rate and return flag an over-long product key, line
   7 a one-element helpful list, pending orders an unparsable review time,
   zero discount an unparsable score) so every review rule is exercised;
 * product ← part; a product's ``related`` lists the neighbouring part ids;
@@ -52,7 +52,7 @@ SELECT
   CASE WHEN c.c_mktsegment = 'AUTOMOBILE' AND o.o_orderpriority = '1-URGENT'
        THEN 'A' || {s('o.o_custkey')} || '-' || c.c_mktsegment || '-' || o.o_orderpriority
        ELSE 'A' || {s('o.o_custkey')} END AS reviewerID,
-  CASE WHEN l.l_suppkey > 95 THEN 'B0' || lpad({s('l.l_partkey')}, 9, '0')
+  CASE WHEN l.l_tax = 0.08 AND l.l_returnflag = 'N' THEN 'B0' || lpad({s('l.l_partkey')}, 9, '0')
        ELSE {s('l.l_partkey')} END AS asin,
   c.c_name AS reviewerName,
   CASE WHEN l.l_linenumber = 7 THEN '[' || {s('l.l_linenumber')} || ']'
