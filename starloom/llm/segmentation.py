@@ -29,31 +29,33 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import U64, mix64, prepare, text_column
-from starloom.llm.suffix_dedup import BASE, INVERSE, _powers
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, SEED = 2, 7
-MAX_EDGES = 3_000_000    # remembered lattice edges per worker; beyond it the memory starts anew
-WORDS_AT_ONCE = 400_000
-LONG = 256               # words of more bytes are summed one position at a time
+MAX_EDGES = 2_500_000    # lattice edges a worker remembers; beyond it the rarer words are forgotten
+WORDS_AT_ONCE = 100_000  # words of the texts that are sampled together
+AHEAD = 48               # steps of a path whose open sets have bounds at once
+WORDS_BUILT = 6_000     # new words whose lattices are built together
 _UNIT = re.compile(rb"\n| *[^ \n]+| +")
 _LATTICES: dict = {}
 
 
 class Vocabulary:
-    """Pieces as bytes (a space for the meta symbol), their log-weights, and hash tables by length."""
+    """Pieces as bytes (a space for the meta symbol), their log-weights, and a trie of them."""
 
     def __init__(self, path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes: list[bytes] = []
+        self.bytes: list[bytes] | np.ndarray = []
         self.weight = np.full(sp.vocab_size(), -np.inf)
         self.byte_piece = np.full(256, -1, dtype=np.int64)
         by_size: dict[int, list[tuple[bytes, int]]] = {}
@@ -75,15 +77,47 @@ class Vocabulary:
                 self.weight[i] = -np.log(rank + 2.0)
                 rank += 1
                 by_size.setdefault(len(raw), []).append((raw, i))
-        self.tables = {}
-        for size, pieces in by_size.items():
-            raw = np.frombuffer(b"".join(p for p, _ in pieces), dtype=np.uint8).reshape(-1, size)
-            h = mix64(((raw.astype(U64) + U64(1)) * _powers(BASE, size)).sum(axis=1, dtype=U64))
-            order = np.argsort(h)
-            self.tables[size] = (h[order], np.array([i for _, i in pieces])[order])
+        self.bytes = np.array([*self.bytes, None], dtype=object)[:-1]
+        self._trie([p for pieces in by_size.values() for p in pieces])
+
+    def _trie(self, pieces: list[tuple[bytes, int]]):
+        """Transitions (node, byte) -> node as sorted keys, first bytes as a table, and the piece that ends at a node."""
+        nodes: dict[bytes, int] = {b"": 0}
+        for raw, _ in pieces:
+            for n in range(1, len(raw) + 1):
+                nodes.setdefault(raw[:n], len(nodes))
+        self.ends = np.full(len(nodes), -1, dtype=np.int32)
+        for raw, i in pieces:
+            self.ends[nodes[raw]] = i
+        keys = np.array([(nodes[k[:-1]] << 8) | k[-1] for k in nodes if k], dtype=np.int64)
+        to = np.array([n for k, n in nodes.items() if k], dtype=np.int32)
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[order]
+        self.roots = np.full(256, -1, dtype=np.int64)
+        first = self.keys < 256
+        self.roots[self.keys[first]] = self.to[first]
+        self.longest = max((len(raw) for raw, _ in pieces), default=0)
+
+    def matches(self, data: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, positions, pieces) of all pieces in ``data``; ``left`` is how far each position may reach."""
+        place = np.arange(len(data))
+        node = self.roots[data]
+        for size in range(1, self.longest + 1):
+            live = node >= 0
+            place, node = place[live], node[live]
+            if not len(place):
+                return
+            piece = self.ends[node]
+            whole = np.flatnonzero(piece >= 0)
+            yield size, place[whole], piece[whole]
+            more = left[place] > size
+            place, node = place[more], node[more]
+            key = (node << 8) | data[place + size]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            node = np.where(self.keys[at] == key, self.to[at], -1)
 
     def decode(self, ids) -> bytes:
-        raw = b"".join(map(self.bytes.__getitem__, ids))
+        raw = b"".join(self.bytes[np.asarray(ids, dtype=np.int64)].tolist())
         return raw[1:] if raw.startswith(b" ") else raw
 
 
@@ -96,60 +130,92 @@ class Lattices:
 
     def clear(self):
         self.words: dict[bytes, int] = {}
+        self.seen = np.zeros(0, np.int32)           # word -> how often it was looked up
         self.row_of, self.size_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)          # row -> first edge
-        self.edges = np.zeros(0, np.int64)          # edges of the row, as a count
+        self.edges = np.zeros(0, np.int32)          # edges of the row, as a count
         self.cum, self.logp = np.zeros(0), np.zeros(0)
         self.step, self.piece = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.n_words = self.n_rows = self.n_edges = 0  # the arrays are longer than what they hold
+
+    def _store(self, name: str, at: int, values: np.ndarray):
+        """Put values into an array from ``at`` on; it grows by half at least."""
+        array = getattr(self, name)
+        if at + len(values) > len(array):
+            array = np.concatenate([array[:at], np.zeros(max(len(values), at // 2), array.dtype)])
+            setattr(self, name, array)
+        array[at:at + len(values)] = values
 
     def numbers(self, units: list[bytes]) -> np.ndarray:
-        if len(self.cum) > MAX_EDGES:
-            self.clear()
-        new = list({u for u in units if u not in self.words})
-        if new:
-            for u in new:
-                self.words[u] = len(self.words)
-            self._add(new)
-        return np.fromiter(map(self.words.__getitem__, units), dtype=np.int64, count=len(units))
+        """Word numbers, with lattices built for new words; numbers hold until the next call."""
+        if self.n_edges > MAX_EDGES:
+            self._forget()
+        find = self.words.get
+        out = np.fromiter(map(find, units, repeat(-1)), dtype=np.int64, count=len(units))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            names = [units[k] for k in missing.tolist()]
+            new = list(dict.fromkeys(names))
+            for k in range(0, len(new), WORDS_BUILT):
+                part = new[k:k + WORDS_BUILT]
+                self.words.update(zip(part, range(len(self.words), len(self.words) + len(part))))
+                self._add(part)
+            out[missing] = np.fromiter(map(self.words.__getitem__, names), dtype=np.int64, count=len(names))
+        self.seen[:self.n_words] += np.bincount(out, minlength=self.n_words).astype(np.int32)
+        return out
+
+    def _forget(self):
+        """Keep the lattices of words met more than once, up to half the room; the others are built anew when needed."""
+        rows_end = self.row_of[:self.n_words] + self.size_of[:self.n_words]
+        row_edges = np.append(self.first[:self.n_rows], self.n_edges)
+        size = row_edges[rows_end] - row_edges[self.row_of[:self.n_words]]
+        seen = self.seen[:self.n_words]
+        order = np.argsort(-seen, kind="stable")
+        keep = np.sort(order[(np.cumsum(size[order]) <= MAX_EDGES // 2) & (seen[order] > 1)])
+        if not len(keep):
+            return self.clear()
+
+        def spans(start, n):
+            return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+        names = list(self.words)
+        rows = spans(self.row_of[keep], self.size_of[keep])
+        edges = spans(self.first[rows], self.edges[rows].astype(np.int64))
+        self.words = {names[k]: n for n, k in enumerate(keep.tolist())}
+        count = self.edges[rows]
+        size = self.size_of[keep]
+        for name, values in (("size_of", size), ("row_of", np.cumsum(size) - size), ("seen", np.ones(len(keep), np.int32)),
+                             ("edges", count), ("first", np.cumsum(count, dtype=np.int64) - count),
+                             *[(x, getattr(self, x)[edges]) for x in ("cum", "logp", "step", "piece")]):
+            getattr(self, name)[:len(values)] = values  # in place: the arrays keep their room
+        self.n_words, self.n_rows, self.n_edges = len(keep), len(rows), len(edges)
 
     def _add(self, words: list[bytes]):
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        inside = np.arange(len(data)) - np.repeat(starts, sizes)
         left = np.repeat(ends, sizes) - np.arange(len(data))
-        longest = int(sizes.max())
-        c = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum((data.astype(U64) + U64(1)) * _powers(BASE, longest)[inside], out=c[1:])
-        unscale = _powers(INVERSE, longest)[inside]
         lead = (data & 0xC0) != 0x80
         width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
         covered = ~lead
         at, step, piece = [], [], []
-        for size, (table, ids) in self.v.tables.items():
-            place = np.flatnonzero(lead & (left >= size))
-            if not len(place):
-                continue
-            h = mix64((c[place + size] - c[place]) * unscale[place])
-            found = np.minimum(np.searchsorted(table, h), len(table) - 1)
-            hit = table[found] == h
-            place, found = place[hit], found[hit]
+        for size, place, found in self.v.matches(data, left):
             covered[place[width[place] == size]] = True
             at.append(place)
-            step.append(np.full(len(place), size))
-            piece.append(ids[found])
+            step.append(np.full(len(place), size, dtype=np.int32))
+            piece.append(found)
         bare = np.flatnonzero(~covered)  # characters that no piece has: byte by byte
         for k in range(4):
             place = bare[width[bare] > k] + k
             at.append(place)
-            step.append(np.ones(len(place), dtype=np.int64))
+            step.append(np.ones(len(place), dtype=np.int32))
             piece.append(self.v.byte_piece[data[place]])
         at, step, piece = np.concatenate(at), np.concatenate(step), np.concatenate(piece)
         weight = self.v.weight[piece]
         beta = self._backward(len(data), at, step, weight, left, ends)
         logp = weight + np.where(step == left[at], 0.0, beta[np.minimum(at + step, len(data) - 1)]) - beta[at]
-        order = np.lexsort((piece, -logp, at))
+        order = np.argsort(at - 0.9 * np.exp(logp), kind="stable")  # by position, likeliest first
         at, step, piece, logp = at[order], step[order], piece[order], logp[order]
         edges = np.bincount(at, minlength=len(data))
         first = np.cumsum(edges) - edges
@@ -157,21 +223,20 @@ class Lattices:
         total = np.cumsum(p)
         cum = total - (total - p)[first[at]]
         cum[(first + edges - 1)[edges > 0]] = 2.0  # the last edge takes what rounding leaves
-        row0, edge0 = len(self.first), len(self.cum)
-        self.row_of = np.concatenate([self.row_of, starts + row0])
-        self.size_of = np.concatenate([self.size_of, sizes])
-        self.first = np.concatenate([self.first, first + edge0])
-        self.edges = np.concatenate([self.edges, edges])
-        self.cum, self.logp = np.concatenate([self.cum, cum]), np.concatenate([self.logp, np.minimum(logp, 0.0)])
-        self.step = np.concatenate([self.step, step.astype(np.int32)])
-        self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
+        for name, at0, values in (
+                ("row_of", self.n_words, starts + self.n_rows), ("size_of", self.n_words, sizes),
+                ("seen", self.n_words, np.zeros(len(words), np.int32)), ("first", self.n_rows, first + self.n_edges),
+                ("edges", self.n_rows, edges), ("cum", self.n_edges, cum), ("logp", self.n_edges, np.minimum(logp, 0.0)),
+                ("step", self.n_edges, step), ("piece", self.n_edges, piece)):
+            self._store(name, at0, values)
+        self.n_words, self.n_rows, self.n_edges = self.n_words + len(words), self.n_rows + len(data), self.n_edges + len(cum)
 
     @staticmethod
     def _backward(n, at, step, weight, left, ends) -> np.ndarray:
         """Log of the summed weight of all paths from each position to the end of its word."""
         beta = np.full(n, -np.inf)
-        order = np.lexsort((at, left[at]))
-        a, s, w, d = at[order], step[order], weight[order], left[at][order]
+        order = np.argsort(left[at] * n + at, kind="stable")
+        a, s, w, d = at[order], step[order], weight[order], left[at[order]]
         cuts = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(a) else np.zeros(0, np.int64)
         with np.errstate(divide="ignore", invalid="ignore"):
             for x, y in zip(cuts, np.append(cuts[1:], len(a))):
@@ -237,66 +302,100 @@ def uniforms(key: np.ndarray, counter) -> np.ndarray:
     return ((x >> U64(11)).astype(np.float64) + 0.5) * (1.0 / (1 << 53))
 
 
-def _truncated(mass: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
+def _truncated(mass, bound, u):
     """Gumbel values with log-masses ``mass``, given that they lie below ``bound``."""
     with np.errstate(divide="ignore", over="ignore"):
         return -np.logaddexp(-bound, np.log(-np.log(u)) - mass)
 
 
-def _open_sets(before: np.ndarray, logp: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
-    """Bounds of the sets of paths that leave a path at each of its steps."""
-    with np.errstate(divide="ignore"):
-        rest = np.log(-np.expm1(logp))
-    return _truncated(before + rest, bound, u)
+class Paths:
+    """One path of each of many texts, end to end in flat arrays, with the bounds of the sets that leave it.
+
+    A path's first ``AHEAD`` steps after ``since`` have bounds of their own; all
+    later ones form one set until it is the best.
+    """
+
+    def __init__(self, n: int, keys: np.ndarray, lattices: Lattices, edges, rows, words, starts, since, values):
+        self.l, self.edges, self.rows, self.words, self.starts, self.since = lattices, edges, rows, words, starts, since
+        self.salt = mix64(keys + U64(977 * (n + 1)))
+        self.logp = lattices.logp[edges]
+        total = np.concatenate([[0.0], np.cumsum(self.logp)])
+        self.size = np.diff(starts)
+        self.before = total - np.repeat(total[starts[:-1]], np.append(self.size[:-1], self.size[-1] + 1)) if len(starts) > 1 else total
+        self.total = total[starts[1:]] - total[starts[:-1]]
+        self.values = values
+        at = since[:, None] + np.arange(AHEAD)
+        inside = at < self.size[:, None]
+        place = np.where(inside, starts[:-1, None] + at, 0)
+        near = np.minimum(self.size, since + AHEAD)
+        tail_before = np.where(near < self.size, self.before[np.minimum(starts[:-1] + near, len(edges))], 0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            mass = self.before[place] + np.log(-np.expm1(self.logp[place])) if len(edges) else np.zeros(at.shape)
+            mass = np.where(inside, mass, -np.inf)
+            tail = np.where(near < self.size, tail_before + np.log(-np.expm1(np.minimum(self.total - tail_before, 0.0))), -np.inf)
+            mass = np.concatenate([mass, tail[:, None]], axis=1)
+            u = uniforms(self.salt[:, None], np.arange(AHEAD + 1) + since[:, None])
+            self.bounds = _truncated(mass, values[:, None], u)
 
 
 class Search:
-    """Emitted paths of one text and the open sets beside them."""
+    """Emitted paths of one text (its places in :class:`Paths`) and the open sets beside them."""
 
-    def __init__(self, key: int, lattices: Lattices, edges: np.ndarray, rows: np.ndarray, words: np.ndarray):
+    def __init__(self, key: int, lattices: Lattices):
         self.key, self.l = key, lattices
-        u = uniforms(np.array([key], dtype=U64), np.array([1]))[0]
-        self.paths = []
+        self.paths: list[dict] = []
         self.closed: dict[tuple[int, int], list[int]] = {}
-        self._emit(edges, rows, words, 0, float(-np.log(-np.log(u))))
-
-    def _emit(self, edges, rows, words, since: int, value: float):
-        logp = self.l.logp[edges]
-        before = np.concatenate([[0.0], np.cumsum(logp)])
-        n = len(self.paths)
-        key = np.full(len(edges) - since, mix64(np.array([self.key], dtype=U64) + U64(977 * (n + 1)))[0], dtype=U64)
-        bounds = np.full(len(edges), -np.inf)
-        bounds[since:] = _open_sets(before[since:-1], logp[since:], value, uniforms(key, np.arange(since, len(edges))))
-        self.paths.append({"edges": edges, "rows": rows, "words": words, "logp": float(before[-1]), "before": before,
-                           "value": value, "bounds": bounds})
+
+    def add(self, p: Paths, d: int):
+        span = slice(p.starts[d], p.starts[d + 1])
+        self.paths.append({"edges": p.edges[span], "rows": p.rows[span], "words": p.words[span], "before": p.before[span],
+                           "since": int(p.since[d]), "logp": float(p.total[d]), "value": float(p.values[d]),
+                           "salt": int(p.salt[d]), "bounds": p.bounds[d], "folded": True})
+
+    def _unfold(self, p: dict):
+        """Give the steps beyond the near ones bounds of their own: one of them has the bound of them all."""
+        near, value = p["since"] + AHEAD, float(p["bounds"][-1])
+        logp = self.l.logp[p["edges"][near:]]
+        with np.errstate(divide="ignore"):
+            mass = p["before"][near:] + np.log(-np.expm1(logp))
+        u = uniforms(np.full(len(logp) + 1, p["salt"], dtype=U64), np.arange(near + 1, near + 2 + len(logp)))
+        share = np.cumsum(np.exp(mass - mass.max()))
+        top = min(int(np.searchsorted(share, u[0] * share[-1], side="right")), len(share) - 1)
+        bounds = _truncated(mass, value, u[1:])
+        bounds[top] = value
+        p["bounds"], p["folded"] = np.concatenate([p["bounds"][:-1], bounds]), False
 
     def best(self) -> tuple[float, int, int]:
-        """The largest bound of an open set: its value, path and step."""
+        """The largest bound of an open set: its value, path and place among the path's bounds."""
         top = (-np.inf, -1, -1)
         for n, p in enumerate(self.paths):
-            if len(p["bounds"]):
-                t = int(p["bounds"].argmax())
-                if p["bounds"][t] > top[0]:
-                    top = (float(p["bounds"][t]), n, t)
+            k = int(p["bounds"].argmax())
+            if p["bounds"][k] > top[0]:
+                top = (float(p["bounds"][k]), n, k)
         return top
 
     def branch(self) -> tuple | None:
         """Open the best set and draw the piece by which the next path leaves it; close that piece in the set."""
-        value, n, t = self.best()
+        value, n, k = self.best()
         if n < 0:
             return None
         p = self.paths[n]
+        if p["folded"] and k == AHEAD:
+            self._unfold(p)
+            value, n, k = self.best()
+        t = p["since"] + k
         row = int(p["rows"][t])
         closed = self.closed.setdefault((n, t), [int(p["edges"][t])])
         lo, hi = int(self.l.first[row]), int(self.l.first[row] + self.l.edges[row])
         free = [e for e in range(lo, hi) if e not in closed]
         mass = np.exp(self.l.logp[free])
-        u = uniforms(np.array([self.key] * 2, dtype=U64), np.array([10_007 + 2 * len(self.paths), 10_008 + 2 * len(self.paths)]))
+        u = uniforms(np.full(2, self.key, dtype=U64), 10_007 + 2 * len(self.paths) + np.arange(2))
         e = free[min(int(np.searchsorted(np.cumsum(mass), u[0] * mass.sum(), side="right")), len(free) - 1)]
         closed.append(e)
         rest = [f for f in free if f != e]
-        p["bounds"][t] = _truncated(np.array([p["before"][t] + np.log(np.exp(self.l.logp[rest]).sum())]), value, u[1:])[0] \
-            if rest else -np.inf
+        if p["bounds"].base is not None:
+            p["bounds"] = p["bounds"].copy()
+        p["bounds"][k] = _truncated(p["before"][t] + np.log(np.exp(self.l.logp[rest]).sum()), value, u[1]) if rest else -np.inf
         return value, n, t, e
 
 
@@ -323,10 +422,12 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices, k: int)
     ahead = np.cumsum(lattices.step[edges]) - lattices.step[edges] if len(edges) else np.zeros(0, np.int64)
     of_word = np.repeat(np.arange(len(flat)), count)
     rows = row[of_word] + ahead - ahead[np.minimum(step0[:-1], max(len(ahead) - 1, 0))][of_word] if len(edges) else ahead
-    searches = []
-    for d in range(len(texts)):
-        a, b = step0[word0[d]], step0[word0[d + 1]]
-        searches.append(Search(int(keys[d]), lattices, edges[a:b], rows[a:b], of_word[a:b] - word0[d]))
+    u = uniforms(keys, 1)
+    paths = Paths(0, keys, lattices, edges, rows, of_word - np.repeat(word0[:-1], n_words)[of_word], step0[word0],
+                  np.zeros(len(texts), np.int64), -np.log(-np.log(u)))
+    searches = [Search(int(key), lattices) for key in keys]
+    for d, s in enumerate(searches):
+        s.add(paths, d)
     for j in range(1, k):
         branches = [s.branch() for s in searches]
         r, left, key, sizes = [], [], [], []
@@ -336,35 +437,41 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices, k: int)
                 continue
             value, n, t, e = br
             p = searches[d].paths[n]
-            w = int(p["words"][t])
-            cur = word0[d] + w
-            step = int(lattices.step[e])
-            done = int(p["rows"][t]) - int(row[cur]) + step
+            cur = word0[d] + int(p["words"][t])
+            done = int(p["rows"][t]) - int(row[cur]) + int(lattices.step[e])
             span = slice(cur + 1, word0[d + 1])
-            r.append(np.concatenate([[row[cur] + done], row[span]]))
-            left.append(np.concatenate([[size[cur] - done], size[span]]))
-            key.append(mix64(base[cur:word0[d + 1]] + U64(7919 * j)))
-            sizes.append(len(r[-1]))
+            r += [row[cur:cur + 1] + done, row[span]]
+            left += [size[cur:cur + 1] - done, size[span]]
+            key.append(base[cur:word0[d + 1]])
+            sizes.append(word0[d + 1] - cur)
         if not r:
             break
         r, left = np.concatenate(r), np.concatenate(left)
-        more, many = lattices.walk(r, left, np.concatenate(key))
+        more, many = lattices.walk(r, left, mix64(np.concatenate(key) + U64(7919 * j)))
         ends = np.concatenate([[0], np.cumsum(many)])
         own = np.repeat(np.arange(len(r)), many)
         far = np.cumsum(lattices.step[more]) - lattices.step[more] if len(more) else np.zeros(0, np.int64)
         place = r[own] + far - far[np.minimum(ends[:-1], max(len(far) - 1, 0))][own] if len(more) else far
-        at = 0
+        at, new_edges, new_rows, new_words, starts, since, values, who = 0, [], [], [], [0], [], [], []
         for d, br in enumerate(branches):
             if br is None:
                 continue
             value, n, t, e = br
-            p, m = searches[d].paths[n], sizes[d]
+            p, m = searches[d].paths[n], int(sizes[d])
             x, y = ends[at], ends[at + m]
-            w = int(p["words"][t])
-            searches[d]._emit(np.concatenate([p["edges"][:t], [e], more[x:y]]),
-                              np.concatenate([p["rows"][:t + 1], place[x:y]]),
-                              np.concatenate([p["words"][:t], [w], own[x:y] - at + w]), t, value)
+            w = p["words"][t]
+            new_edges += [p["edges"][:t], [e], more[x:y]]
+            new_rows += [p["rows"][:t + 1], place[x:y]]
+            new_words += [p["words"][:t + 1], own[x:y] + (w - at)]
+            starts.append(starts[-1] + t + 1 + int(y - x))
+            since.append(t + 1)
+            values.append(value)
+            who.append(d)
             at += m
+        paths = Paths(j, keys[who], lattices, np.concatenate(new_edges).astype(np.int64), np.concatenate(new_rows),
+                      np.concatenate(new_words), np.array(starts), np.array(since), np.array(values))
+        for n, d in enumerate(who):
+            searches[d].add(paths, n)
     out = []
     for s in searches:
         bound = s.best()[0]
@@ -400,7 +507,11 @@ def _portions(b: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES,
            seed: int = SEED, model: str = DEFAULT_MODEL) -> DataFrame:
-    """``samples`` distinct segmentations of every text: id, sample, ids, log_prob, perturbed, log_inclusion."""
+    """``samples`` distinct segmentations of every text.
+
+    Columns: id, sample, ids, log_prob, perturbed, log_inclusion, and
+    ``decoded_xxh64``, the XXH64 (seed 42) of the text the ids decode to.
+    """
     prepare(docs.sparkSession)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,11 +526,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i for i, _, _ in rows], type=pa.int64()), pa.array([n for _, n, _ in rows], type=pa.int32()),
                      pa.ListArray.from_arrays(pa.array(sizes, type=pa.int32()), pa.array(flat, type=pa.int32())),
-                     *[pa.array([p[c] for _, _, p in rows], type=pa.float64()) for c in ("log_prob", "value", "log_inclusion")]],
-                    names=["_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"])
+                     *[pa.array([p[c] for _, _, p in rows], type=pa.float64()) for c in ("log_prob", "value", "log_inclusion")],
+                     pa.array([xxhash.xxh64_intdigest(lattices.v.decode(p["ids"]), 42) for _, _, p in rows],
+                              type=pa.uint64()).view(pa.int64())],
+                    names=["_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "decoded_xxh64"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text_column(text_col).alias("_t"))
-    return rows.mapInArrow(draw, "_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double") \
+    return rows.mapInArrow(draw, "_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, "
+                           "decoded_xxh64 long") \
         .withColumnRenamed("_id", id_col)
 
 
@@ -439,7 +553,6 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = DEFAULT_MODEL)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Per sample: piece count, hash of the ids, scores, and the hash of the decoded text."""
+    """:func:`encode` with the ids as their count and hash."""
     found = encode(docs, id_col, text_col, **options)
-    found = found.withColumn("n_pieces", F.size("ids")).withColumn("ids_xxh64", F.xxhash64("ids"))
-    return decode(found).withColumn("decoded_xxh64", F.xxhash64("text")).drop("text")
+    return found.withColumn("n_pieces", F.size("ids")).withColumn("ids_xxh64", F.xxhash64("ids")).drop("ids")
