@@ -38,9 +38,13 @@ def source_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
         pairs = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]) \
             if weights else F.create_map().cast("map<string,double>")
         weighted = chars.withColumn("_w", F.coalesce(pairs[F.col("_source")], F.lit(0.0)))
-    total = weighted.agg(F.sum("chars").alias("_all"), F.sum("_w").alias("_ws"))
-    rate = F.when(F.col("_ws") > 0, F.col("_w") / F.col("_ws") * F.col("_all") * F.lit(float(size)) / F.col("chars"))
-    return weighted.join(F.broadcast(total)).select("_source", "chars", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    # a row per source, written so that it is summed once more without reading the texts again
+    weighted = written(weighted, "mixing-sources")
+    total = weighted.agg(F.sum("chars").alias("a"), F.sum("_w").alias("w")).first()
+    if not total.w:
+        return weighted.select("_source", "chars", F.lit(0.0).alias("rate"))
+    rate = F.col("_w") / F.lit(float(total.w)) * F.lit(total.a) * F.lit(float(size)) / F.col("chars")
+    return weighted.select("_source", "chars", rate.alias("rate"))
 
 
 def poisson_cdf(rate: Column) -> Column:

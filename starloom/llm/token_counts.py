@@ -66,12 +66,12 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     later = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     blocks = per_block.select("_b", F.coalesce(F.sum("_bd").over(later), F.lit(0)).alias("_ld"),
                               F.coalesce(F.sum("_bw").over(later), F.lit(0)).alias("_lw"))
-    totals = per_block.agg(F.sum("_bd").alias("total_docs"), F.sum("_bw").alias("total_tokens"))
+    total = per_block.agg(F.coalesce(F.sum("_bd"), F.lit(0)).alias("docs"), F.coalesce(F.sum("_bw"), F.lit(0)).alias("tokens")).first()
     inside = Window.partitionBy("_b").orderBy(F.col("n_tokens").desc()).rowsBetween(Window.unboundedPreceding, 0)
     s = h.join(blocks, "_b").select(
         "n_tokens", "n_docs", (F.sum("n_docs").over(inside) + F.col("_ld")).alias("docs_from"),
         (F.sum("_w").over(inside) + F.col("_lw")).alias("tokens_from"))
-    s = s.join(F.broadcast(totals))  # one row
+    s = s.withColumn("total_docs", F.lit(total.docs).cast("long")).withColumn("total_tokens", F.lit(total.tokens).cast("long"))
     up_to = F.col("total_docs") - F.col("docs_from") + F.col("n_docs")
     return s.select("n_tokens", "n_docs", "docs_from", "tokens_from",
                     up_to.alias("docs_up_to"), (up_to / F.col("total_docs")).alias("quantile"),

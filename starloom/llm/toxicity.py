@@ -40,7 +40,7 @@ SAMPLE = 10_000          # labelled documents of each class that are read
 LEXICON = 2_000          # learnt entries kept, those met in most toxic documents
 MIN_DOCS, MIN_SHARE = 5, 0.01  # an entry occurs in so many, and such a share, of the toxic documents
 MIN_ODDS = 4.0           # least log-odds of an entry
-STEMS = (4, 5, 6)        # lengths of word beginnings that are tried
+STEMS = (4, 5, 6, 7)      # lengths of word beginnings that are tried
 THRESHOLD = 0.7
 
 INSULTS = ("idiot moron stupid fool loser scum trash clown pathetic worthless disgusting dumb imbecile bastard "
