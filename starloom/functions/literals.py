@@ -31,6 +31,25 @@ LENIENT = {
 # (escapes, bare words that are names in Python, not literals).
 SUSPECT = r"\\|\b(true|false|null|NaN|Infinity)\b"
 
+# Quoted text, and a bracket pair without brackets inside.
+QUOTED, INNERMOST = r"\"[^\"]*\"|'[^']*'", r"\[[^\[\]{}]*\]|\{[^\[\]{}]*\}"
+DEPTH = 4
+
+
+def one_value(c: Column) -> Column:
+    """Whether the text is one bracketed value and nothing after it.
+
+    The JSON reader stops at the end of the first value, so ``[2, 3] x`` or
+    ``[2, 3]]`` would pass.  Quoted text is blanked and bracket pairs are
+    folded from the inside; one folded pair must be all that is left.  Deeper
+    text than ``DEPTH`` fails the test and is read by Python.
+    """
+    text = F.regexp_replace(c, QUOTED, "q")
+    for _ in range(DEPTH):
+        text = F.regexp_replace(text, INNERMOST, "v")
+    return F.trim(text) == "v"
+
+
 FALLBACK_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
     T.StructField("json", T.StringType()),
@@ -90,7 +109,7 @@ def with_literal(df: DataFrame, src: str, out: str, ddl: str,
     kind_of_json = kinds[0]
     c = F.col(src)
     lenient = F.from_json(c, ddl, LENIENT)
-    need = c.isNotNull() & (lenient.isNull() | c.rlike(SUSPECT))
+    need = c.isNotNull() & (lenient.isNull() | c.rlike(SUSPECT) | ~one_value(c))
     fb = f"__fb_{out}"
     df = df.withColumn(fb, _python_literal(F.when(need, c)))
     value = F.when(F.col(fb).isNotNull() & F.col(f"{fb}.kind").isNotNull(),
@@ -121,7 +140,7 @@ def with_category_list(df: DataFrame, src: str, out: str) -> DataFrame:
     nested_ok = nested.isNotNull() & ~F.exists(F.flatten(nested),
                                                  lambda x: x.startswith("[") | x.startswith("{"))
     jvm = F.when(nested_ok, F.flatten(nested)).when(nested.isNull() & flat_ok, flat)
-    need = c.isNotNull() & (jvm.isNull() | c.rlike(SUSPECT))
+    need = c.isNotNull() & (jvm.isNull() | c.rlike(SUSPECT) | ~one_value(c))
     fb = f"__fb_{out}"
     df = df.withColumn(fb, _python_literal(F.when(need, c)))
     fb_value = F.when(F.col(f"{fb}.kind") == "list", F.col(f"{fb}.flat"))

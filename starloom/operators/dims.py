@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..session import materialize
-from .joins import restrict_to_keys, small_side
+from .joins import restrict_to_keys
 from .keys import assign_surrogate_keys, max_key
 
 DATE_COLUMNS = ["date_key", "date", "day_of_week", "month_of_year", "month_of_year_number",
@@ -118,9 +118,7 @@ def scd1_upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "rev
     if existing is None:
         existing = latest.sparkSession.createDataFrame([], f"{sk} long, {key} string, {attr} string")
     old = existing.select(F.col(sk), F.col(key), F.col(attr).alias("_old"))
-    # The batch side is small next to the dimension: broadcast it (when its
-    # counted size allows) so the whole dimension streams through once.
-    upd = old.join(small_side(latest), key, "left")
+    upd = old.join(latest, key, "left")
     kept = upd.select(sk, key, F.coalesce("_new", "_old").alias(attr))
     known = restrict_to_keys(old.select(key), key, latest, key)
     fresh = latest.join(known, key, "left_anti")
@@ -187,7 +185,7 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, key: str, attrs: Sequ
                    F.sum(F.when(F.col("_change") == "same", 1).otherwise(0)).cast("long").alias("unchanged"))
     if dim_all is None:
         return added.select(*cols), counts
-    expiring = small_side(j.filter(F.col("_change") == "type_2").select(F.col(sk).alias("_exp_sk")))
+    expiring = j.filter(F.col("_change") == "type_2").select(F.col(sk).alias("_exp_sk"))
     marked = dim_all.join(expiring, F.col(sk) == F.col("_exp_sk"), "left")
     hit = F.col("_exp_sk").isNotNull() & F.col("is_current")
     kept = marked.select(

@@ -5,8 +5,8 @@ Each stage-2 review resolves four keys: reviewer (SCD1 dimension), product
 matched on hash + text + title), and the date key, which must exist in the
 date dimension.  Rows with an unresolved key are quarantined with the
 first missing key as reason (D15); duplicate primary keys keep one row
-(K1); rows whose primary key is already loaded are skipped, so a re-run
-adds nothing (D16).
+(K1); facts already loaded, under whatever version of their product, are
+skipped, so a re-run adds nothing (D16).
 """
 
 from __future__ import annotations
@@ -16,17 +16,14 @@ from pyspark.sql import functions as F
 
 from .bridge import current_products
 from .dims import descriptor_hash
-from ..session import materialize
-from .joins import restrict_to_keys
 from .keys import dedupe_on_key
 from .validate import REASON
 
 FACT_PK = ["date_reviewed_key", "reviewer_key", "product_key", "review_descriptors_key"]
 FACT_COLUMNS = [*FACT_PK, "helpfulness_rating", "review_rating"]
 
-# Colliding md5 hashes up to this many are broadcast to select the reviews
-# that need a text comparison; beyond it the selection is a shuffle join.
-COLLISION_BROADCAST_LIMIT = 100_000
+# What a fact is about: a later version of the product does not make it another fact.
+FACT_GRAIN = ["date_reviewed_key", "reviewer_key", "_psk", "review_descriptors_key"]
 
 # Reasons for reviews whose keys do not resolve.
 MISSING_REVIEWER = "unknown reviewer"
@@ -92,29 +89,15 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
         F.col("r_review_datetime").cast("timestamp_ntz").alias("_ts"),
         F.col("r_helpfulness_rating").cast("double").alias("helpfulness_rating"),
         F.col("r_review_score").cast("double").alias("review_rating"))
-    # Only dimension rows this batch can hit take part: each large dimension
-    # is filtered by the batch's keys while it is scanned (see restrict_to_keys).
-    # The batch's key columns are computed once (hashing every text once).
-    keys = materialize(r.select("_rsk", "_psk", "_h"))
-    junk_dim = restrict_to_keys(junk_dim, "descriptor_hash", keys, "_h")
-    reviewer_dim = restrict_to_keys(reviewer_dim, "reviewer_source_key", keys, "_rsk")
-    if product_version == "load":
-        product_dim = restrict_to_keys(current_products(product_dim), "product_source_key", keys, "_psk")
-    else:
-        product_dim = restrict_to_keys(product_versions_at(product_dim), "product_source_key", keys, "_psk")
+    product_dim = current_products(product_dim) if product_version == "load" else product_versions_at(product_dim)
     unique, collided = descriptor_lookup(junk_dim)
     rest = [c for c in r.columns if c not in ("_text", "_title")]
     by_hash = r.select(*rest).join(unique.withColumnRenamed("descriptor_hash", "_h"), "_h", "left")
     # Reviews whose hash collides in the dimension are matched on hash + both
-    # texts.  The colliding hashes are counted first (one scalar): with none,
-    # the branch is not planned at all, so no review text is shuffled; a
-    # short list is broadcast to pick out the few reviews that need it, and
-    # a long one is joined by shuffle.
+    # texts; without any such hash no review text is shuffled.
     hashes = collided.select(F.col("descriptor_hash").alias("_h")).distinct()
-    n_collided = hashes.count()
-    if n_collided:
-        pick = F.broadcast(hashes) if n_collided <= COLLISION_BROADCAST_LIMIT else hashes
-        suspects = r.join(pick, "_h", "left_semi")
+    if not hashes.isEmpty():
+        suspects = r.join(hashes, "_h", "left_semi")
         coll = collided.select(F.col("descriptor_hash").alias("_jh"), F.col("review_text").alias("_jt"),
                                F.col("review_title").alias("_jti"),
                                F.col("review_descriptors_key").alias("_ck"))
@@ -151,25 +134,33 @@ def load_fact(reviews: DataFrame, reviewer_dim: DataFrame, product_dim: DataFram
               ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (rows to append, quarantined rows, counts).
 
-    ``counts`` has ``records_in`` and ``unresolved`` computed from the
-    classified rows by one aggregate.  Pass ``resolved`` (the output of
-    :func:`resolve_fact_keys`, e.g. written once by the pipeline) so the
-    three outputs share one resolution pass instead of repeating the joins.
+    Rows are unique, and tested against ``existing``, on :data:`FACT_GRAIN`:
+    stored product keys are mapped back to source keys over all versions of
+    ``product_dim``, so a review already loaded under an older version of its
+    product is not loaded again.
+
+    ``counts`` has ``records_in``, ``unresolved`` and ``records_failed`` (unresolved
+    rows and those that lose their key to another row, exact copies among
+    them).  Pass ``resolved`` (the output of :func:`resolve_fact_keys`, e.g.
+    written once by the pipeline) so the outputs share one resolution pass.
     """
     j = resolved if resolved is not None else resolve_fact_keys(
         reviews, reviewer_dim, product_dim, junk_dim, date_dim, product_version)
-    unresolved = j.filter(F.col(REASON).isNotNull()).select(
-        F.col("_rsk").alias("r_reviewer_source_key"), F.col("_psk").alias("r_product_key"),
-        "date_reviewed_key", REASON)
-    resolved = j.filter(F.col(REASON).isNull()).select(*FACT_COLUMNS)
+    cols = [F.col("_rsk").alias("r_reviewer_source_key"), F.col("_psk").alias("r_product_key"),
+            "date_reviewed_key", REASON]
+    unresolved = j.filter(F.col(REASON).isNotNull()).select(*cols)
+    found = j.filter(F.col(REASON).isNull()).select("_rsk", "_psk", *FACT_COLUMNS)
     # Several reviews on one key: keep the best-rated one, ties by smallest row.
-    kept, dups = dedupe_on_key(resolved, FACT_PK, prefer=[-F.coalesce("review_rating", F.lit(-1e300))])
+    kept, dups = dedupe_on_key(found, FACT_GRAIN, prefer=[-F.coalesce("review_rating", F.lit(-1e300))])
     if existing is not None:
-        kept = kept.join(existing.select(*FACT_PK), FACT_PK, "left_anti")
-    dup_rows = dups.select(F.lit(None).cast("string").alias("r_reviewer_source_key"),
-                           F.lit(None).cast("string").alias("r_product_key"),
-                           "date_reviewed_key", REASON)
-    quarantined = unresolved.unionByName(dup_rows)
-    counts = j.agg(F.count(F.lit(1)).alias("records_in"),
-                   F.count(F.col(REASON)).alias("unresolved"))
-    return kept.select(*FACT_COLUMNS), quarantined, counts
+        versions = product_dim.select("product_key", F.col("product_source_key").alias("_psk"))
+        loaded = existing.select(*FACT_PK).join(versions, "product_key").select(*FACT_GRAIN)
+        kept = kept.join(loaded, FACT_GRAIN, "left_anti")
+    ok = F.col(REASON).isNull()
+    per_key = j.groupBy(ok.alias("_ok"), *[F.when(ok, F.col(c)).alias(c) for c in FACT_GRAIN]) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    counts = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("records_in"),
+        F.coalesce(F.sum(F.when(~F.col("_ok"), F.col("_n"))), F.lit(0)).alias("unresolved"),
+        F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_n") - 1).otherwise(F.col("_n"))), F.lit(0)).alias("records_failed"))
+    return kept.select(*FACT_COLUMNS), unresolved.unionByName(dups.select(*cols)), counts

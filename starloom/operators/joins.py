@@ -16,34 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Key sets up to this many distinct values are broadcast to filter a large
-# table map-side; larger sets use a shuffle semi join (same result).
-KEY_BROADCAST_LIMIT = 2_000_000
-
-
-def restrict_to_keys(big: DataFrame, big_col: str, keys: DataFrame, key_col: str,
-                     limit: int = KEY_BROADCAST_LIMIT) -> DataFrame:
+def restrict_to_keys(big: DataFrame, big_col: str, keys: DataFrame, key_col: str) -> DataFrame:
     """Rows of a large table whose key occurs in ``keys`` (a batch's key set).
 
-    The distinct key set is counted first (one scalar); when it is within
-    ``limit`` it is broadcast and the large table is filtered while it is
-    scanned, so a per-batch lookup reads the history but never shuffles it.
-    Beyond the limit the same semi join runs as a shuffle join.
+    A semi join on the distinct keys, without hints: Spark broadcasts the key
+    set if its measured size allows and puts a runtime filter on the large
+    table's scan otherwise.
     """
     k = keys.select(F.col(key_col).alias("_rk")).distinct()
-    n = k.count()
-    side = F.broadcast(k) if n <= limit else k
-    return big.join(side, F.col(big_col) == F.col("_rk"), "left_semi")
-
-
-def small_side(df: DataFrame, limit: int = KEY_BROADCAST_LIMIT) -> DataFrame:
-    """``df`` marked for broadcast when its counted row count is within ``limit``.
-
-    For batch-sized sides that meet a history-sized table: the large table
-    is then streamed through the join instead of shuffled.  The count is
-    one scalar; beyond the limit the plain (shuffle) join is kept.
-    """
-    return F.broadcast(df) if df.count() <= limit else df
+    return big.join(k, F.col(big_col) == F.col("_rk"), "left_semi")
 
 
 def reciprocal_anti(edges: DataFrame, src: str, dst: str) -> DataFrame:

@@ -45,8 +45,16 @@ def placeholder_products(keys: DataFrame, key: str = "p_product_source_key") ->
         F.lit(d["brand"]).alias("p_brand"))
 
 
-def add_late_arriving(products: DataFrame, referenced: Sequence[tuple[DataFrame, str]]
-                      ) -> tuple[DataFrame, DataFrame]:
-    """(products with placeholders appended, the placeholders alone)."""
-    ph = placeholder_products(missing_keys(referenced, products))
+def add_late_arriving(products: DataFrame, referenced: Sequence[tuple[DataFrame, str]],
+                      known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(products with placeholders appended, the placeholders alone).
+
+    ``known`` holds the source keys of products loaded by earlier batches
+    (column ``p_product_source_key``): they need no placeholder, and none may
+    replace them.
+    """
+    have = products.select("p_product_source_key")
+    if known is not None:
+        have = have.unionByName(known.select("p_product_source_key"))
+    ph = placeholder_products(missing_keys(referenced, have))
     return products.select(*S2_PRODUCT_COLUMNS).unionByName(ph), ph

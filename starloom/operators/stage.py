@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.literals import LENIENT, SUSPECT, with_category_list, with_literal
+from ..functions.literals import LENIENT, one_value, SUSPECT, with_category_list, with_literal
 from ..functions.numbers import epoch_to_timestamp, py_float, ratio_round
 from ..functions.text import (PRODUCT_DEFAULTS, REVIEW_DEFAULTS, clean_text, default_if_blank,
                               is_blank)
@@ -91,7 +91,8 @@ def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up", python_fallbac
         needs_python = F.lit(False)
     else:
         lenient = F.from_json(F.col("helpful"), "array<double>", LENIENT)
-        needs_python = F.col("helpful").isNotNull() & (lenient.isNull() | F.col("helpful").rlike(SUSPECT))
+        needs_python = F.col("helpful").isNotNull() & (
+            lenient.isNull() | F.col("helpful").rlike(SUSPECT) | ~one_value(F.col("helpful")))
         df = raw.withColumn("_helpful", F.when(~needs_python, lenient))
     rid = default_if_blank("reviewerID", d["reviewer_source_key"])
     pkey = default_if_blank("asin", d["product_key"])
@@ -279,15 +280,19 @@ def stage2_related(s1_related: DataFrame, mode: str = "literal") -> DataFrame:
 
 
 def dedup_stage(s1_product: DataFrame, s1_review: DataFrame, s1_category: DataFrame,
-                s1_related: DataFrame, related_mode: str = "literal") -> Stage2:
-    """Stage 2 with keys enforced and late-arriving products added."""
+                s1_related: DataFrame, related_mode: str = "literal",
+                known_products: DataFrame | None = None) -> Stage2:
+    """Stage 2 with keys enforced and late-arriving products added.
+
+    ``known_products`` are the source keys loaded by earlier batches.
+    """
     products, dup_p = stage2_products(s1_product)
     reviews, dup_r = stage2_reviews(s1_review)
     categories = s1_category.select(*S1_CATEGORY_COLUMNS).distinct()
     related = stage2_related(s1_related, related_mode)
     products_all, placeholders = add_late_arriving(products, [
         (reviews, "r_product_key"), (categories, "pc_product_source_key"),
-        (related, "rl_product_source_key"), (related, "rl_related_product_source_key")])
+        (related, "rl_product_source_key"), (related, "rl_related_product_source_key")], known_products)
     rejects = (dup_p.select(F.lit("s2_product").alias("entity"), F.col(V.REASON).alias("reason"),
                             F.to_json(F.struct(*S2_PRODUCT_COLUMNS)).alias("row"))
                .unionByName(dup_r.select(F.lit("s2_review").alias("entity"), F.col(V.REASON).alias("reason"),

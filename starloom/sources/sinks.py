@@ -1,16 +1,19 @@
 """Table reads/writes and JSON outputs.
 
 Tables are Parquet folders.  A dimension rewrite goes to a new version
-folder (``…/v=<n>``) and a small pointer file names the current one, so a
-job never overwrites the folder it is reading, and an interrupted write
-leaves the previous version current.
+folder (``…/v=<n>``); the current version is the highest one that has the
+committer's ``_SUCCESS`` marker, so a job never overwrites the folder it is
+reading, and a write that stops half-way leaves the previous version current.
+
+Whether something is there is asked of the file system.  Any other failure
+to read (no permission, a damaged file, a lost connection) is raised: it is
+never taken for "nothing written yet".
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.infer import infer_scalar
 
@@ -56,14 +59,6 @@ def write_quarantine(rejects: DataFrame, path: str, mode: str = "overwrite") ->
     rejects.write.mode(mode).partitionBy("entity").json(path)
 
 
-def error_rows(entity: Column | str, message: Column | str, chunk: Column | None = None) -> list[Column]:
-    """S8 columns for a batch-level error (entity, chunk, message)."""
-    e = F.lit(entity) if isinstance(entity, str) else entity
-    m = F.lit(message) if isinstance(message, str) else message
-    return [e.alias("entity"), (chunk if chunk is not None else F.lit(None).cast("long")).alias("chunk"),
-            m.alias("message")]
-
-
 def to_json_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One JSON object per row, timestamps as ISO ``yyyy-MM-ddTHH:mm:ss``."""
     cols = columns or df.columns
@@ -81,33 +76,46 @@ def keyed_last_wins(df: DataFrame, key: str, order_col: str) -> DataFrame:
                                         F.col(order_col)).alias("json"))
 
 
-def with_source_order(df: DataFrame, name: str = "_row_order") -> DataFrame:
-    """Tag rows with increasing ids in scan order (call before any shuffle)."""
-    return df.withColumn(name, F.monotonically_increasing_id())
-
-
 def typed_json_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Each text cell typed by the P8 rule, the row rendered as a JSON object."""
     cols = columns or df.columns
     return df.select(F.to_json(F.struct(*[infer_scalar(c).alias(c) for c in cols])).alias("json"))
 
 
-def read_pointer(spark: SparkSession, table_root: str) -> str | None:
-    """Current version folder of a versioned table (None if never written)."""
-    try:
-        rows = spark.read.text(f"{table_root}/_current").collect()
-    except Exception:  # no pointer yet
-        return None
-    return rows[0][0] if rows else None
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; raises if the file system cannot tell."""
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def current_version(spark: SparkSession, table_root: str) -> int:
+    """The highest completely written version of a table (0 before the first)."""
+    p, fs = _path(spark, table_root)
+    if not fs.exists(p):
+        return 0
+    done = [0]
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("v=") and exists(spark, f"{table_root}/{name}/_SUCCESS"):
+            done.append(int(name[2:]))
+    return max(done)
+
+
+def read_version(spark: SparkSession, table_root: str) -> tuple[DataFrame | None, int]:
+    """The current version of a table and its number (None and 0 before the first)."""
+    v = current_version(spark, table_root)
+    return (spark.read.parquet(f"{table_root}/v={v}") if v else None), v
 
 
 def write_version(df: DataFrame, table_root: str, version: int) -> str:
-    """Write ``df`` to ``table_root/v=<version>`` and then move the pointer to it."""
+    """Write ``df`` to ``table_root/v=<version>``; it becomes current with its commit marker."""
     path = f"{table_root}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    spark.createDataFrame([(path,)], T.StructType([T.StructField("value", T.StringType())])) \
-        .coalesce(1).write.mode("overwrite").text(f"{table_root}/_current")
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     return path
 
 
@@ -124,8 +132,7 @@ def write_batch_part(df: DataFrame, table_root: str, batch_id: int) -> str:
 
 def read_table(spark: SparkSession, table_root: str, columns: list[str] | None = None) -> DataFrame | None:
     """All batch folders of an insert-only table (None before the first write)."""
-    try:
-        df = spark.read.parquet(table_root)
-    except Exception:  # nothing written yet
+    if not exists(spark, table_root):
         return None
+    df = spark.read.parquet(table_root)
     return df.select(*columns) if columns else df

@@ -153,3 +153,16 @@ def test_dates(spark):
     assert (r.k, r.t, r.dw, r.m, r.q) == (20180323, "Friday, 23 March 2018", "Friday", "March", 1)
     leap = spark.createDataFrame([(dt.date(2000, 2, 29),)], "d date")
     assert leap.select(D.add_years("d", 1).alias("x")).first().x == dt.date(2001, 2, 28)
+
+
+def test_literal_with_anything_after_it_is_text(spark):
+    """Only whole literals parse: what follows the first value makes the cell text, as in Python."""
+    from starloom.functions.literals import with_literal
+    cells = ["[2, 3]", "[2, 3] junk", "[2, 3]]", "[2, 3][4]", " [2, 3] ", "['a]', 'b'] x"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = {r.c: r.v_kind for r in with_literal(df, "c", "v", "array<string>", ("list",)).collect()}
+    assert got["[2, 3]"] == "list"
+    assert all(got[c] == "str" for c in ("[2, 3] junk", "[2, 3]]", "['a]', 'b'] x"))
+    assert got["[2, 3][4]"] == "str"
+    maps = with_literal(spark.createDataFrame([("{'a': 1} x",), ("{'a': 1}",)], "c string"), "c", "v", "map<string,int>", ("dict",))
+    assert {r.c: r.v_kind for r in maps.collect()} == {"{'a': 1} x": "str", "{'a': 1}": "dict"}

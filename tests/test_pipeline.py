@@ -1,19 +1,31 @@
-"""The persisted pipeline: two batches over CSVs derived from sf0.001."""
+"""The persisted pipeline: batches over CSVs derived from sf0.001, aborts, failures and damaged state."""
 
+import itertools
+import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from starloom.operators import audit as A
 from starloom.plans import pipeline as P
 from starloom.plans import standin as S
 from starloom.plans import star
-from starloom.sources.csv import write_csv
+from starloom.sources import sinks as Sk
+from starloom.sources.csv import csv_scan, write_csv
 
 from conftest import SF001
 
 
-def test_pipeline_two_batches(spark):
+def one_fact_per_grain(w):
+    """No review stands twice, whatever versions its product has had."""
+    keys = w["product"].select("product_key", "product_source_key")
+    grain = ["date_reviewed_key", "reviewer_key", "product_source_key", "review_descriptors_key"]
+    return w["review_fact"].join(keys, "product_key").groupBy(*grain).count().filter("count > 1").isEmpty()
+
+
+def test_pipeline_batches(spark):
     work = tempfile.mkdtemp(prefix="starloom-test-pipeline-")
     rcsv, pcsv, p2csv = f"{work}/reviews", f"{work}/products", f"{work}/products2"
     write_csv(S.raw_reviews(spark, SF001), rcsv)
@@ -36,10 +48,85 @@ def test_pipeline_two_batches(spark):
     b3 = P.run_pipeline(spark, rcsv, p2csv, P.RunConfig(as_of="2024-02-01 00:00:00", **cfg))
     w = P.warehouse_tables(spark, root)
     assert w["product"].filter(~F.col("is_current")).count() > 0
+    assert one_fact_per_grain(w)
+    assert w["review_fact"].count() == n1, "a new version of its product does not make a review another fact"
+    # The partial file again: known products stay, and none becomes a placeholder.
+    real = {r[0] for r in w["product"].filter("is_current and product_title <> '*Unknown title'").select("product_source_key").collect()}
+    b4 = P.run_pipeline(spark, rcsv, pcsv, P.RunConfig(as_of="2024-03-01 00:00:00", **cfg))
+    w = P.warehouse_tables(spark, root)
+    still = {r[0] for r in w["product"].filter("is_current and product_title <> '*Unknown title'").select("product_source_key").collect()}
+    assert real <= still and one_fact_per_grain(w) and w["review_fact"].count() == n1
     log = spark.read.parquet(f"{root}/audit/events")
     batches = {r.ib_id: r.ib_status for r in A.import_batch(log).collect()}
-    assert batches == {b1: "Completed", b2: "Completed", b3: "Completed"}
+    assert batches == {b1: "Completed", b2: "Completed", b3: "Completed", b4: "Completed"}
     stats = A.import_statistics(log)
-    assert {r.ib_id for r in stats.collect()} == {b3}
+    assert {r.ib_id for r in stats.collect()} == {b4}
     t = A.import_batch_process_task(log).filter(F.col("ib_description") == "s1_reviews").first()
     assert t.ibpt_records_in == t.ibpt_records_failed + t.ibpt_records_out
+    fact = A.import_batch_process_task(log).filter(F.col("ib_description") == "review_fact").orderBy("ibpt_id").first()
+    assert fact.ibpt_records_in == fact.ibpt_records_failed + fact.ibpt_records_out
+    names = {r[0] for r in A.import_batch_process_task(log).select("ib_description").distinct().collect()}
+    assert {"category", "review_descriptors", "product_category_bridge", "related_product"} <= names
+
+
+@pytest.fixture
+def inputs(spark, tmp_path):
+    write_csv(S.raw_reviews(spark, SF001).limit(200), f"{tmp_path}/reviews")
+    write_csv(S.raw_products(spark, SF001).limit(50), f"{tmp_path}/products")
+    return f"{tmp_path}/reviews", f"{tmp_path}/products", f"{tmp_path}/wh"
+
+
+def states(spark, root):
+    log = spark.read.parquet(f"{root}/audit/events")
+    return {(r.level, r.status) for r in A.latest_state(log).collect()}, log
+
+
+@pytest.mark.parametrize("error,status", [(KeyboardInterrupt, "Aborted"), (ValueError, "Failed")])
+def test_abort_and_failure_are_recorded(spark, inputs, monkeypatch, error, status):
+    reviews, products, root = inputs
+    ticks = itertools.count()
+    clock = lambda: f"2024-01-01 00:00:{next(ticks):02d}"
+
+    def stop(*a, **k):
+        raise error("stopped here")
+    monkeypatch.setattr(P.St, "dedup_stage", stop)
+    with pytest.raises(KeyboardInterrupt if error is KeyboardInterrupt else RuntimeError):
+        P.run_pipeline(spark, reviews, products, P.RunConfig(root=root, as_of="2024-01-01 00:00:00", clock=clock))
+    found, log = states(spark, root)
+    assert ("batch", status) in found and ("process", status) in found and not any(s == "Running" for _, s in found)
+    assert A.latest_running_batch(log).isEmpty()
+    batch = A.latest_state(log).filter("level = 'batch'").first()
+    assert batch.end_ts > batch.start_ts
+    if status == "Failed":
+        assert "stopped here" in batch.message
+
+
+def test_unreadable_audit_log_changes_nothing(spark, inputs):
+    """A log that cannot be read is an error, not an empty log."""
+    reviews, products, root = inputs
+    os.makedirs(f"{root}/audit/events")
+    with open(f"{root}/audit/events/part-0.parquet", "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        P.run_pipeline(spark, reviews, products, P.RunConfig(root=root, as_of="2024-01-01 00:00:00"))
+    assert os.listdir(root) == ["audit"]
+
+
+def test_half_written_version_is_not_current(spark, tmp_path):
+    root = f"{tmp_path}/dim"
+    Sk.write_version(spark.range(3), root, 1)
+    spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v=2")
+    df, v = Sk.read_version(spark, root)
+    assert v == 1 and df.count() == 3
+    Sk.write_version(spark.range(5), root, v + 1)
+    assert Sk.read_version(spark, root)[0].count() == 5
+    assert Sk.read_version(spark, f"{tmp_path}/none") == (None, 0)
+
+
+def test_csv_with_another_column_order_is_refused(spark, tmp_path):
+    for k, (head, row) in enumerate([("x,y", "1,2"), ("y,x", "3,4")]):
+        with open(f"{tmp_path}/{k}.csv", "w") as f:
+            f.write(f"{head}\n{row}\n")
+    assert csv_scan(spark, f"{tmp_path}/0.csv").select("x", "y").first() == ("1", "2")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_scan(spark, str(tmp_path), columns=["x", "y"]).collect()
