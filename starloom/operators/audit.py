@@ -10,7 +10,7 @@ counts are never collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,20 +35,28 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+def events(rows: DataFrame, level: str, id_: Column, parent: Column | None, description: Column, status: Column,
+           ts: Column, seq: Column, year: Column | None = None, month: Column | None = None,
+           counts: dict[str, Column] | None = None, message: Column | None = None) -> DataFrame:
+    """M1–M4 in bulk: one event per row of ``rows``, each field an expression over it.
+
+    A status outside :data:`STATUSES` is an error when the row is read.
+    """
+    given = {"level": F.lit(level), "id": id_, "parent_id": parent, "description": description, "year": year,
+             "month": month, "event_ts": ts, "seq": seq, "message": message, **(counts or {}),
+             "status": F.when(status.isin(*STATUSES), status).otherwise(
+                 F.raise_error(F.concat(F.lit("unknown status "), F.coalesce(status, F.lit("null")))))}
+    return rows.select(*[(given[f.name] if given.get(f.name) is not None else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in EVENT_SCHEMA.fields])
+
+
 def _event(spark: SparkSession, level: str, id_: int, parent: int | None, description: str,
            status: str, ts: str, seq: int, year: int | None = None, month: int | None = None,
            message: str | None = None) -> DataFrame:
     if status not in STATUSES:
         raise ValueError(f"unknown status {status!r}")
-    row = spark.range(1).select(
-        F.lit(level).alias("level"), F.lit(id_).cast("long").alias("id"),
-        F.lit(parent).cast("long").alias("parent_id"), F.lit(description).alias("description"),
-        F.lit(year).cast("int").alias("year"), F.lit(month).cast("int").alias("month"),
-        F.lit(status).alias("status"), F.lit(ts).cast("timestamp_ntz").alias("event_ts"),
-        F.lit(seq).cast("long").alias("seq"),
-        *[F.lit(None).cast("long").alias(c) for c in COUNT_COLUMNS],
-        F.lit(message).cast("string").alias("message"))
-    return row
+    return events(spark.range(1), level, F.lit(id_), F.lit(parent), F.lit(description), F.lit(status), F.lit(ts),
+                  F.lit(seq), F.lit(year), F.lit(month), message=F.lit(message))
 
 
 def batch_event(spark, ib_id, description, status, ts, seq, year=None, month=None, message=None):
