@@ -30,20 +30,33 @@ def dedupe_on_key(df: DataFrame, keys: Sequence[str],
     smallest full row, so the choice is deterministic.  Exact copies of a row
     collapse into one, as after a ``DISTINCT``.
 
-    Skew: the winner per key is a ``min`` aggregate, so a key holding a third
-    of the rows is combined map-side before the shuffle; the join that marks
-    losers only sees keys with more than one row, one row per key on the
-    small side, which AQE's skew-join split handles on the large side.
+    Keys met once, nearly all of them, only take part in a count per key: their
+    rows, texts included, pass a join with the repeated keys (broadcast by
+    Spark where those are few) and are neither sorted nor grouped.  Rows of
+    repeated keys are ranked by a ``min`` aggregate, so a key that holds a
+    third of the rows is combined map-side before the shuffle.
     """
     payload = [c for c in df.columns if c not in keys]
     order = list(prefer or [])
+    names = [f"_dup{i}" for i in range(len(keys))]
+
+    def same(prefix_names):
+        cond = F.lit(True)
+        for k, n in zip(keys, prefix_names):
+            cond = cond & F.col(k).eqNullSafe(F.col(n))
+        return cond
+
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1) \
+        .select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    once = df.join(repeated, same(names), "left_anti")
     rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                     *[F.col(c) for c in payload])
-    ranked = df.withColumn("_rank", rank)
-    winners = ranked.groupBy(*keys).agg(F.min("_rank").alias("_best"), F.count(F.lit(1)).alias("_n"))
-    kept = winners.select(*_cols(keys), *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
-    dup_keys = winners.filter(F.col("_n") > 1).select(*keys, "_best")
-    dropped = (ranked.join(dup_keys, list(keys), "inner")
+    ranked = df.join(repeated, same(names), "left_semi").withColumn("_rank", rank)
+    winners = ranked.groupBy(*keys).agg(F.min("_rank").alias("_best"))
+    kept = once.select(*df.columns).unionByName(
+        winners.select(*_cols(keys), *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns))
+    best = winners.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_best")
+    dropped = (ranked.join(best, same(names), "inner")
                .filter(~F.col("_rank").eqNullSafe(F.col("_best")))
                .select(*df.columns)
                .dropDuplicates()

@@ -30,7 +30,7 @@ from . import standin as S
 from . import star
 from . import warehouse as W
 
-AS_OF_1, AS_OF_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+AS_OF_1, AS_OF_2, AS_OF_3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -1056,6 +1056,59 @@ def j9(spark, sf):
     return t.join(p, "ibp_id").select("ibpt_id", "ib_description", "ibp_id", "ib_id")
 
 
+# The persisted pipeline over three batches: partial file, complete file, partial file again ----
+
+def three_batches(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Tables stored by ``run_pipeline`` after three batches over CSV files of the stand-in."""
+    from ..sources.csv import write_csv
+    from . import pipeline as P
+
+    def build():
+        reviews, partial, complete = (_scratch(spark, n) for n in ("b_reviews", "b_partial", "b_complete"))
+        write_csv(S.raw_reviews(spark, sf), reviews)
+        write_csv(S.raw_products(spark, sf), partial)
+        write_csv(S.raw_products(spark, sf, late=True), complete)
+        root = _scratch(spark, "b_warehouse")
+        for as_of, products in ((AS_OF_1, partial), (AS_OF_2, complete), (AS_OF_3, partial)):
+            P.run_pipeline(spark, reviews, products, P.RunConfig(root=root, as_of=as_of, date_start="1990-01-01", date_years=40))
+        return P.warehouse_tables(spark, root)
+    return _memo(("batches", spark.sparkContext.applicationId, sf), build)
+
+
+@register("pipeline_three_batches_fact", O.query(" SELECT * FROM review_fact"))
+def batches_fact(spark, sf):
+    """No batch after the first adds a fact: neither new versions nor placeholders make a review another one."""
+    from ..operators.fact import FACT_COLUMNS
+    return three_batches(spark, sf)["review_fact"].select(*FACT_COLUMNS)
+
+
+@register("pipeline_three_batches_product_dim", O.query(PRODUCT_DIM_2 + " SELECT * FROM product_dim_2"))
+def batches_product_dim(spark, sf):
+    """The complete file replaces placeholders; the partial file after it changes nothing."""
+    return three_batches(spark, sf)["product"]
+
+
+@register("pipeline_three_batches_q1", O.query("""
+SELECT c.product_category, d.year, d.month_of_year, AVG(f.review_rating) AS avg_review_rating
+FROM review_fact f JOIN product_dim p ON f.product_key = p.product_key
+JOIN bridge_dim b ON p.product_key = b.product_key JOIN category_dim c ON b.category_key = c.category_key
+JOIN date_dim d ON f.date_reviewed_key = d.date_key
+GROUP BY c.product_category, d.year, d.month_of_year"""))
+def batches_q1(spark, sf):
+    w = three_batches(spark, sf)
+    return star.rating_per_category_per_month(w["review_fact"], w["product"], w["product_category_bridge"], w["category"], w["date"])
+
+
+@register("pipeline_three_batches_q2", O.query("""
+SELECT p.brand, d.year, d.month_of_year, AVG(f.review_rating) AS avg_review_rating
+FROM review_fact f JOIN product_dim p ON f.product_key = p.product_key
+JOIN date_dim d ON f.date_reviewed_key = d.date_key
+GROUP BY p.brand, d.year, d.month_of_year"""))
+def batches_q2(spark, sf):
+    w = three_batches(spark, sf)
+    return star.rating_per_brand_per_month(w["review_fact"], w["product"], w["date"])
+
+
 # Rules exercised on long texts, streaming ingest, batch clock parts ---------------------------
 
 @register("v3_category_rules", """SELECT CAST(doc_id AS VARCHAR) AS product_source_key,
