@@ -186,15 +186,22 @@ def l13(spark, sf):
 
 
 @register("v2_first_failure_reason", O.query(
-    " SELECT _c0 AS source_row_id, reject_reason AS reason FROM rc WHERE reject_reason IS NOT NULL"))
+    """ SELECT _c0 AS source_row_id, reject_reason AS reason FROM rc WHERE reject_reason IS NOT NULL
+UNION ALL SELECT p_product_metadata_id, reject_reason FROM pc WHERE reject_reason IS NOT NULL"""))
 def v2(spark, sf):
+    """Review and product rejects with the first rule they break; every product rule fires."""
     _, bad = St.review_outputs(St.classify_reviews(S.raw_reviews(spark, sf)))
-    return bad.select(F.get_json_object("row", "$._c0").alias("source_row_id"), "reason")
+    products = St.classify_products(S.raw_products(spark, sf)).filter(F.col(V.REASON).isNotNull())
+    return bad.select(F.get_json_object("row", "$._c0").alias("source_row_id"), "reason").unionByName(
+        products.select(F.get_json_object("_source_row", "$.metadataid").alias("source_row_id"), F.col(V.REASON).alias("reason")))
 
 
 @register("s7_quarantine_rows", O.query("""
 SELECT 's1_review' AS entity, reject_reason AS reason, count(*) AS n FROM rc
-WHERE reject_reason IS NOT NULL GROUP BY ALL"""))
+WHERE reject_reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 's1_product', reject_reason, count(*) FROM pc WHERE reject_reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 's1_product_category', 'invalid categories format', count(*) FROM pc WHERE reject_reason IS NULL AND _cats IS NULL
+HAVING count(*) > 0"""))
 def s7(spark, sf):
     from ..sources import sinks
     from ..session import scratch_path
@@ -1056,7 +1063,7 @@ def j9(spark, sf):
     return t.join(p, "ibp_id").select("ibpt_id", "ib_description", "ibp_id", "ib_id")
 
 
-# The persisted pipeline over three batches: partial file, complete file, partial file again ----
+# The persisted pipeline over three batches: partial file, complete file, partial file of the same state ----
 
 def three_batches(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Tables stored by ``run_pipeline`` after three batches over CSV files of the stand-in."""
@@ -1064,12 +1071,13 @@ def three_batches(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     from . import pipeline as P
 
     def build():
-        reviews, partial, complete = (_scratch(spark, n) for n in ("b_reviews", "b_partial", "b_complete"))
+        reviews, partial, complete, again = (_scratch(spark, n) for n in ("b_reviews", "b_partial", "b_complete", "b_again"))
         write_csv(S.raw_reviews(spark, sf), reviews)
         write_csv(S.raw_products(spark, sf), partial)
         write_csv(S.raw_products(spark, sf, late=True), complete)
+        write_csv(S.raw_products(spark, sf, repriced=True), again)
         root = _scratch(spark, "b_warehouse")
-        for as_of, products in ((AS_OF_1, partial), (AS_OF_2, complete), (AS_OF_3, partial)):
+        for as_of, products in ((AS_OF_1, partial), (AS_OF_2, complete), (AS_OF_3, again)):
             P.run_pipeline(spark, reviews, products, P.RunConfig(root=root, as_of=as_of, date_start="1990-01-01", date_years=40))
         return P.warehouse_tables(spark, root)
     return _memo(("batches", spark.sparkContext.applicationId, sf), build)

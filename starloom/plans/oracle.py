@@ -214,7 +214,7 @@ pc0{sfx} AS (
     CASE WHEN {blank('imurl')} THEN '*Unknown URL' ELSE imurl END AS _image,
     {clean('brand', '*Unknown brand')} AS _brand,
     CASE WHEN {blank('price')} THEN -1.0 ELSE TRY_CAST(price AS DOUBLE) END AS _price,
-    flatten(from_json(replace(categories, '{q}', '"'), '[["VARCHAR"]]')) AS _cats,
+    CASE WHEN starts_with(categories, '[') THEN flatten(from_json(replace(categories, '{q}', '"'), '[["VARCHAR"]]')) END AS _cats,
     from_json(replace(related, '{q}', '"'), '{{"also_bought": ["VARCHAR"], "also_viewed": ["VARCHAR"]}}') AS _rel
   FROM raw_products{sfx}),
 pc{sfx} AS (

@@ -17,7 +17,10 @@ Roles:
   zero discount an unparsable score) so every review rule is exercised;
 * product ← part; a product's ``related`` lists the neighbouring part ids;
   ``p_size > 45`` parts arrive late (only in the second snapshot), so
-  reviews and relations referencing them exercise late-arriving members.
+  reviews and relations referencing them exercise late-arriving members;
+  some sizes give a cell that one product rule rejects (price, metadata id,
+  key, rank category, image URL, brand, categories that are no list), and
+  the second snapshot has a new price for every seventh part.
 """
 
 from __future__ import annotations
@@ -72,26 +75,32 @@ LEFT JOIN {{documents}} doc ON doc.doc_id = l.l_orderkey
 """
 
 
-def raw_products_sql(d: Dialect, late: bool = False) -> str:
-    """Products as the CSV holds them; ``late=False`` withholds the late-arriving parts."""
+def raw_products_sql(d: Dialect, late: bool = False, repriced: bool | None = None) -> str:
+    """Products as the CSV holds them; ``late=False`` withholds the late-arriving parts.
+
+    ``repriced`` (by default with the late parts) gives every seventh part its new price.
+    """
     s = d.s
     where = "" if late else "WHERE p.p_size <= 45"
     q = "''"
     lb, rb = "{{", "}}"  # literal braces that survive the table-binding format step
+    price = s('p.p_retailprice')
+    if late if repriced is None else repriced:
+        price = f"CASE WHEN p.p_partkey % 7 = 0 THEN {s('p.p_retailprice + 1')} ELSE {price} END"
     return f"""
 SELECT
-  {s('p.p_partkey')} AS metadataid,
-  {s('p.p_partkey')} AS asin,
-  '{lb}{q}' || p.p_type || '{q}: ' || {s('p.p_size')} || '{rb}' AS salesrank,
-  'http://img.example/' || {s('p.p_partkey')} || '.jpg' AS imurl,
-  '[[{q}' || p.p_type || '{q}, {q}' || split_part(p.p_name, ' ', 1) || '{q}], [{q}' || p.p_name || '{q}]]'
-    AS categories,
+  CASE WHEN p.p_size = 9 THEN 'M' || lpad({s('p.p_partkey')}, 9, '0') ELSE {s('p.p_partkey')} END AS metadataid,
+  CASE WHEN p.p_size = 11 THEN 'P' || lpad({s('p.p_partkey')}, 10, '0') ELSE {s('p.p_partkey')} END AS asin,
+  '{lb}{q}' || CASE WHEN p.p_size = 13 THEN repeat(p.p_type || '-', 12) ELSE p.p_type END || '{q}: ' || {s('p.p_size')} || '{rb}' AS salesrank,
+  'http://img.example/' || CASE WHEN p.p_size = 15 THEN repeat('x', 225) ELSE '' END || {s('p.p_partkey')} || '.jpg' AS imurl,
+  CASE WHEN p.p_size = 19 THEN '{lb}{q}' || p.p_type || '{q}: 1{rb}' ELSE '[[{q}' || p.p_type || '{q}, {q}' || split_part(p.p_name, ' ', 1) || '{q}], [{q}' || p.p_name || '{q}]]'
+    END AS categories,
   p.p_name AS title,
   p.p_name || '  by ' || p.p_brand AS description,
-  {s('p.p_retailprice')} AS price,
+  CASE WHEN p.p_size = 7 THEN 'n/a' ELSE {price} END AS price,
   '{lb}{q}also_bought{q}: [{q}' || {s('p.p_partkey + 1')} || '{q}, {q}' || {s('p.p_partkey + 2')}
     || '{q}], {q}also_viewed{q}: [{q}' || {s('p.p_partkey - 1')} || '{q}]{rb}' AS related,
-  p.p_brand AS brand
+  CASE WHEN p.p_size = 17 THEN repeat(p.p_brand || ' ', 30) ELSE p.p_brand END AS brand
 FROM {{part}} p
 {where}
 """
@@ -116,5 +125,5 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_sql(spark, sf_dir, raw_reviews_sql(SPARK))
 
 
-def raw_products(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
-    return spark_sql(spark, sf_dir, raw_products_sql(SPARK, late))
+def raw_products(spark: SparkSession, sf_dir: str, late: bool = False, repriced: bool | None = None) -> DataFrame:
+    return spark_sql(spark, sf_dir, raw_products_sql(SPARK, late, repriced))

@@ -31,6 +31,7 @@ def test_pipeline_batches(spark):
     write_csv(S.raw_reviews(spark, SF001), rcsv)
     write_csv(S.raw_products(spark, SF001), pcsv)
     write_csv(S.raw_products(spark, SF001, late=True), p2csv)
+    write_csv(S.raw_products(spark, SF001, repriced=True), f"{work}/products3")
     root = f"{work}/wh"
     cfg = dict(root=root, date_start="1990-01-01", date_years=40)
     b1 = P.run_pipeline(spark, rcsv, pcsv, P.RunConfig(as_of="2024-01-01 00:00:00", **cfg))
@@ -52,7 +53,7 @@ def test_pipeline_batches(spark):
     assert w["review_fact"].count() == n1, "a new version of its product does not make a review another fact"
     # The partial file again: known products stay, and none becomes a placeholder.
     real = {r[0] for r in w["product"].filter("is_current and product_title <> '*Unknown title'").select("product_source_key").collect()}
-    b4 = P.run_pipeline(spark, rcsv, pcsv, P.RunConfig(as_of="2024-03-01 00:00:00", **cfg))
+    b4 = P.run_pipeline(spark, rcsv, f"{work}/products3", P.RunConfig(as_of="2024-03-01 00:00:00", **cfg))
     w = P.warehouse_tables(spark, root)
     still = {r[0] for r in w["product"].filter("is_current and product_title <> '*Unknown title'").select("product_source_key").collect()}
     assert real <= still and one_fact_per_grain(w) and w["review_fact"].count() == n1
