@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +81,7 @@ class Vocabulary:
         self._trie([p for pieces in by_size.values() for p in pieces])
 
     def _trie(self, pieces: list[tuple[bytes, int]]):
-        """Transitions (node, byte) -> node as sorted keys, first bytes as a table, and the piece that ends at a node."""
+        """Transitions (node, byte) -> node in a hash table, first bytes in a plain one, and the piece that ends at a node."""
         nodes: dict[bytes, int] = {b"": 0}
         for raw, _ in pieces:
             for n in range(1, len(raw) + 1):
@@ -91,13 +91,33 @@ class Vocabulary:
             self.ends[nodes[raw]] = i
         keys = np.array([(nodes[k[:-1]] << 8) | k[-1] for k in nodes if k], dtype=np.int64)
         to = np.array([n for k, n in nodes.items() if k], dtype=np.int32)
-        order = np.argsort(keys)
-        self.keys, self.to = keys[order], to[order]
         self.roots = np.full(256, -1, dtype=np.int64)
-        first = self.keys < 256
-        self.roots[self.keys[first]] = self.to[first]
+        first = keys < 256
+        self.roots[keys[first]] = to[first]
+        # transitions in a sparse hash table: nearly every look-up ends at its first slot
+        self.shift = U64(64 - max(8, int(len(keys) * 8).bit_length()))
+        self.slots = np.full((1 << (64 - int(self.shift))) + 64, -1, dtype=np.int64)
+        self.nodes = np.full(len(self.slots), -1, dtype=np.int64)
+        for key, node, slot in zip(keys.tolist(), to.tolist(), self._slot(keys).tolist()):
+            while self.slots[slot] >= 0:
+                slot += 1
+            self.slots[slot], self.nodes[slot] = key, node
         self.longest = max((len(raw) for raw, _ in pieces), default=0)
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(U64) * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _next(self, keys: np.ndarray) -> np.ndarray:
+        """The nodes that (node, byte) keys lead to, -1 where none."""
+        slot = self._slot(keys)
+        held = self.slots[slot]
+        other = np.flatnonzero((held != keys) & (held >= 0))
+        while len(other):  # taken by another key: the next slot
+            slot[other] += 1
+            held = self.slots[slot[other]]
+            other = other[(held != keys[other]) & (held >= 0)]
+        return self.nodes[slot]
+
     def matches(self, data: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(size, positions, pieces) of all pieces in ``data``; ``left`` is how far each position may reach."""
         place = np.arange(len(data))
@@ -112,9 +132,7 @@ class Vocabulary:
             yield size, place[whole], piece[whole]
             more = left[place] > size
             place, node = place[more], node[more]
-            key = (node << 8) | data[place + size]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            node = np.where(self.keys[at] == key, self.to[at], -1)
+            node = self._next((node << 8) | data[place + size])
 
     def decode(self, ids) -> bytes:
         raw = b"".join(self.bytes[np.asarray(ids, dtype=np.int64)].tolist())
@@ -409,7 +427,7 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices, k: int)
     ``keys`` are hashed row keys.  Walks of all texts are drawn together.
     """
     units = [_units(t) for t in texts]
-    flat = [u for us in units for u in us]
+    flat = list(chain.from_iterable(units))
     numbers = lattices.numbers(flat)
     row, size = lattices.row_of[numbers], lattices.size_of[numbers]
     n_words = np.array([len(us) for us in units], dtype=np.int64)
