@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.infer import infer_scalar
+from .csv import csv_scan, split_malformed
 
 JSON_TS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
@@ -93,6 +94,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def csv_to_json(spark: SparkSession, csv_path: str, json_path: str, key: str | None = None) -> None:
+    """S10/S11 end to end: a CSV path to JSON lines.
+
+    With ``key`` one object per key, the last row of a file winning; without it
+    every row, its cells typed by the P8 rule.  Malformed rows have no JSON.
+    Source order is the scan's own (rows of one file in order), taken before
+    any shuffle.
+    """
+    rows, _ = split_malformed(csv_scan(spark, csv_path), "csv")
+    if key is None:
+        out = typed_json_rows(rows)
+    else:
+        ordered = rows.withColumn("_row_order", F.monotonically_increasing_id())
+        out = keyed_last_wins(ordered, key, "_row_order").select("json")
+    out.write.mode("overwrite").text(json_path)
+
+
 def current_version(spark: SparkSession, table_root: str) -> int:
     """The highest completely written version of a table (0 before the first)."""
     p, fs = _path(spark, table_root)
