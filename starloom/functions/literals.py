@@ -5,7 +5,8 @@ lenient ``from_json``.  Text that JSON reads differently from Python, or
 cannot read at all (tuples, ``None``, trailing commas, ragged nesting,
 backslash escapes), goes to a vectorised ``pandas_udf`` running
 ``ast.literal_eval``; only those rows carry a value into Python, every other
-row passes a null, so the Arrow batches stay small.
+row passes a null, so the Arrow batches stay small.  With ``defer`` nothing
+runs in Python: such rows are only marked, for a second pass over them.
 """
 
 from __future__ import annotations
@@ -96,40 +97,51 @@ def _python_literal(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kind", "json", "flat"])
 
 
+def _last_value_wins(m: Column) -> Column:
+    """A map read from JSON with repeated keys as a dict: first position, last value."""
+    keys = F.map_keys(m)
+    once = F.array_distinct(keys)
+    last = F.transform(once, lambda k: F.element_at(
+        F.filter(F.map_entries(m), lambda e: e["key"] == k), -1)["value"])
+    return F.when(F.size(once) == F.size(keys), m).otherwise(F.map_from_arrays(once, last))
+
+
+def _parsed(df: DataFrame, out: str, c: Column, jvm: Column, kind: str, need: Column, fallback, defer: bool) -> DataFrame:
+    """Add ``out`` and its kind: the JVM reading where it is exact, else the fallback's, else (``defer``) a mark."""
+    jvm_kind = F.when(jvm.isNotNull(), F.lit(kind))
+    if defer:
+        return df.withColumn(out, F.when(~need, jvm)).withColumn(f"{out}_kind", F.when(~need, jvm_kind)) \
+            .withColumn(f"{out}_need", need)
+    fb = f"__fb_{out}"
+    df = df.withColumn(fb, _python_literal(F.when(need, c)))
+    return df.withColumn(out, F.when(need, fallback(F.col(fb))).otherwise(jvm)) \
+        .withColumn(f"{out}_kind", F.when(need, F.col(f"{fb}.kind")).otherwise(jvm_kind)).drop(fb)
+
+
 def with_literal(df: DataFrame, src: str, out: str, ddl: str,
-                 kinds: tuple[str, ...]) -> DataFrame:
+                 kinds: tuple[str, ...], defer: bool = False) -> DataFrame:
     """P5: add ``out`` (typed by ``ddl``) and ``out + '_kind'`` (Python type name).
 
     ``kinds[0]`` is the Python kind a JSON success implies ("dict" for a map,
     "list" for an array); the others are Python kinds also accepted from the
     fallback (e.g. a tuple where only indexing matters).  Rows the JVM could
     not read go through the Arrow fallback; its JSON is re-read with the
-    same type.
+    same type.  With ``defer`` they stay null and ``out + '_need'`` is true.
     """
-    kind_of_json = kinds[0]
     c = F.col(src)
     lenient = F.from_json(c, ddl, LENIENT)
     need = c.isNotNull() & (lenient.isNull() | c.rlike(SUSPECT) | ~one_value(c))
-    fb = f"__fb_{out}"
-    df = df.withColumn(fb, _python_literal(F.when(need, c)))
-    value = F.when(F.col(fb).isNotNull() & F.col(f"{fb}.kind").isNotNull(),
-                   F.when(F.col(f"{fb}.kind").isin(*kinds), F.from_json(F.col(f"{fb}.json"), ddl)))
-    value = F.when(need, value).otherwise(lenient)
-    if ddl.replace(" ", "").lower().startswith("map<"):
-        # The JSON reader keeps repeated keys; rebuilding the map applies the
-        # session's LAST_WIN policy: first position, last value, like a dict.
-        if df.sparkSession.conf.get("spark.sql.mapKeyDedupPolicy", "EXCEPTION") != "LAST_WIN":
-            df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-        value = F.map_from_entries(F.map_entries(value))
-    kind = F.when(need, F.col(f"{fb}.kind")).otherwise(F.when(lenient.isNotNull(), F.lit(kind_of_json)))
-    return df.withColumn(out, value).withColumn(f"{out}_kind", kind).drop(fb)
-
-
-def with_category_list(df: DataFrame, src: str, out: str) -> DataFrame:
+    is_map = ddl.replace(" ", "").lower().startswith("map<")
+    return _parsed(df, out, c, _last_value_wins(lenient) if is_map else lenient, kinds[0], need,
+                   lambda fb: F.when(fb["kind"].isin(*kinds), F.from_json(fb["json"], ddl)), defer)
+
+
+def with_category_list(df: DataFrame, src: str, out: str, defer: bool = False) -> DataFrame:
     """P5 + P18 for category text: nested list, flat list, or Python fallback.
 
     ``out`` is the flattened ``array<string>``; ``out + '_kind'`` is the Python
-    type of the parsed value (only ``list`` yields categories).
+    type of the parsed value (only ``list`` yields categories).  ``defer`` as
+    in :func:`with_literal`.
     """
     c = F.col(src)
     nested = F.from_json(c, "array<array<string>>", LENIENT)
@@ -141,19 +153,9 @@ def with_category_list(df: DataFrame, src: str, out: str) -> DataFrame:
                                                  lambda x: x.startswith("[") | x.startswith("{"))
     jvm = F.when(nested_ok, F.flatten(nested)).when(nested.isNull() & flat_ok, flat)
     need = c.isNotNull() & (jvm.isNull() | c.rlike(SUSPECT) | ~one_value(c))
-    fb = f"__fb_{out}"
-    df = df.withColumn(fb, _python_literal(F.when(need, c)))
-    fb_value = F.when(F.col(f"{fb}.kind") == "list", F.col(f"{fb}.flat"))
-    value = F.when(need, fb_value).otherwise(jvm)
-    kind = F.when(need, F.col(f"{fb}.kind")).otherwise(F.when(jvm.isNotNull(), F.lit("list")))
-    return df.withColumn(out, value).withColumn(f"{out}_kind", kind).drop(fb)
+    return _parsed(df, out, c, jvm, "list", need, lambda fb: F.when(fb["kind"] == "list", fb["flat"]), defer)
 
 
 def first_map_entry(m: str | Column) -> Column:
     """First (key, value) of a map in insertion order, or null for an empty map."""
     return F.try_element_at(F.map_entries(col_of(m)), F.lit(1))
-
-
-def flatten_nested(c: str | Column) -> Column:
-    """P18 for a regular two-level list; ragged input takes the fallback route."""
-    return F.flatten(col_of(c))

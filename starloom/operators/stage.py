@@ -155,12 +155,23 @@ def review_outputs(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --------------------------------------------------------------------------- products
 
-def classify_products(raw: DataFrame) -> DataFrame:
-    """L14 core: stage-1 product columns, parsed categories and relations, reason, source row."""
+def classify_products(raw: DataFrame, python_fallback: str = "inline") -> DataFrame:
+    """L14 core: stage-1 product columns, parsed categories and relations, reason, source row.
+
+    ``python_fallback`` as in :func:`classify_reviews`: ``'defer'`` marks
+    products with a cell only Python reads exactly as pending (with their
+    source row), for :func:`resolve_pending_products`.
+
+    The source row is kept for rejected and pending products and for accepted
+    ones with a child that will be rejected and cites it.
+    """
+    if python_fallback not in ("inline", "defer"):
+        raise ValueError("python_fallback must be 'inline' or 'defer'")
+    defer = python_fallback == "defer"
     d = PRODUCT_DEFAULTS
-    df = with_literal(raw, "salesrank", "_salesrank", "map<string,int>", ("dict",))
-    df = with_category_list(df, "categories", "_categories")
-    df = with_literal(df, "related", "_related", "map<string,array<string>>", ("dict",))
+    df = with_literal(raw, "salesrank", "_salesrank", "map<string,int>", ("dict",), defer)
+    df = with_category_list(df, "categories", "_categories", defer)
+    df = with_literal(df, "related", "_related", "map<string,array<string>>", ("dict",), defer)
     first = F.try_element_at(F.map_entries(F.col("_salesrank")), F.lit(1))
     has_rank = first.isNotNull() & first["value"].isNotNull()
     rank_cat = F.when(has_rank, first["key"]).otherwise(F.lit(d["sales_rank_category"]))
@@ -171,7 +182,13 @@ def classify_products(raw: DataFrame) -> DataFrame:
     image = default_if_blank("imurl", d["image_url"])
     brand = clean_text("brand", d["brand"])
     L = V.PRODUCT_MAX_LENGTHS
+    pending = F.lit(False)
+    if defer:
+        pending = F.col("_salesrank_need") | F.col("_categories_need") | F.col("_related_need")
+        if CORRUPT in raw.columns:
+            pending = pending & F.col(CORRUPT).isNull()
     rules = [
+        (PENDING, pending),
         (V.REASONS["price"], price.isNull()),
         (V.REASONS["product_metadata_id"], V.too_long(mid, L["p_product_metadata_id"])),
         (V.REASONS["product_source_key"], V.too_long(skey, L["p_product_source_key"])),
@@ -180,6 +197,7 @@ def classify_products(raw: DataFrame) -> DataFrame:
         (V.REASONS["brand"], V.too_long(brand, L["p_brand"])),
     ]
     reason = V.first_failure(_with_malformed(raw, rules))
+    cited = F.coalesce(reason, F.when(_has_bad_child(), F.lit("child")))
     return df.select(
         mid.alias("p_product_metadata_id"), skey.alias("p_product_source_key"),
         rank_cat.alias("p_sales_rank_category"), rank.alias("p_sales_rank"),
@@ -189,9 +207,33 @@ def classify_products(raw: DataFrame) -> DataFrame:
         price.alias("p_price"), brand.alias("p_brand"),
         F.col("_categories"), F.col("_categories_kind"),
         F.col("_related"), F.col("_related_kind"),
-        reason.alias(V.REASON),
-        # Kept for every product: rejected categories/relations of accepted products cite it.
-        _source_row(raw, F.lit("all")).alias("_source_row"))
+        reason.alias(V.REASON), _source_row(raw, cited).alias("_source_row"),
+        *([pending.alias("_pending")] if defer else []))
+
+
+def _has_bad_child() -> Column:
+    """Whether a product has a category or relation that :func:`product_outputs` rejects."""
+    L = V.PRODUCT_MAX_LENGTHS
+    no_list = F.col("_categories_kind").isNull() | (F.col("_categories_kind") != "list")
+    long_cat = F.exists("_categories", lambda c: V.too_long(c, L["pc_category"]))
+    long_rel = F.exists(F.map_entries("_related"), lambda e: V.too_long(e["key"], L["rl_relation"])
+                        | F.exists(e["value"], lambda k: V.too_long(k, L["rl_related_product_source_key"])))
+    return no_list | F.coalesce(long_cat, F.lit(False)) | F.coalesce(long_rel, F.lit(False))
+
+
+def resolve_pending_products(classified: DataFrame) -> DataFrame:
+    """Classify the products a deferred pass left pending, literal fallback included.
+
+    Their cells come back from the source row; a null cell is absent there
+    and null again here.  Returns the same columns with ``_pending`` false.
+    """
+    cells = ", ".join(f"`{c}` string" for c in PRODUCT_SOURCE_COLUMNS)
+    pend = classified.filter("_pending").select(F.from_json("_source_row", cells).alias("_r"), F.col("_source_row").alias("_kept"))
+    raw = pend.select("_r.*", "_kept")
+    done = classify_products(raw)
+    # the scan's own rendering of the row, with any further columns, stays the source row
+    return done.withColumn("_source_row", F.get_json_object("_source_row", "$._kept")) \
+        .withColumn("_pending", F.lit(False)).select(*classified.columns)
 
 
 class ProductOutputs(NamedTuple):
