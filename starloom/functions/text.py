@@ -83,19 +83,6 @@ def default_if_blank(c: str | Column, value) -> Column:
     return F.when(is_blank(c), F.lit(value)).otherwise(c)
 
 
-def apply_defaults(df, defaults: dict[str, object], mapping: dict[str, str] | None = None):
-    """P1 over a whole frame: one ``select`` with a default per listed column."""
-    mapping = mapping or {}
-    out = []
-    for name in df.columns:
-        logical = mapping.get(name, name)
-        if logical in defaults:
-            out.append(default_if_blank(name, defaults[logical]).alias(name))
-        else:
-            out.append(F.col(name))
-    return df.select(*out)
-
-
 def sanitize_string(c: str | Column) -> Column:
     """Token replacement in fixed order, then runs of 2+ whitespace → one space."""
     c = col_of(c)

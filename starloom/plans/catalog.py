@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -25,6 +25,7 @@ from ..operators import keys as K
 from ..operators import setops as U
 from ..operators import stage as St
 from ..operators import validate as V
+from ..session import materialize
 from . import oracle as O
 from . import standin as S
 from . import star
@@ -127,13 +128,25 @@ def q2(spark, sf):
 
 
 @register("t1_order_by", O.query("""
-SELECT p.brand, d.year, d.month_of_year, AVG(f.review_rating) AS avg_review_rating
-FROM review_fact f JOIN product_dim p ON f.product_key = p.product_key
-JOIN date_dim d ON f.date_reviewed_key = d.date_key
-GROUP BY p.brand, d.year, d.month_of_year"""))
+SELECT * EXCLUDE (m), row_number() OVER (ORDER BY year, m, brand) AS position FROM (
+  SELECT p.brand, d.year, d.month_of_year, AVG(f.review_rating) AS avg_review_rating, min(d.month_of_year_number) AS m
+  FROM review_fact f JOIN product_dim p ON f.product_key = p.product_key
+  JOIN date_dim d ON f.date_reviewed_key = d.date_key
+  GROUP BY p.brand, d.year, d.month_of_year)"""))
 def t1(spark, sf):
+    """The ordered query's rows with their place, so that the order itself is compared.
+
+    Each sorted partition is numbered as it stands; the partitions' sizes, one row
+    each, tell where it starts.
+    """
     wh = warehouse(spark, sf)
-    return star.rating_per_brand_per_month(wh.fact, wh.product, wh.date, month_order=star.MONTH_ORDER_NUMBER)
+    ordered = star.rating_per_brand_per_month(wh.fact, wh.product, wh.date, month_order=star.MONTH_ORDER_NUMBER)
+    placed = materialize(ordered.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i")))
+    size = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_0"))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    start = size.select("_p", "_0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return placed.join(start, "_p").withColumn("position", F.col("_before") + F.col("_i") - F.col("_0") + 1) \
+        .drop("_p", "_i", "_0", "_before")
 
 
 @register("a3_avg_group", O.query("""
@@ -353,6 +366,20 @@ def l2(spark, sf):
     return warehouse(spark, sf).date
 
 
+@register("l2_date_dim_orders", f"""
+WITH y AS (SELECT date_trunc('year', min(o_orderdate))::DATE AS lo, year(max(o_orderdate)) - year(min(o_orderdate)) + 1 AS n FROM orders),
+d AS (SELECT unnest(generate_series(lo, lo + to_years(n::INTEGER), INTERVAL 1 DAY))::DATE AS d FROM y),
+o AS (SELECT o_orderdate::DATE AS d, count(*) AS n_orders FROM orders GROUP BY 1)
+SELECT {O.date_columns('d.d')}, coalesce(n_orders, 0) AS n_orders FROM d LEFT JOIN o ON d.d = o.d""")
+def l2_orders(spark, sf):
+    """The generated date dimension over the years of all orders, with the orders of each day."""
+    orders = table(spark, sf, "orders")
+    years = orders.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
+    lo, hi = (years.lo, years.hi) if years.lo is not None else (2000, 2000)
+    per_day = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return Dm.build_date_dim(spark, f"{lo:04d}-01-01", hi - lo + 1).join(per_day, "date", "left").na.fill(0, ["n_orders"])
+
+
 @register("l4_scd1_upsert", O.query(" SELECT * FROM reviewer_dim"))
 def l4(spark, sf):
     return warehouse(spark, sf).reviewer
@@ -401,11 +428,11 @@ def v6(spark, sf):
     return B.current_products(product_dim_v2(spark, sf)).select("product_key", "product_source_key")
 
 
-@register("u2_union_append", O.query(PRODUCT_DIM_2 + """ SELECT product_key, product_source_key, effective_date
-FROM product_dim_2 WHERE effective_date = TIMESTAMP '2024-02-01 00:00:00'"""))
+@register("u2_union_append", O.query(" SELECT * FROM s1_product UNION ALL SELECT * FROM s1_product_late"))
 def u2(spark, sf):
-    return product_dim_v2(spark, sf).filter(F.col("effective_date") == F.lit(AS_OF_2).cast("timestamp_ntz")) \
-        .select("product_key", "product_source_key", "effective_date")
+    """The products of the second file appended to those of the first."""
+    late = St.product_outputs(St.classify_products(S.raw_products(spark, sf, late=True))).products
+    return U.append(warehouse(spark, sf).stage1.products, late)
 
 
 @register("j5_match_split", O.query(PRODUCT_DIM_2 + """ SELECT product_source_key,
@@ -591,7 +618,7 @@ def p2c(spark, sf):
 
 
 def _restore_sql(x: str) -> str:
-    for old, new in T.SANITIZE_TOKENS:
+    for old, new in O.TOKENS:
         x = f"replace({x}, {O.lit(new)}, {O.lit(old)})"
     return x
 
@@ -809,20 +836,51 @@ def s10(spark, sf):
     return keyed.select(F.col("reviewerID").alias("key"), F.get_json_object("json", "$.asin").alias("last_asin"))
 
 
-@register("s11_csv_to_json_typed", None)
-def s11(spark, sf):
-    """Each raw product cell typed (JSON value, number, or string); no SQL oracle (VARIANT typing)."""
-    from ..sources import sinks
-    return sinks.typed_json_rows(S.raw_products(spark, sf, late=True))
+def _kind_sql(x: str) -> str:
+    """Python's type name of a cell under the typing rule, ``x`` being the stripped cell."""
+    return (f"CASE WHEN NOT coalesce(json_valid({x}), false) THEN CASE WHEN regexp_full_match({x}, '[0-9]+') THEN 'int' "
+            f"WHEN regexp_full_match({x}, '[0-9]+[.][0-9]*|[.][0-9]+') THEN 'float' ELSE 'str' END "
+            f"ELSE CASE json_type({x}) WHEN 'OBJECT' THEN 'dict' WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str' "
+            f"WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'NoneType' WHEN 'DOUBLE' THEN 'float' ELSE 'int' END END")
+
+
+JSON_CELLS = ["_c0", *St.REVIEW_SOURCE_COLUMNS]
 
 
-@register("p8_infer_scalar", None)
+@register("s11_csv_to_json_typed", O.query(" SELECT " + ", ".join(
+    f"{x} AS {c}, {_kind_sql(x)} AS {c}_kind" for c, x in (
+        (c, f"replace({O.strip(f'coalesce({c}, chr(32))')}, ', ', ',')" if c == "helpful" else O.strip(f"coalesce({c}, chr(32))"))
+        for c in JSON_CELLS)) + " FROM raw_reviews"))
+def s11(spark, sf):
+    """All reviews from CSV to JSON lines, each cell typed; read back with the JSON type of every cell."""
+    from ..sources import csv as C
+    from ..sources import sinks
+    source, target = _scratch(spark, "s11_csv"), _scratch(spark, "s11_json")
+    C.write_csv(S.raw_reviews(spark, sf), source)
+    sinks.csv_to_json(spark, source, target)
+    lines = spark.read.text(target)
+    cells = lines.select("value", F.from_json("value", ", ".join(f"`{c}` string" for c in JSON_CELLS)).alias("r"))
+
+    def kind(c):  # a quote inside a JSON text is escaped, so the quoted name with its colon is the cell itself
+        starts = [F.col("value").contains(f'"{c}":{x}') for x in ('"', "[", "{", "n")]
+        number = F.when(F.col(f"r.{c}").rlike("[.eE]"), "float").otherwise("int")
+        bool_ = F.col(f"r.{c}").isin("true", "false")
+        return (F.when(starts[0], "str").when(starts[1], "list").when(starts[2], "dict").when(starts[3], "NoneType")
+                .when(bool_, "bool").otherwise(number))
+    return cells.select(*[x for c in JSON_CELLS for x in (F.col(f"r.{c}").alias(c), kind(c).alias(f"{c}_kind"))])
+
+
+@register("p8_infer_scalar", f"""SELECT event_id, {_kind_sql("value::VARCHAR")} AS value_kind, value::DOUBLE AS value,
+  {_kind_sql(O.strip("props"))} AS props_kind, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k,
+  {_kind_sql(O.strip("event_id::VARCHAR"))} AS id_kind FROM events""")
 def p8(spark, sf):
-    """Type of each event cell under the notebook rule; no SQL oracle (VARIANT typing)."""
-    from ..functions.infer import cell_type, infer_scalar
-    ev = table(spark, sf, "events")
-    return ev.select("event_id", cell_type(infer_scalar(F.col("value").cast("string"))).alias("value_type"),
-                     cell_type(infer_scalar("props")).alias("props_type"))
+    """The event cells typed by the notebook's rule: Python type names, and values read from the typed cells."""
+    from ..functions.infer import cell_kind, infer_scalar
+    ev = table(spark, sf, "events").select(
+        "event_id", *[infer_scalar(F.col(c).cast("string")).alias(f"_{c}") for c in ("value", "props", "event_id")])
+    return ev.select("event_id", cell_kind("_value").alias("value_kind"),
+                     F.try_variant_get("_value", "$", "double").alias("value"), cell_kind("_props").alias("props_kind"),
+                     F.try_variant_get("_props", "$.k", "bigint").alias("props_k"), cell_kind("_event_id").alias("id_kind"))
 
 
 @register("s12_csv_dump", O.query(" SELECT * FROM s2_product_category"))

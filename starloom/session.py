@@ -121,10 +121,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/starloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python's own file APIs can use the path."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = ["RECOMMENDED_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path",
-           "local_path", "ship_package", "materialize"]
+           "ship_package", "materialize"]

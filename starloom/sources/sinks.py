@@ -98,11 +98,13 @@ def csv_to_json(spark: SparkSession, csv_path: str, json_path: str, key: str | N
     """S10/S11 end to end: a CSV path to JSON lines.
 
     With ``key`` one object per key, the last row of a file winning; without it
-    every row, its cells typed by the P8 rule.  Malformed rows have no JSON.
+    every row, its cells typed by the P8 rule.  Malformed rows have no JSON;
+    a blank cell is the empty text.
     Source order is the scan's own (rows of one file in order), taken before
     any shuffle.
     """
     rows, _ = split_malformed(csv_scan(spark, csv_path), "csv")
+    rows = rows.na.fill("")
     if key is None:
         out = typed_json_rows(rows)
     else:

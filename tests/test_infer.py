@@ -1,11 +1,10 @@
-"""P8 / S11 have no SQL oracle (VARIANT typing): checked against a plain-Python
-statement of the per-cell typing rule on a fixture."""
+"""P8 / S11 against a plain-Python statement of the per-cell typing rule on a fixture."""
 
 import json
 
 from pyspark.sql import functions as F
 
-from starloom.functions.infer import infer_scalar
+from starloom.functions.infer import cell_kind, infer_scalar
 from starloom.sources import sinks
 
 CELLS = ["1", " 42 ", "1.5", "1.50", ".5", "1.", "01", "abc", "", "   ", "true", "null", '"quoted"',
@@ -27,9 +26,11 @@ def py_type(value):
 
 def test_infer_scalar_matches_rule(spark):
     df = spark.createDataFrame([(c,) for c in CELLS], "c string")
-    got = {r.c: r.j for r in df.select("c", F.to_json(infer_scalar("c")).alias("j")).collect()}
+    got = {r.c: r for r in df.select("c", F.to_json(infer_scalar("c")).alias("j"), cell_kind(infer_scalar("c")).alias("k")).collect()}
     for c in CELLS:
-        assert json.loads(got[c]) == py_type(c), (c, got[c])
+        want = py_type(c)
+        assert json.loads(got[c].j) == want and type(json.loads(got[c].j)) is type(want), (c, got[c].j)
+        assert got[c].k == type(want).__name__, (c, got[c].k)
 
 
 def test_typed_json_rows_matches_rule(spark):

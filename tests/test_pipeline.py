@@ -137,10 +137,10 @@ def test_csv_to_json_files(spark, tmp_path):
     """A CSV path in, JSON lines out: keyed (the last row of a key wins) and typed."""
     import json
     with open(f"{tmp_path}/in.csv", "w") as f:
-        f.write('k,v\na,1\nb,2.5\na,"x, ""y"""\n')
+        f.write('k,v\na,1\nb,2.5\na,"x, ""y"""\nc,\n')
     Sk.csv_to_json(spark, f"{tmp_path}/in.csv", f"{tmp_path}/keyed", key="k")
     got = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/keyed").collect()]
-    assert sorted(got, key=str) == [{"k": "a", "v": 'x, "y"'}, {"k": "b", "v": "2.5"}]
+    assert sorted(got, key=str) == [{"k": "a", "v": 'x, "y"'}, {"k": "b", "v": "2.5"}, {"k": "c", "v": ""}]
     Sk.csv_to_json(spark, f"{tmp_path}/in.csv", f"{tmp_path}/typed")
     got = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/typed").collect()]
-    assert {"k": "a", "v": 1} in got and {"k": "b", "v": 2.5} in got and len(got) == 3
+    assert {"k": "a", "v": 1} in got and {"k": "b", "v": 2.5} in got and {"k": "c", "v": ""} in got and len(got) == 4
