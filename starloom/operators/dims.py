@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions.text import REVIEW_DEFAULTS
 from ..session import materialize
 from .joins import restrict_to_keys
 from .keys import assign_surrogate_keys, max_key
@@ -28,6 +29,7 @@ DATE_COLUMNS = ["date_key", "date", "day_of_week", "month_of_year", "month_of_ye
 # reserved keys of unknown members.
 DATE_START, DATE_YEARS = "2000-01-01", 30
 UNKNOWN_DATE_KEY, UNKNOWN_MEMBER_KEY = 19000101, -1
+UNKNOWN_DATE = "*Unknown Date"
 
 
 def _date_attrs(df: DataFrame, c: str = "date") -> DataFrame:
@@ -69,15 +71,21 @@ def date_dim_covering(df: DataFrame, c: str) -> DataFrame:
 
 
 def unknown_date_member(spark: SparkSession) -> DataFrame:
-    """Reserved date row (key 19000101)."""
-    return _date_attrs(spark.range(1).select(F.lit(_dt.date(1900, 1, 1)).alias("date")))
+    """Reserved date row (key 19000101), for reviews without a date."""
+    return _date_attrs(spark.range(1).select(F.lit(_dt.date(1900, 1, 1)).alias("date"))) \
+        .withColumn("date_description", F.lit(UNKNOWN_DATE))
 
 
 def unknown_reviewer_member(spark: SparkSession) -> DataFrame:
-    """Reserved reviewer row (key -1)."""
+    """Reserved reviewer row (key -1), for reviews without a reviewer id."""
     return spark.range(1).select(F.lit(UNKNOWN_MEMBER_KEY).cast("long").alias("reviewer_key"),
-                                 F.lit("*Unknown").alias("reviewer_source_key"),
-                                 F.lit("*Unknown username").alias("reviewer_name"))
+                                 F.lit(REVIEW_DEFAULTS["reviewer_source_key"]).alias("reviewer_source_key"),
+                                 F.lit(REVIEW_DEFAULTS["reviewer_name"]).alias("reviewer_name"))
+
+
+def known_reviewers(rows: DataFrame) -> DataFrame:
+    """Reviewer rows with an id; the others belong to the unknown member, whose name stays."""
+    return rows.filter(F.col("reviewer_source_key") != REVIEW_DEFAULTS["reviewer_source_key"])
 
 
 def load_category(existing: DataFrame | None, names: DataFrame, name_col: str = "product_category"
@@ -253,6 +261,6 @@ def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "r
     return dim, added
 
 
-__all__ = ["build_date_dim", "date_dim_covering", "unknown_date_member", "unknown_reviewer_member",
+__all__ = ["build_date_dim", "date_dim_covering", "unknown_date_member", "unknown_reviewer_member", "known_reviewers",
            "load_category", "latest_per_key", "scd1_upsert", "scd2_merge", "scd2_history",
            "descriptor_hash", "load_junk_dim", "DATE_COLUMNS"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bridge import current_products
-from .dims import descriptor_hash
+from .dims import UNKNOWN_DATE_KEY, descriptor_hash
 from .keys import dedupe_on_key
 from .validate import REASON
 
@@ -85,7 +85,7 @@ def resolve_fact_keys(reviews: DataFrame, reviewer_dim: DataFrame, product_dim:
         F.col("r_reviewer_source_key").alias("_rsk"), F.col("r_product_key").alias("_psk"),
         descriptor_hash("r_review_text", "r_review_title").alias("_h"),
         F.col("r_review_text").alias("_text"), F.col("r_review_title").alias("_title"),
-        F.col("r_review_date_key").alias("date_reviewed_key"),
+        F.coalesce(F.col("r_review_date_key"), F.lit(UNKNOWN_DATE_KEY)).alias("date_reviewed_key"),
         F.col("r_review_datetime").cast("timestamp_ntz").alias("_ts"),
         F.col("r_helpfulness_rating").cast("double").alias("helpfulness_rating"),
         F.col("r_review_score").cast("double").alias("review_rating"))

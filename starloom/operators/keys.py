@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .validate import DUPLICATE_KEY, REASON
+from .validate import DUPLICATE_KEY, MISSING_KEY, REASON
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -64,6 +64,14 @@ def dedupe_on_key(df: DataFrame, keys: Sequence[str],
     return kept, dropped
 
 
+def not_null_key(df: DataFrame, keys: Sequence[str], reason_col: str = REASON) -> tuple[DataFrame, DataFrame]:
+    """K2: rows whose key columns are all there, and the others with reason ``missing key``."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return df.filter(~missing), df.filter(missing).withColumn(reason_col, F.lit(MISSING_KEY))
+
+
 def latest_first(ts: str | Column) -> Column:
     """Preference value for :func:`dedupe_on_key`: newest timestamp wins, null last."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -86,14 +94,14 @@ def fk_split(df: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]],
 
 
 def max_key(dim: DataFrame | None, key_col: str) -> int:
-    """Largest existing surrogate key (0 for an empty or missing dimension).
+    """Largest existing surrogate key (0 for a missing dimension or one of reserved members only).
 
     One scalar aggregate; nothing but the number reaches the driver.
     """
     if dim is None:
         return 0
     v = dim.agg(F.max(key_col).alias("m")).first()["m"]
-    return int(v) if v is not None else 0
+    return max(int(v), 0) if v is not None else 0
 
 
 def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_col: str,

@@ -25,7 +25,7 @@ from ..functions.text import (PRODUCT_DEFAULTS, REVIEW_DEFAULTS, clean_text, def
 from ..functions.dates import date_key
 from . import validate as V
 from .joins import canonical_edges, reciprocal_anti
-from .keys import dedupe_on_key, latest_first
+from .keys import dedupe_on_key, latest_first, not_null_key
 from .late import S2_PRODUCT_COLUMNS, add_late_arriving
 
 REVIEW_SOURCE_COLUMNS = ["reviewerID", "asin", "reviewerName", "helpful", "reviewText", "overall",
@@ -296,19 +296,25 @@ class Stage2(NamedTuple):
 
 
 def stage2_products(s1_product: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct products, one per source key (PK); the rest quarantined.
+    """Distinct products, one per source key (PK, never null); the rest quarantined.
 
     The key rule collapses exact copies itself, so no separate DISTINCT
     shuffle is needed.
     """
-    return dedupe_on_key(s1_product.select(*S2_PRODUCT_COLUMNS), ["p_product_source_key"])
+    return _keyed(s1_product.select(*S2_PRODUCT_COLUMNS), ["p_product_source_key"])
+
+
+def _keyed(df: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A primary key enforced: not null (K2), then unique (K1)."""
+    whole, missing = not_null_key(df, keys)
+    kept, dropped = dedupe_on_key(whole, keys, prefer)
+    return kept, dropped.unionByName(missing)
 
 
 def stage2_reviews(s1_review: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct reviews, one per (reviewer, product) (PK), newest review first."""
-    return dedupe_on_key(s1_review.select(*S1_REVIEW_COLUMNS),
-                         ["r_reviewer_source_key", "r_product_key"],
-                         prefer=[latest_first("r_review_datetime")])
+    return _keyed(s1_review.select(*S1_REVIEW_COLUMNS), ["r_reviewer_source_key", "r_product_key"],
+                  prefer=[latest_first("r_review_datetime")])
 
 
 def stage2_related(s1_related: DataFrame, mode: str = "literal") -> DataFrame:

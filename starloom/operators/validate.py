@@ -55,6 +55,7 @@ REASONS = {
 # Reasons this library adds for rules the source system enforced by failing.
 MALFORMED = "malformed record"
 DUPLICATE_KEY = "duplicate key"
+MISSING_KEY = "missing key"
 # End of fixed values.
 # ---------------------------------------------------------------------------
 

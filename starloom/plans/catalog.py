@@ -905,6 +905,15 @@ def k2(spark, sf):
             .unionByName(p.select(F.lit("s1_product").alias("table_name"), "null_keys")))
 
 
+@register("k2_missing_key_rejects", O.query(""" SELECT _c0 AS source_row_id, reviewText IS NULL OR summary IS NULL AS rejected,
+  CASE WHEN reviewText IS NULL OR summary IS NULL THEN 'missing key' END AS reason FROM raw_reviews"""))
+def k2_rejects(spark, sf):
+    """The key rule on (text, title) before defaults: reviews without a text are rejected."""
+    kept, bad = K.not_null_key(S.raw_reviews(spark, sf), ["reviewText", "summary"])
+    return (kept.select(F.col("_c0").alias("source_row_id"), F.lit(False).alias("rejected"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select(F.col("_c0").alias("source_row_id"), F.lit(True).alias("rejected"), F.col(V.REASON).alias("reason"))))
+
+
 @register("l11_unknown_member", O.query(""" SELECT * FROM reviewer_dim
 UNION ALL SELECT -1, '*Unknown', '*Unknown username'"""))
 def l11(spark, sf):
@@ -1154,6 +1163,26 @@ def batches_product_dim(spark, sf):
     return three_batches(spark, sf)["product"]
 
 
+@register("pipeline_three_batches_reviewer", O.query(""" SELECT * FROM reviewer_dim
+UNION ALL SELECT -1, '*Unknown', '*Unknown username'"""))
+def batches_reviewer(spark, sf):
+    """The unknown reviewer is a member from the first batch on and takes no key of others."""
+    return three_batches(spark, sf)["reviewer"]
+
+
+@register("pipeline_three_batches_date", O.query(f""", loaded AS (
+  SELECT unnest(generate_series(DATE '1990-01-01', DATE '2030-01-01', INTERVAL 1 DAY))::DATE AS d),
+days AS (SELECT {O.date_columns('d')} FROM loaded UNION ALL
+  SELECT 19000101, DATE '1900-01-01', 'Monday', 'January', 1, 1, 1900, 1, '*Unknown Date'),
+per_day AS (SELECT date_reviewed_key, count(*) AS n_reviews FROM review_fact GROUP BY 1)
+SELECT days.*, coalesce(n_reviews, 0) AS n_reviews FROM days LEFT JOIN per_day ON date_key = date_reviewed_key"""))
+def batches_date(spark, sf):
+    """The stored date dimension, its unknown member included, with the reviews of each day."""
+    w = three_batches(spark, sf)
+    per_day = w["review_fact"].groupBy(F.col("date_reviewed_key").alias("date_key")).agg(F.count(F.lit(1)).alias("n_reviews"))
+    return w["date"].join(per_day, "date_key", "left").na.fill(0, ["n_reviews"])
+
+
 @register("pipeline_three_batches_q1", O.query("""
 SELECT c.product_category, d.year, d.month_of_year, AVG(f.review_rating) AS avg_review_rating
 FROM review_fact f JOIN product_dim p ON f.product_key = p.product_key

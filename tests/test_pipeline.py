@@ -113,6 +113,22 @@ def test_unreadable_audit_log_changes_nothing(spark, inputs):
     assert os.listdir(root) == ["audit"]
 
 
+def test_reviews_without_a_reviewer_get_the_unknown_member(spark, inputs):
+    """Blank reviewer ids load as key -1 in each batch; its name stays, other keys start at 1."""
+    reviews, products, root = inputs
+    rows = csv_scan(spark, reviews).drop("_corrupt_record")
+    blank = F.col("reviewerID").endswith("1")
+    write_csv(rows.withColumn("reviewerID", F.when(~blank, F.col("reviewerID"))), f"{reviews}-blank")
+    for as_of in ("2024-01-01 00:00:00", "2024-02-01 00:00:00"):
+        P.run_pipeline(spark, f"{reviews}-blank", products, P.RunConfig(root=root, as_of=as_of, date_start="1990-01-01", date_years=40))
+    w = P.warehouse_tables(spark, root)
+    names = {r.reviewer_key: (r.reviewer_source_key, r.reviewer_name) for r in w["reviewer"].collect()}
+    assert names[-1] == ("*Unknown", "*Unknown username") and min(k for k in names if k != -1) == 1
+    assert [n for n, _ in names.values()].count("*Unknown") == 1
+    assert not w["review_fact"].filter("reviewer_key = -1").isEmpty()
+    assert w["date"].filter("date_key = 19000101").select("date_description").first()[0] == "*Unknown Date"
+
+
 def test_half_written_version_is_not_current(spark, tmp_path):
     root = f"{tmp_path}/dim"
     Sk.write_version(spark.range(3), root, 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starloom.session import materialize
 from starloom.operators import stage as St
 from starloom.operators import validate as V
+from starloom.operators.keys import not_null_key
 
 REVIEW_COLS = ["_c0", "reviewerID", "asin", "reviewerName", "helpful", "reviewText", "overall", "summary",
                "unixReviewTime"]
@@ -214,3 +215,11 @@ def test_deferred_products_equal_inline_ones(spark):
     rejects = {r.row for r in St.product_outputs(inline).rejects.collect()}
     assert {r[0] for r in inline.filter("_source_row is not null").select("_source_row").collect()} == rejects
     assert inline.filter("_source_row is null").count() > 0
+
+
+def test_missing_keys_are_quarantined(spark):
+    """A null in any key column is a reject with its own reason; the others keep their rows."""
+    df = spark.createDataFrame([("a", "x", 1), (None, "x", 2), ("a", None, 3), (None, None, 4)], "k string, l string, n int")
+    kept, bad = not_null_key(df, ["k", "l"])
+    assert [r.n for r in kept.collect()] == [1]
+    assert sorted((r.n, r.reject_reason) for r in bad.collect()) == [(n, "missing key") for n in (2, 3, 4)]
