@@ -241,3 +241,28 @@ def test_colliding_hashes_are_verified(monkeypatch):
     lambda d: simhash.simhash_components(d), lambda d: simhash.keep_one(d), lambda d: suffix_dedup.suffix_dedup(d)])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def common_phrase(seed, n=300):
+    """A phrase shorter than a window in ever other surroundings, and a longer passage in every third text."""
+    rnd = random.Random(seed)
+    noise = lambda: "".join(rnd.choice("abcdefghij ") for _ in range(rnd.randrange(60, 120)))
+    return [(i, noise() + "a phrase that occurs in all texts" + noise() + ("The passage " * 9 if i % 3 == 0 else "") + noise())
+            for i in range(n)] + [(None, None), (7, "")]
+
+
+@pytest.mark.parametrize("most", [1, 20, 10_000])
+def test_suffix_dedup_with_hot_hashes(spark, most):
+    rows = common_phrase(4) + [(i, t) for i, t in corpus(3)]
+    assert suffix_rows(frame(spark, rows, 5), most=most) == suffix_brute(rows)
+
+
+def test_contexts_of_a_common_phrase_do_not_meet(spark):
+    """No hash brings more than ``most`` distinct segments, or a window of each block, to one task."""
+    np, most = suffix_dedup.np, 20
+    packed = suffix_dedup.blocks(frame(spark, common_phrase(5), 3), "doc_id", "text")
+    wanted, hot = suffix_dedup._wanted(packed, 8, 50, 16, most)
+    assert len(hot)
+    texts = suffix_dedup._segment_texts(packed.join(wanted, "block"), 8, 50, 16, hot).select("keys").collect()
+    keys = np.concatenate([suffix_dedup.unpack_sorted(r["keys"]) for r in texts])
+    assert np.unique(keys, return_counts=True)[1].max() <= most
