@@ -48,6 +48,19 @@ def test_top_k_against_brute_force(spark, monkeypatch, block, group, leaf):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == top_brute(rows, 5, lambda i: i % 7 == 0)
 
 
+@pytest.mark.parametrize("block", [8192, 40])
+def test_top_k_with_repeated_ids(spark, monkeypatch, block):
+    """Rows of the query's own id, with other and with equal vectors, take no place of a result."""
+    monkeypatch.setattr(cover_tree, "BLOCK", block)
+    rnd = random.Random(8)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(100)]
+    rows += [(7, [3.0 + rnd.random() for _ in range(4)]) for _ in range(9)]  # one id, different vectors that score best
+    rows += [(i, [2.0] * 4) for i in [14] * 12 + [15] * 3 + list(range(200, 230))]  # a group of equal vectors with repeated ids
+    df = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in rows], VECTORS).repartition(4)
+    got = cover_tree.top_k(df, df.where("vec_id % 7 = 0"), k=5).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == top_brute(rows, 5, lambda i: i % 7 == 0)
+
+
 def test_tree_covers_and_search_prunes(monkeypatch):
     monkeypatch.setattr(cover_tree, "LEAF", 8)
     rnd = np.random.default_rng(3)
