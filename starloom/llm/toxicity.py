@@ -23,7 +23,6 @@ empty table gives an empty result; extra columns are ignored by
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -37,8 +36,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import prepare, text_column, written
 
 SAMPLE = 10_000          # labelled documents of each class that are read
-LEXICON = 2_000          # learnt entries kept, those met in most toxic documents
-MIN_DOCS, MIN_SHARE = 5, 0.01  # an entry occurs in so many, and such a share, of the toxic documents
+MIN_DOCS = 3             # an entry occurs in so many toxic documents
 MIN_ODDS = 4.0           # least log-odds of an entry
 STEMS = (4, 5, 6, 7)      # lengths of word beginnings that are tried
 THRESHOLD = 0.7
@@ -227,9 +225,8 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
         counts = texts.select("_y", "_t").mapInArrow(count, "f string, t long, c long") \
             .groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
         odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-        least = max(MIN_DOCS, math.ceil(MIN_SHARE * toxic))
-        for r in counts.where(F.col("t") >= least).withColumn("o", odds).where(F.col("o") >= MIN_ODDS) \
-                .orderBy(F.desc("t"), "f").limit(LEXICON).collect():
+        # every word of the bounded sample that passes; the list grows with ``SAMPLE``, not with the corpus
+        for r in counts.where(F.col("t") >= MIN_DOCS).withColumn("o", odds).where(F.col("o") >= MIN_ODDS).collect():
             into, key = (stems, r.f[:-1]) if r.f.endswith("*") else (words, r.f)
             into[key] = max(into.get(key, 0.0), r.o / MIN_ODDS)
     return words, stems

@@ -209,6 +209,17 @@ def test_toxicity_learns_held_out_rows(spark):
     assert clean.count() == sum(r.predicted == 0 for r in got)
 
 
+def test_rare_markers_are_learnt_beside_many_toxic_documents(spark):
+    """Markers of under 1 % of the toxic documents, and more entries than a fixed number."""
+    rows = [(i, 1, f"tox{i} common" + (" raremarker" if i < 6 else "")) for i in range(700)]
+    rows += [(1000 + i, 0, f"clean{i}") for i in range(3500)]
+    words, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "_id long, _y int, _t string"))
+    assert "common" in words and "raremarker" in words and "clean" not in words
+    many = [(i, 1, " ".join(f"{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(2500)) + f" x{i}") for i in range(3)]
+    words, _ = toxicity.learn_lexicon(spark.createDataFrame(many + [(1000 + i, 0, f"clean{i}") for i in range(60)], "_id long, _y int, _t string"))
+    assert len(words) >= 2500
+
+
 def test_toxicity_without_labels_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(frame(spark, [(1, "you idiot"), (2, "hello")]), none).collect()}
