@@ -4,8 +4,11 @@ Words of a clause become tags (insult, threat, target, negation, report,
 word).  Small transducers rewrite the tags in turn: a target before an insult
 aims it, a threat verb before a target is a menace, a negation before either
 denies it, a verb of speech before it reports it; the last one weighs what is
-left.  Their composition is one machine, run over each clause that holds an
-insult or a threat; isolated words have no score of their own.
+left.  Their composition is one machine, run over the clauses of a text that
+holds an insult or a threat.  A bare insult scores 1 times its weight, a denied
+one 0.5 and a reported one 0.6, so patterns grade a lexicon hit but do not
+decide whether it counts; a threat without a target, or any other word, has no
+score.
 
 The insult tag is learnt: words and word beginnings that mark toxic documents
 in the labelled training rows, with their log-odds as weights, join a small
