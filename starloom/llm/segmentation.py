@@ -571,6 +571,6 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = DEFAULT_MODEL)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """:func:`encode` with the ids as their count and hash."""
+    """:func:`encode` with the count and the hash of the ids beside them."""
     found = encode(docs, id_col, text_col, **options)
-    return found.withColumn("n_pieces", F.size("ids")).withColumn("ids_xxh64", F.xxhash64("ids")).drop("ids")
+    return found.withColumn("n_pieces", F.size("ids")).withColumn("ids_xxh64", F.xxhash64("ids"))

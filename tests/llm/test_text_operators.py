@@ -305,6 +305,12 @@ def test_encode_and_decode_round_trip(spark):
     assert segmentation.digests(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_digests_keep_the_ids(spark):
+    rows = texts(5)
+    got = segmentation.digests(frame(spark, rows))
+    assert Counter((r.doc_id, r.text) for r in segmentation.decode(got).collect() if r["sample"] == 1) == Counter((i, t or "") for i, t in rows)
+
+
 # --- token counts
 
 def test_token_histogram_answers_every_limit(spark):
