@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (content_sort, cover_tree, kneser_ney, mixing, segmentation, simhash, suffix_dedup, token_counts, toxicity,
-                          url_filter)
+from starloom.llm import (bloom_search, content_sort, cover_tree, kneser_ney, mixing, segmentation, simhash, sketch, suffix_dedup,
+                          token_counts, toxicity, url_filter, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +132,66 @@ SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) A
        sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN x ON d.r = x.r
 """
 
+
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts, and how alike they are."""
+    return sketch.fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+_KEPT = f"""list_sort(list_distinct(list_filter(list_transform(
+    CASE WHEN len({{w}}) = 0 THEN [] ELSE range(1, greatest(len({{w}}) - {sketch.SHINGLE - 1}, 1) + 1) END,
+    lambda i: substr(md5(array_to_string({{w}}[i:i + {sketch.SHINGLE - 1}], ' ')), 1, 16)), lambda h: h < '{sketch.threshold(sketch.FRACTION)}')))"""
+_ALIKE = """CASE WHEN {a}_whole = {b}_whole THEN 1.0::DOUBLE
+    WHEN len({a}_kept) + len({b}_kept) = 0 THEN 0.0::DOUBLE
+    ELSE len(list_intersect({a}_kept, {b}_kept))::DOUBLE
+         / (len({a}_kept) + len({b}_kept) - len(list_intersect({a}_kept, {b}_kept))) END"""
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, sha256(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, ''))) AS p,
+                  count(*) OVER () AS n FROM documents),
+e AS (SELECT d.*, substr(d.t, 1, length(d.t) - length(d.t) // 3) || substr(x.t, 1, length(d.t) // 3) AS et, d.p % d.n + 1 AS q
+      FROM d JOIN d AS x ON x.p = d.p % d.n + 1),
+w AS (SELECT *, list_filter(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(regexp_split_to_array(lower(et), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ew FROM e),
+k AS (SELECT *, substr(md5(array_to_string(w, ' ')), 1, 16) AS a_whole, {_KEPT.format(w='w')} AS a_kept,
+             substr(md5(array_to_string(ew, ' ')), 1, 16) AS b_whole, {_KEPT.format(w='ew')} AS b_kept FROM w),
+j AS (SELECT k.*, x.a_whole AS c_whole, x.a_kept AS c_kept FROM k JOIN k AS x ON x.p = k.q)
+SELECT doc_id, length(t) AS n_chars, sha256(et) AS edited_sha256,
+       a_whole || ':' || coalesce(array_to_string(a_kept, ''), '') AS fingerprint,
+       b_whole || ':' || coalesce(array_to_string(b_kept, ''), '') AS edited_fingerprint,
+       {_ALIKE.format(a='a', b='b')} AS near_edited, {_ALIKE.format(a='a', b='c')} AS near_next,
+       CASE WHEN len(a_kept) > 0 THEN len(list_intersect(a_kept, b_kept))::DOUBLE / len(a_kept) END AS contained_in_edited
+FROM j
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on their first 32 components."""
+    w = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+    return w.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened",
+                    "explained", "identity_error")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return bloom_search.search(_table(spark, sf_dir, "benchmark"), _table(spark, sf_dir, "documents"), k=20)
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+i AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark WHERE text IS NOT NULL),
+q AS (SELECT i, item_id, term, count(*) AS c FROM (SELECT i, item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+m AS (SELECT r, doc_id, 100 - 25 + ((25 * len(t) * n_docs) // l) AS m FROM d, s WHERE len(t) > 0),
+p AS (SELECT q.i, q.item_id, m.r, m.doc_id, sum(q.c * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * m.m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_top_k": (op2_top_k, OP2_SQL),
@@ -143,4 +203,7 @@ QUERIES = {
     "op8_simhash": (op8_simhash, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_suffix_dedup": (op10_suffix_dedup, OP10_SQL),
+    "op11_fingerprints": (op11_fingerprints, OP11_SQL),
+    "op12_whitening": (op12_whitening, None),
+    "op13_ranked_search": (op13_ranked_search, OP13_SQL),
 }
