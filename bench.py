@@ -81,7 +81,7 @@ def main() -> None:
         parallel_steps=PARALLEL), timings=steps["batch2"])
     times["load_batch2"] = time.time() - t
 
-    fact_rows = spark.read.parquet(f"{root}/adw/review_fact").agg(F.count(F.lit(1))).first()[0]
+    fact_rows = P.warehouse_tables(spark, root)["review_fact"].agg(F.count(F.lit(1))).first()[0]
     total = sum(times.values())
     print(json.dumps({"metric": "warehouse_load_and_star_queries", "value": round(total, 3), "unit": "sec",
                       "queries": {k: round(v, 3) for k, v in times.items()},

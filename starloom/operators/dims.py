@@ -1,11 +1,11 @@
 """Dimension loaders: date (L2), category (L3), SCD1 (L4), SCD2 (L5, L5b),
 junk (L7) and unknown members (L11).
 
-Each loader is a pure function ``(existing, incoming, …) → (new dimension,
-counts)``; writing the result to a new version folder is the caller's job
-(see :mod:`starloom.plans.pipeline`), so nothing here overwrites a path it
-reads.  Counts are one-row DataFrames computed by aggregates, never
-collected lists.
+Most loaders are pure functions ``(existing, incoming, …) → (new dimension,
+counts)``, with counts as one-row aggregates.  :func:`scd1_apply` and
+:func:`scd2_apply` apply the same rules to a stored
+:class:`~starloom.sources.buckets.BucketTable`, so that a batch costs what its
+changes cost; the persisted load (:mod:`starloom.plans.pipeline`) uses those.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.text import REVIEW_DEFAULTS
 from ..session import materialize
+from ..sources.buckets import BucketTable
 from .joins import restrict_to_keys
 from .keys import assign_surrogate_keys, max_key
 
@@ -143,6 +144,37 @@ def scd1_upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "rev
     return dim, counts
 
 
+def scd1_apply(table: BucketTable, incoming: DataFrame, batch_id: int, attr: str = "reviewer_name", ts: str = "review_datetime",
+               sk: str = "reviewer_key", reserved: DataFrame | None = None) -> dict[str, int]:
+    """L4 on a stored dimension: only buckets with a new or changed key are read further and written.
+
+    ``reserved`` rows (L11) enter with the first commit.  Returns the counts
+    ``records_in``, ``type_1``, ``dim_new``.
+    """
+    key, state = table.key, table.state()
+    old = table.rows(table.touched(incoming)).select(key, F.col(sk).alias("_sk"), F.col(attr).alias("_old"))
+    j = latest_per_key(incoming, key, attr, ts).join(old, key, "left").select(
+        key, attr, F.when(F.col("_sk").isNull(), F.lit("new")).when(~F.col(attr).eqNullSafe(F.col("_old")), F.lit("type_1"))
+        .otherwise(F.lit("same")).alias("_change"), table.bucket().alias("_bucket"))
+    j = materialize(j)
+    done = {(r["_bucket"], r["_change"]): r["count"] for r in j.groupBy("_bucket", "_change").count().collect()}
+    counts = {"records_in": sum(done.values()), "type_1": sum(n for (_, c), n in done.items() if c == "type_1"),
+              "dim_new": sum(n for (_, c), n in done.items() if c == "new")}
+    touched = sorted({b for b, c in done if c != "same"})
+    first = reserved is not None and not state.version
+    if first:
+        touched = sorted({*touched, *table.touched(reserved)})
+    if not touched:
+        return counts
+    added = assign_surrogate_keys(j.filter(F.col("_change") == "new").select(key, attr), [key], sk, start_after=state.top)
+    renamed = j.filter(F.col("_change") == "type_1").select(key, F.col(attr).alias("_new"))
+    kept = table.rows(touched).join(renamed, key, "left").select(sk, key, F.coalesce("_new", attr).alias(attr))
+    rows = kept.unionByName(added.select(sk, key, attr))
+    table.commit(batch_id, rows.unionByName(reserved.select(sk, key, attr)) if first else rows, touched,
+                 top=state.top + counts["dim_new"])
+    return counts
+
+
 def _changed(attrs: Sequence[str], left: str, right: str) -> Column:
     cond = F.lit(False)
     for a in attrs:
@@ -203,6 +235,42 @@ def scd2_merge(dim: DataFrame | None, snapshot: DataFrame, key: str, attrs: Sequ
     return kept.unionByName(added.select(*cols)), counts
 
 
+def scd2_apply(table: BucketTable, snapshot: DataFrame, attrs: Sequence[str], as_of: str, batch_id: int,
+               sk: str = "product_key", change: str = "diff") -> dict[str, int]:
+    """L5 on a stored dimension: current versions in buckets, expired ones append-only.
+
+    The rule is :func:`scd2_merge`'s.  Buckets without a new or changed key keep
+    their files, and no batch reads or writes the versions that expired before it.
+    Returns the counts ``records_in``, ``type_2``, ``dim_new``, ``unchanged``.
+    """
+    if change not in ("diff", "always"):
+        raise ValueError("change must be 'diff' or 'always'")
+    key, state, as_of_ts = table.key, table.state(), F.lit(as_of).cast("timestamp_ntz")
+    snap = snapshot.select(key, *attrs)
+    old = table.rows(table.touched(snap)).select(key, F.col(sk).alias("_sk"), F.col("effective_date").alias("_from"),
+                                                 *[F.col(a).alias(f"_o_{a}") for a in attrs])
+    differs = F.lit(True) if change == "always" else _changed(attrs, "", "_o_")
+    j = materialize(snap.join(old, key, "left").withColumn(
+        "_change", F.when(F.col("_sk").isNull(), F.lit("new")).when(differs, F.lit("type_2")).otherwise(F.lit("same")))
+        .withColumn("_bucket", table.bucket()))
+    done = {(r["_bucket"], r["_change"]): r["count"] for r in j.groupBy("_bucket", "_change").count().collect()}
+    total = {c: sum(n for (_, x), n in done.items() if x == c) for c in ("new", "type_2", "same")}
+    counts = {"records_in": sum(total.values()), "type_2": total["type_2"], "dim_new": total["new"], "unchanged": total["same"]}
+    touched = sorted({b for b, c in done if c != "same"})
+    if not touched:
+        return counts
+    moved = j.filter(F.col("_change") != "same")
+    version = [as_of_ts.alias("effective_date"), F.lit(None).cast("timestamp_ntz").alias("expiration_date"), F.lit(True).alias("is_current")]
+    added = assign_surrogate_keys(moved.select(key, *attrs), [key], sk, start_after=state.top).select(sk, key, *attrs, *version)
+    kept = table.rows(touched).join(moved.select(F.col(key).alias("_moved")), F.col(key) == F.col("_moved"), "left_anti")
+    expired = moved.filter(F.col("_change") == "type_2").select(
+        F.col("_sk").alias(sk), key, *[F.col(f"_o_{a}").alias(a) for a in attrs], F.col("_from").alias("effective_date"),
+        as_of_ts.alias("expiration_date"), F.lit(False).alias("is_current"))
+    table.commit(batch_id, kept.select(*added.columns).unionByName(added), touched, expired if counts["type_2"] else None,
+                 top=state.top + counts["dim_new"] + counts["type_2"])
+    return counts
+
+
 def scd2_history(log: DataFrame, key: str, attrs: Sequence[str], as_of_col: str = "as_of",
                  sk: str = "product_key") -> DataFrame:
     """The whole type-2 history from a log of snapshots in one pass.
@@ -236,6 +304,34 @@ def descriptor_hash(text: str | Column, title: str | Column) -> Column:
     return F.md5(F.concat(F.md5(t), F.md5(ti)))
 
 
+def descriptor_digest(text: str | Column, title: str | Column) -> Column:
+    """Identity of a (text, title) pair beside its md5: SHA-256 of both, the title after the text's length."""
+    t = F.col(text) if isinstance(text, str) else text
+    ti = F.col(title) if isinstance(title, str) else title
+    return F.unhex(F.sha2(F.concat(F.length(t).cast("string"), F.lit(":"), t, ti).cast("binary"), 256))
+
+
+def new_descriptors(reviews: DataFrame, stored: DataFrame | None, start_after: int, text: str = "review_text",
+                    title: str = "review_title") -> tuple[DataFrame, DataFrame]:
+    """L7 on narrow rows: (new keys by hash and digest, the new descriptors with their texts).
+
+    Which pairs are new, and their keys, are decided on ``descriptor_hash, digest``
+    (48 bytes a pair; ``stored`` has those of earlier batches).  Texts are then
+    shuffled once, by the same two columns, one text a pair after the map side.
+    """
+    ident = ["descriptor_hash", "digest"]
+    pairs = reviews.select(descriptor_hash(text, title).alias("descriptor_hash"), descriptor_digest(text, title).alias("digest"),
+                           F.col(text).alias("review_text"), F.col(title).alias("review_title"))
+    fresh = pairs.select(*ident).distinct()
+    if stored is not None:
+        fresh = fresh.join(stored.select(*ident), ident, "left_anti")
+    keys = assign_surrogate_keys(fresh, ident, "review_descriptors_key", start_after=start_after)
+    keys = materialize(keys.select("review_descriptors_key", *ident))
+    texts = pairs.groupBy(*ident).agg(F.first(F.struct("review_text", "review_title")).alias("_t"))
+    rows = texts.join(keys, ident).select("review_descriptors_key", "_t.review_text", "_t.review_title", "descriptor_hash")
+    return keys, rows
+
+
 def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "review_text",
                   title: str = "review_title") -> tuple[DataFrame, DataFrame]:
     """Distinct (text, title) combinations not yet present get a key.
@@ -263,4 +359,4 @@ def load_junk_dim(existing: DataFrame | None, reviews: DataFrame, text: str = "r
 
 __all__ = ["build_date_dim", "date_dim_covering", "unknown_date_member", "unknown_reviewer_member", "known_reviewers",
            "load_category", "latest_per_key", "scd1_upsert", "scd2_merge", "scd2_history",
-           "descriptor_hash", "load_junk_dim", "DATE_COLUMNS"]
+           "descriptor_hash", "descriptor_digest", "new_descriptors", "load_junk_dim", "scd1_apply", "scd2_apply", "DATE_COLUMNS"]

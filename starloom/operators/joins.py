@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,16 +27,41 @@ def restrict_to_keys(big: DataFrame, big_col: str, keys: DataFrame, key_col: str
     return big.join(k, F.col(big_col) == F.col("_rk"), "left_semi")
 
 
-def reciprocal_anti(edges: DataFrame, src: str, dst: str) -> DataFrame:
+FORWARD, BACKWARD, BOTH = 1, 2, 3
+
+
+def _pairs(edges: DataFrame, src: str, dst: str) -> list[Column]:
+    """``_lo, _hi, _open, _dir`` of an edge: its unordered pair, whether an end is null, its direction as a bit."""
+    a, b = F.col(src), F.col(dst)
+    return [F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi"), (a.isNull() | b.isNull()).alias("_open"),
+            F.when(a.isNull() | b.isNull(), F.lit(0)).when(a == b, F.lit(BOTH)).when(a < b, F.lit(FORWARD))
+            .otherwise(F.lit(BACKWARD)).alias("_dir")]
+
+
+def met_pairs(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """``_lo, _hi, _dir``: the directions in which each pair occurs, for later batches (see :func:`reciprocal_anti`)."""
+    return edges.select(*_pairs(edges, src, dst)).filter(~F.col("_open")).groupBy("_lo", "_hi").agg(F.bit_or("_dir").alias("_dir"))
+
+
+def reciprocal_anti(edges: DataFrame, src: str, dst: str, met: DataFrame | None = None) -> DataFrame:
     """Distinct edges whose reverse edge (any relation) does not exist.
 
     Both directions of a reciprocal pair disappear, and so do self-loops
-    (an edge ``a→a`` is its own reverse).  The reverse side is reduced to
-    distinct (dst, src) pairs before the anti join.
+    (an edge ``a→a`` is its own reverse); an edge with a null end has no reverse.
+
+    One aggregation on the unordered pair: the directions met are or-ed, the
+    distinct edges of the pair (its relations, in either direction) gathered, both
+    map-side first; pairs met in one direction keep theirs.  ``met`` adds the
+    directions that earlier batches have met (:func:`met_pairs`).
     """
-    rev = edges.select(F.col(dst).alias("_r_src"), F.col(src).alias("_r_dst")).dropDuplicates()
-    cond = (F.col(src) == F.col("_r_src")) & (F.col(dst) == F.col("_r_dst"))
-    return edges.dropDuplicates().join(rev, cond, "left_anti")
+    columns = edges.columns
+    rows = edges.select(*_pairs(edges, src, dst), F.struct(*columns).alias("_edge"))
+    if met is not None:
+        none = F.lit(None).cast(rows.schema["_edge"].dataType)
+        rows = rows.unionByName(met.select("_lo", "_hi", F.lit(False).alias("_open"), "_dir", none.alias("_edge")))
+    pairs = rows.groupBy("_lo", "_hi", "_open").agg(F.bit_or("_dir").alias("_dir"), F.collect_set("_edge").alias("_edges"))
+    return pairs.filter(F.col("_dir") != BOTH).select(F.explode("_edges").alias("_edge")) \
+        .select(*[F.col(f"_edge.{c}").alias(c) for c in columns])
 
 
 def canonical_edges(edges: DataFrame, src: str, dst: str, rel: str) -> DataFrame:

@@ -34,7 +34,9 @@ def dedupe_on_key(df: DataFrame, keys: Sequence[str],
     rows, texts included, pass a join with the repeated keys (broadcast by
     Spark where those are few) and are neither sorted nor grouped.  Rows of
     repeated keys are ranked by a ``min`` aggregate, so a key that holds a
-    third of the rows is combined map-side before the shuffle.
+    third of the rows is combined map-side before the shuffle; its other rows
+    are told from the winner by an aggregate over whole rows, which deals them
+    over all tasks.
     """
     payload = [c for c in df.columns if c not in keys]
     order = list(prefer or [])
@@ -55,11 +57,13 @@ def dedupe_on_key(df: DataFrame, keys: Sequence[str],
     winners = ranked.groupBy(*keys).agg(F.min("_rank").alias("_best"))
     kept = once.select(*df.columns).unionByName(
         winners.select(*_cols(keys), *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns))
-    best = winners.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_best")
-    dropped = (ranked.join(best, same(names), "inner")
-               .filter(~F.col("_rank").eqNullSafe(F.col("_best")))
-               .select(*df.columns)
-               .dropDuplicates()
+    # The other distinct rows of repeated keys: rows and winners are grouped as whole
+    # rows, so the rows of a hot key spread by all their columns and nothing is joined.
+    won = winners.select(*_cols(keys), *[F.col(f"_best.{c}").alias(c) for c in payload], F.lit(1).alias("_won"))
+    dropped = (ranked.select(*df.columns, F.lit(0).alias("_won"))
+               .unionByName(won.select(*df.columns, "_won"))
+               .groupBy(*df.columns).agg(F.max("_won").alias("_won"))
+               .filter(F.col("_won") == 0).drop("_won")
                .withColumn(reason_col, F.lit(DUPLICATE_KEY)))
     return kept, dropped
 

@@ -25,7 +25,8 @@ from ..functions.text import (PRODUCT_DEFAULTS, REVIEW_DEFAULTS, clean_text, def
 from ..functions.dates import date_key
 from . import validate as V
 from .joins import canonical_edges, reciprocal_anti
-from .keys import dedupe_on_key, latest_first, not_null_key
+from .key_index import dedupe_across
+from .keys import latest_first, not_null_key
 from .late import S2_PRODUCT_COLUMNS, add_late_arriving
 
 REVIEW_SOURCE_COLUMNS = ["reviewerID", "asin", "reviewerName", "helpful", "reviewText", "overall",
@@ -304,24 +305,34 @@ def stage2_products(s1_product: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _keyed(s1_product.select(*S2_PRODUCT_COLUMNS), ["p_product_source_key"])
 
 
-def _keyed(df: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """A primary key enforced: not null (K2), then unique (K1)."""
+def _keyed(df: DataFrame, keys: list[str], prefer: list[Column] | None = None,
+           seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """A primary key enforced: not null (K2), then unique (K1), also against the keys of earlier batches."""
     whole, missing = not_null_key(df, keys)
-    kept, dropped = dedupe_on_key(whole, keys, prefer)
+    kept, dropped = dedupe_across(whole, keys, seen, prefer)
     return kept, dropped.unionByName(missing)
 
 
-def stage2_reviews(s1_review: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct reviews, one per (reviewer, product) (PK), newest review first."""
-    return _keyed(s1_review.select(*S1_REVIEW_COLUMNS), ["r_reviewer_source_key", "r_product_key"],
-                  prefer=[latest_first("r_review_datetime")])
+REVIEW_KEY = ["r_reviewer_source_key", "r_product_key"]
 
 
-def stage2_related(s1_related: DataFrame, mode: str = "literal") -> DataFrame:
-    """J1 (literal: reciprocal edges dropped both ways) or D9 canonical pairs."""
+def stage2_reviews(s1_review: DataFrame, seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Distinct reviews, one per (reviewer, product) (PK), newest review first.
+
+    ``seen`` holds the keys of earlier batches with the digest of their row: a key
+    stays with the row that took it first.
+    """
+    return _keyed(s1_review.select(*S1_REVIEW_COLUMNS), REVIEW_KEY, prefer=[latest_first("r_review_datetime")], seen=seen)
+
+
+def stage2_related(s1_related: DataFrame, mode: str = "literal", met: DataFrame | None = None) -> DataFrame:
+    """J1 (literal: reciprocal edges dropped both ways) or D9 canonical pairs.
+
+    ``met`` holds the pairs and directions that earlier batches have met.
+    """
     edges = s1_related.select(*S1_RELATED_COLUMNS)
     if mode == "literal":
-        return reciprocal_anti(edges, "rl_product_source_key", "rl_related_product_source_key")
+        return reciprocal_anti(edges, "rl_product_source_key", "rl_related_product_source_key", met)
     if mode == "canonical":
         return canonical_edges(edges, "rl_product_source_key", "rl_related_product_source_key", "rl_relation")
     raise ValueError("mode must be 'literal' or 'canonical'")
@@ -329,15 +340,19 @@ def stage2_related(s1_related: DataFrame, mode: str = "literal") -> DataFrame:
 
 def dedup_stage(s1_product: DataFrame, s1_review: DataFrame, s1_category: DataFrame,
                 s1_related: DataFrame, related_mode: str = "literal",
-                known_products: DataFrame | None = None) -> Stage2:
+                known_products: DataFrame | None = None, seen_reviews: DataFrame | None = None,
+                met_edges: DataFrame | None = None) -> Stage2:
     """Stage 2 with keys enforced and late-arriving products added.
 
-    ``known_products`` are the source keys loaded by earlier batches.
+    Of earlier batches, ``known_products`` are the source keys loaded,
+    ``seen_reviews`` the review keys taken (with row digests) and ``met_edges`` the
+    related pairs met, by direction.  Products and categories are snapshots: the
+    same key in a later batch is its next state, not a duplicate.
     """
     products, dup_p = stage2_products(s1_product)
-    reviews, dup_r = stage2_reviews(s1_review)
+    reviews, dup_r = stage2_reviews(s1_review, seen_reviews)
     categories = s1_category.select(*S1_CATEGORY_COLUMNS).distinct()
-    related = stage2_related(s1_related, related_mode)
+    related = stage2_related(s1_related, related_mode, met_edges)
     products_all, placeholders = add_late_arriving(products, [
         (reviews, "r_product_key"), (categories, "pc_product_source_key"),
         (related, "rl_product_source_key"), (related, "rl_related_product_source_key")], known_products)

@@ -34,6 +34,9 @@ PRODUCT_ATTRS = {
 }
 PRODUCT_DIM_COLUMNS = ["product_key", PRODUCT_KEY, *PRODUCT_ATTRS.values(), "effective_date",
                        "expiration_date", "is_current"]
+PRODUCT_DIM_DDL = ("product_key long, product_source_key string, product_metadata_id string, sales_rank_category string, "
+                   "sales_rank int, product_image_url string, product_title string, product_description string, price double, "
+                   "brand string, effective_date timestamp_ntz, expiration_date timestamp_ntz, is_current boolean")
 
 
 def product_snapshot(s2_products: DataFrame) -> DataFrame:

@@ -139,20 +139,39 @@ def write_version(df: DataFrame, table_root: str, version: int) -> str:
     return path
 
 
-def write_batch_part(df: DataFrame, table_root: str, batch_id: int) -> str:
+def write_batch_part(df: DataFrame, table_root: str, batch_id: int, partition_by: list[str] | None = None) -> str:
     """Insert-only tables: this batch's new rows in ``table_root/batch=<id>``.
 
     Nothing already stored is rewritten; re-running the same batch replaces
-    only its own folder.
+    only its own folder.  The folder counts once its commit marker is there.
     """
     path = f"{table_root}/batch={batch_id}"
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return path
 
 
+def folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Paths directly below ``root`` whose name starts with ``prefix``, sorted (none if ``root`` is not there)."""
+    p, fs = _path(spark, root)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix))
+
+
+def committed_parts(spark: SparkSession, table_root: str) -> list[str]:
+    """The batch folders of a table that have their commit marker."""
+    return [part for part in folders(spark, table_root, "batch=") if exists(spark, f"{part}/_SUCCESS")]
+
+
 def read_table(spark: SparkSession, table_root: str, columns: list[str] | None = None) -> DataFrame | None:
-    """All batch folders of an insert-only table (None before the first write)."""
-    if not exists(spark, table_root):
+    """The committed batch folders of an insert-only table (None before the first commit).
+
+    A folder without the committer's marker belongs to a write that is still going
+    on or stopped half-way: its rows are in no result.
+    """
+    parts = committed_parts(spark, table_root)
+    if not parts:
         return None
-    df = spark.read.parquet(table_root)
+    df = spark.read.option("basePath", table_root).parquet(*parts)
     return df.select(*columns) if columns else df

@@ -140,13 +140,74 @@ def test_half_written_version_is_not_current(spark, tmp_path):
     assert Sk.read_version(spark, f"{tmp_path}/none") == (None, 0)
 
 
-def test_csv_with_another_column_order_is_refused(spark, tmp_path):
-    for k, (head, row) in enumerate([("x,y", "1,2"), ("y,x", "3,4")]):
-        with open(f"{tmp_path}/{k}.csv", "w") as f:
-            f.write(f"{head}\n{row}\n")
-    assert csv_scan(spark, f"{tmp_path}/0.csv").select("x", "y").first() == ("1", "2")
-    with pytest.raises(Exception, match="(?i)header"):
-        csv_scan(spark, str(tmp_path), columns=["x", "y"]).collect()
+def put(folder, **files):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in files.items():
+        with open(f"{folder}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    """Files of one folder with other column orders, unnamed, missing, further and repeated columns."""
+    put(tmp_path, a=",x,y\n0,1,2\n", b=",y,x\n5,4,3\n", c="y,x,\r\n8,7,6\r\n", d='"x"\n9\n', e='x,"more, ""1""\nline",x\nlost,m,10\n', f="",
+        g="x,y\n11,12,13\n")
+    got = csv_scan(spark, str(tmp_path))
+    assert got.columns == ["_c0", "x", "y", 'more, "1"\nline', "_corrupt_record"]
+    rows = sorted((tuple(r)[:4] for r in got.collect() if r["_corrupt_record"] is None), key=lambda r: int(r[1]))
+    assert rows == [("0", "1", "2", None), ("5", "3", "4", None), ("6", "7", "8", None), (None, "9", None, None), (None, "10", None, "m")]
+    assert [r["_corrupt_record"] for r in got.collect() if r["_corrupt_record"]] == ["11,12,13"]  # wider than its own header
+    picked = csv_scan(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"], columns=["y", "x"])
+    assert sorted(tuple(r) for r in picked.collect()) == [("2", "1", None), ("4", "3", None)]
+    with pytest.raises(ValueError, match="column named z"):
+        csv_scan(spark, str(tmp_path), columns=["x", "z"])
+    assert csv_scan(spark, f"{tmp_path}/f.csv").count() == 0
+
+
+def test_csv_headers_of_any_length_and_compressed(spark, tmp_path):
+    import gzip
+    names = [f"column_{i}" for i in range(5000)]  # a header line longer than one read
+    put(tmp_path, long=",".join(names) + "\n" + ",".join(map(str, range(5000))) + "\n")
+    assert csv_scan(spark, f"{tmp_path}/long.csv").select("column_0", "column_4999").first() == ("0", "4999")
+    with gzip.open(f"{tmp_path}/z.csv.gz", "wt") as f:
+        f.write("b,a\n1,2\n")
+    assert csv_scan(spark, f"{tmp_path}/z.csv.gz").select("a", "b").first() == ("2", "1")
+    put(f"{tmp_path}/odd [1]{{x}}", **{"n*": "b,a\n1,2\n"})
+    assert csv_scan(spark, f"{tmp_path}/odd*").select("a", "b").first() == ("2", "1")
+
+
+def test_uncommitted_batches_are_not_read(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    assert Sk.read_table(spark, root) is None
+    spark.range(7).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/batch=1")
+    assert Sk.read_table(spark, root) is None
+    Sk.write_batch_part(spark.range(3), root, 2)
+    got = Sk.read_table(spark, root)
+    assert got.count() == 3 and {r.batch for r in got.collect()} == {2}
+
+
+def test_bucket_table_rewrites_what_changes(spark, tmp_path):
+    """A commit touches its buckets' files only; one that stops half-way leaves no trace."""
+    from starloom.operators import dims as Dm
+    from starloom.sources.buckets import BucketTable
+    t = BucketTable(spark, f"{tmp_path}/p", "k", "sk long, k string, a string, effective_date timestamp_ntz, "
+                    "expiration_date timestamp_ntz, is_current boolean", buckets=8)
+    snap = spark.range(200).selectExpr("cast(id as string) as k", "'x' as a")
+    assert Dm.scd2_apply(t, snap, ["a"], "2024-01-01 00:00:00", 1, sk="sk") == {"records_in": 200, "type_2": 0, "dim_new": 200, "unchanged": 0}
+    files = sorted(t.rows().inputFiles())
+    assert Dm.scd2_apply(t, snap, ["a"], "2024-02-01 00:00:00", 2, sk="sk")["unchanged"] == 200
+    assert sorted(t.rows().inputFiles()) == files and t.state().version == 1
+    one = snap.filter("k = '17'").withColumn("a", F.lit("y"))
+    assert Dm.scd2_apply(t, one, ["a"], "2024-03-01 00:00:00", 3, sk="sk")["type_2"] == 1
+    assert len(set(t.rows().inputFiles()) & set(files)) == len(files) - 1
+    dim = t.rows().unionByName(t.log())
+    want, _ = Dm.scd2_merge(Dm.scd2_merge(None, snap, "k", ["a"], "2024-01-01 00:00:00", sk="sk")[0], one, "k", ["a"], "2024-03-01 00:00:00", sk="sk")
+    assert sorted(map(str, dim.collect())) == sorted(map(str, want.select(*dim.columns).collect()))
+    # a commit that wrote rows and log but no state
+    t.rows().withColumn("bucket", t.bucket()).write.partitionBy("bucket").parquet(f"{t.root}/part/batch=9")
+    t.rows().write.parquet(f"{t.root}/log/batch=9")
+    assert t.rows().count() == 200 and t.log().count() == 1
+    again = BucketTable(spark, f"{tmp_path}/p", "k", "sk long, k string", buckets=3)
+    assert again.buckets == 8  # the number of buckets is the table's
 
 
 def test_csv_to_json_files(spark, tmp_path):
