@@ -17,11 +17,12 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources import sinks as Sk
 from .keys import dedupe_on_key
 from .validate import DUPLICATE_KEY, REASON
 
-BUCKETS = 32
+BUCKETS = 16
 DIGEST = "row_digest"
 
 
@@ -70,19 +71,22 @@ def dedupe_across(df: DataFrame, keys: Sequence[str], seen: DataFrame | None,
 
     ``seen`` has the keys of earlier batches (each once) and the digest of the row
     that took them.  That row met again is neither kept nor rejected; any other row
-    of its key is rejected, whatever its preference: the key is taken.
+    of its key is rejected, whatever its preference: the key is taken.  Keys not
+    taken go through :func:`~starloom.operators.keys.dedupe_on_key`.
+
+    The rows are joined with the taken keys once; what is left of them (in a batch
+    that repeats earlier rows, little) is kept for the steps that follow.
     """
-    kept, dropped = dedupe_on_key(df, keys, prefer)
     if seen is None:
-        return kept, dropped
-    # one row a key on either side; rejects match on the digest too, which spreads a hot key
+        return dedupe_on_key(df, keys, prefer)
     taken = seen.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], F.col(DIGEST).alias("_sd"))
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"_s{i}"))
-    digest = row_digest(df.columns)
-    met = kept.withColumn("_d", digest).join(taken, same, "left")
-    new = met.filter(F.col("_sd").isNull()).select(*df.columns)
-    conflicts = met.filter(F.col("_sd") != F.col("_d")).select(*df.columns).withColumn(REASON, F.lit(DUPLICATE_KEY))
-    again = dropped.withColumn("_d", digest).join(taken, same & (F.col("_d") == F.col("_sd")), "left_anti").drop("_d")
-    return new, again.unionByName(conflicts)
+    met = df.withColumn("_d", row_digest(df.columns)).join(taken, same, "left")
+    left = materialize(met.filter(F.col("_sd").isNull() | (F.col("_sd") != F.col("_d")))
+                       .select(*df.columns, F.col("_sd").isNull().alias("_free")))
+    kept, dropped = dedupe_on_key(left.filter("_free").drop("_free"), keys, prefer)
+    # grouped as whole rows: the rows of a hot key spread by all their columns
+    conflicts = left.filter("NOT _free").drop("_free").dropDuplicates().withColumn(REASON, F.lit(DUPLICATE_KEY))
+    return kept, dropped.unionByName(conflicts)

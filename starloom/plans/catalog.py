@@ -769,6 +769,19 @@ def s1(spark, sf):
     return good
 
 
+@register("s1_csv_scan_by_name", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source AS _c0 FROM documents")
+def s1_by_name(spark, sf):
+    """Documents in files of two header orders, one column unnamed, read by name."""
+    from ..sources import csv as C
+    path, docs = _scratch(spark, "docs_orders"), table(spark, sf, "documents")
+    one, two = ["source", "text", "doc_id", "lang"], ["lang", "doc_id", "source", "text"]
+    for part, (columns, which) in enumerate(((one, F.length("text") % 2 == 0), (two, F.length("text") % 2 == 1))):
+        names = ["" if c == "source" else c for c in columns]
+        C.write_csv(docs.filter(which).select(*columns).toDF(*names), f"{path}/part{part}")
+    good, _ = C.split_malformed(C.csv_scan(spark, f"{path}/*"), "documents")
+    return good
+
+
 @register("s2_malformed_row_split", """SELECT 'orders' AS entity, 'malformed record' AS reason,
   CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) AS row
 FROM orders WHERE o_orderstatus = 'P'""")
@@ -1278,6 +1291,95 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(out).select(*St.S1_REVIEW_COLUMNS, V.REASON)
 
 
+@register("streaming_ingest_by_name", O.query(""" SELECT * EXCLUDE (_c0, r_helpfulness_rating),
+  CASE WHEN reject_reason IS NULL THEN r_helpfulness_rating END AS r_helpfulness_rating FROM rc"""))
+def stream_by_name(spark, sf):
+    """Review files of two header orders with an unnamed index column, a few files a micro-batch."""
+    from ..sources.csv import write_csv
+    from ..streaming.ingest import start_review_ingest
+    folder, out, ck = _scratch(spark, "drop2"), _scratch(spark, "stream2_out"), _scratch(spark, "stream2_ck")
+    raw = S.raw_reviews(spark, sf)
+    even = F.col("_c0").cast("long") % 2 == 0
+    for part, (columns, which) in enumerate(((raw.columns, even), (raw.columns[::-1], ~even))):
+        write_csv(raw.filter(which).select(*columns).toDF(*["" if c == "_c0" else c for c in columns]), f"{folder}/part{part}")
+    start_review_ingest(spark, f"{folder}/*", raw.columns, out, ck, max_files_per_trigger=3).awaitTermination()
+    return spark.read.parquet(out).select(*St.S1_REVIEW_COLUMNS, V.REASON)
+
+
+# Stage 2 over three batches that repeat keys, change rows and reverse edges ------------------------
+
+def cumulative_stage2(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(reviews, rejected reviews, related edges) that three batches leave, keys and edges held in stored indexes.
+
+    Reviews: order lines 1-3; lines 2-5, those of line 2 with another score; all
+    lines.  Edges: of the early products, of all products, and all reversed.
+    """
+    from functools import reduce
+    from ..operators import key_index as Ki
+    from ..operators.joins import met_pairs
+
+    def build():
+        wh = warehouse(spark, sf)
+        raw = S.raw_reviews(spark, sf)
+        line = F.col("_c0").cast("long") % 10
+        changed = raw.withColumn("overall", F.when((line == 2) & (F.col("overall") != "n/a"), F.lit("1.0")).otherwise(F.col("overall")))
+        reviews = [St.review_outputs(St.classify_reviews(r))[0] for r in
+                   (raw.filter(line <= 3), changed.filter(line.between(2, 5)), raw)]
+        all_edges = W.build_stage1(raw.limit(0), S.raw_products(spark, sf, late=True)).related
+        back = all_edges.select(F.col("rl_related_product_source_key").alias("rl_product_source_key"),
+                                F.col("rl_product_source_key").alias("rl_related_product_source_key"), "rl_relation")
+        root, parts = _scratch(spark, "met"), []
+        for batch, (r, e) in enumerate(zip(reviews, (wh.stage1.related, all_edges, back)), start=1):
+            taken = Ki.KeyIndex(spark, f"{root}/review", St.REVIEW_KEY, 8)
+            edges = Ki.KeyIndex(spark, f"{root}/related", ["_lo", "_hi"], 8)
+            pairs = met_pairs(e, "rl_product_source_key", "rl_related_product_source_key")
+            before = list(range(1, batch))
+            new, rejected = St.stage2_reviews(r, taken.read(before, taken.touched(r)))
+            related = St.stage2_related(e, met=edges.read(before, edges.touched(pairs)))
+            parts.append([materialize(d.withColumn("batch", F.lit(batch))) for d in (new, rejected, related)])
+            taken.write(parts[-1][0].select(*St.REVIEW_KEY, Ki.row_digest(St.S1_REVIEW_COLUMNS).alias(Ki.DIGEST)), batch)
+            edges.write(pairs, batch)
+        return tuple(reduce(DataFrame.unionByName, kind) for kind in zip(*parts))
+    return _memo(("cumulative", spark.sparkContext.applicationId, sf), build)
+
+
+_PK = "r_reviewer_source_key, r_product_key"
+CUMULATIVE = f""",
+b AS (SELECT 1 AS batch, * EXCLUDE (_c0, reject_reason) FROM rc WHERE reject_reason IS NULL AND CAST(_c0 AS BIGINT) % 10 <= 3
+  UNION SELECT 2, * EXCLUDE (_c0, reject_reason) REPLACE (CASE WHEN CAST(_c0 AS BIGINT) % 10 = 2 THEN 1.0 ELSE r_review_score END AS r_review_score)
+    FROM rc WHERE reject_reason IS NULL AND CAST(_c0 AS BIGINT) % 10 BETWEEN 2 AND 5
+  UNION SELECT 3, * EXCLUDE (_c0, reject_reason) FROM rc WHERE reject_reason IS NULL),
+first AS (SELECT {_PK}, min(batch) AS batch FROM b GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY {_PK} ORDER BY r_review_datetime DESC NULLS LAST, {O.nulls_first(O.REVIEW_PAYLOAD)}) AS _rn
+  FROM b JOIN first USING ({_PK}, batch)),
+held AS (SELECT * EXCLUDE (_rn) FROM ranked WHERE _rn = 1),
+refused AS (SELECT * FROM b EXCEPT SELECT * FROM held
+  EXCEPT SELECT b.* FROM b JOIN (SELECT * EXCLUDE (batch) FROM held) h ON {' AND '.join(f'b.{c} IS NOT DISTINCT FROM h.{c}' for c in St.S1_REVIEW_COLUMNS)})
+"""
+
+
+@register("l12_cumulative_reviews", O.query(CUMULATIVE + " SELECT * FROM held"))
+def l12_reviews(spark, sf):
+    """A key stays with the row of the first batch that has it; rows met again add nothing."""
+    return cumulative_stage2(spark, sf)[0]
+
+
+@register("l12_cumulative_rejects", O.query(CUMULATIVE + " SELECT *, 'duplicate key' AS reject_reason FROM refused"))
+def l12_rejects(spark, sf):
+    """Other rows of a taken key, and of a batch's own repeated keys, are rejected in each batch that has them."""
+    return cumulative_stage2(spark, sf)[1]
+
+
+@register("j1_reciprocal_over_batches", O.query(""",
+e AS (SELECT DISTINCT 1 AS batch, * FROM s1_related_product UNION SELECT DISTINCT 2, * FROM s1_related_product_late
+  UNION SELECT DISTINCT 3, rl_related_product_source_key, rl_product_source_key, rl_relation FROM s1_related_product_late)
+SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM e AS o WHERE o.batch <= e.batch
+  AND o.rl_product_source_key = e.rl_related_product_source_key AND o.rl_related_product_source_key = e.rl_product_source_key)"""))
+def j1_batches(spark, sf):
+    """An edge goes if its reverse came in its own batch or an earlier one."""
+    return cumulative_stage2(spark, sf)[2]
+
+
 @register("l9_fact_event_time_versions", O.query(PRODUCT_DIM_2 + """,
 pv AS (SELECT product_key, product_source_key, expiration_date AS valid_to,
          CASE WHEN effective_date > min(effective_date) OVER (PARTITION BY product_source_key)

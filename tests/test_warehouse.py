@@ -166,11 +166,76 @@ def test_dedupe_plan_has_no_unpartitioned_window(spark):
     assert kept.count() == 7 and dropped.count() == 93
 
 
-def test_reciprocal_anti_plans_as_left_anti(spark):
-    e = spark.createDataFrame([("a", "b", "x")], "s string, d string, r string")
-    from starloom.operators.joins import reciprocal_anti
-    plan = reciprocal_anti(e, "s", "d")._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan
+def test_reciprocal_anti_is_one_shuffle(spark):
+    """One aggregation on the unordered pair; same rows as the rule read literally, nulls and self-loops included."""
+    from starloom.operators.joins import met_pairs, reciprocal_anti
+    rows = [("a", "b", "r"), ("b", "a", "q"), ("a", "c", "r"), ("a", "c", "q"), ("a", "c", "r"), ("d", "d", "r"), (None, "a", "r"),
+            ("a", None, "r"), ("c", "e", "r"), (None, None, "r")]
+    e = spark.createDataFrame(rows, "s string, d string, r string").repartition(3)
+    plan = reciprocal_anti(e, "s", "d")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    pairs = {(s, d) for s, d, _ in rows}
+    want = {t for t in rows if None in t[:2] or (t[1], t[0]) not in pairs}
+    assert sorted(map(tuple, reciprocal_anti(e, "s", "d").collect()), key=str) == sorted(want, key=str)
+    met = met_pairs(spark.createDataFrame([("e", "c", "x"), ("a", "c", "x")], "s string, d string, r string"), "s", "d")
+    got = {tuple(r) for r in reciprocal_anti(e, "s", "d", met).collect()}
+    assert got == want - {("c", "e", "r")}  # the reverse came before; the same direction again does not count
+
+
+def test_hot_key_spreads_in_both_outputs(spark):
+    """A third of the rows on one key: its rejects are dealt over the tasks, the kept rows are right."""
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                               F.col("id").alias("v"), F.lit("x" * 50).alias("t"))
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept, dropped = K.dedupe_on_key(df, ["k"])
+        tasks = dropped.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+        assert sum(r["count"] for r in tasks) == 999 and len(tasks) == 8 and max(r["count"] for r in tasks) < 250
+        assert kept.count() == n - 999 and kept.filter("k = 'hot'").first().v == 0
+        assert "Join" not in dropped._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+
+
+def test_keys_hold_over_batches(spark):
+    from starloom.operators import key_index as Ki
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, None), ("c", 1, "n"), ("c", 2, "o"), ("c", 2, "o")], "k string, v int, t string")
+    seen = spark.createDataFrame([("a", 2, "y"), ("b", 1, ""), ("z", 1, "q")], "k string, v int, t string") \
+        .select("k", Ki.row_digest(["k", "v", "t"]).alias(Ki.DIGEST))
+    kept, rejects = Ki.dedupe_across(rows, ["k"], seen)
+    assert [tuple(r) for r in kept.collect()] == [("c", 1, "n")]
+    assert sorted(tuple(r)[:2] for r in rejects.collect()) == [("a", 1), ("b", 1), ("c", 2)]  # a null is not the empty text
+
+
+def test_event_time_versions_as_an_as_of_merge(spark, monkeypatch):
+    """A product with a thousand versions and a third of the reviews, against the interval test; hot months are dealt."""
+    import datetime as dt
+    import random
+    from starloom.operators import fact as Fa
+    rnd, day = random.Random(3), dt.datetime(2020, 1, 1)
+    versions, reviews, key = [], [], 0
+    for psk, n in [("hot", 1000), ("one", 1), ("gap", 3)] + [(f"p{i}", rnd.choice([1, 2, 5])) for i in range(20)]:
+        starts = sorted(rnd.sample(range(1200), n))
+        for i, s in enumerate(starts):
+            key += 1
+            end = starts[i + 1] if i + 1 < n else (s + 1 if psk == "gap" else None)
+            versions.append((psk, key, None if i == 0 else day + dt.timedelta(days=s), None if end is None else day + dt.timedelta(days=end)))
+    for i in range(3000):
+        psk = "hot" if i % 3 == 0 else rnd.choice(["one", "gap", "none"] + [f"p{j}" for j in range(20)])
+        at = day + dt.timedelta(days=rnd.randrange(-100, 1400) if i % 6 else 40, seconds=rnd.choice([0, 0, 5]))
+        reviews.append((f"r{i}", psk, f"h{i % 7}", None if i % 50 == 1 else at, i))
+    v = spark.createDataFrame(versions, "product_source_key string, product_key long, _valid_from timestamp_ntz, _valid_to timestamp_ntz")
+    r = spark.createDataFrame(reviews, "_rsk string, _psk string, _h string, _ts timestamp_ntz, n int")
+    want = r.join(v, (F.col("_psk") == F.col("product_source_key")) & (F.col("_valid_from").isNull() | (F.col("_ts") >= F.col("_valid_from")))
+                  & (F.col("_valid_to").isNull() | (F.col("_ts") < F.col("_valid_to"))), "left").select("n", "product_key")
+    want = sorted(map(tuple, want.collect()))
+    for share in (1000, 2):
+        monkeypatch.setattr(Fa, "HOT_SHARE", share)
+        bound = Fa.bind_versions(r, v)
+        assert sorted(map(tuple, bound.select("n", "product_key").collect())) == want
+        assert bound.columns == [*r.columns, "product_key"]
 
 
 def test_q1_counts_review_once_per_category(spark):
