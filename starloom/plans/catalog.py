@@ -1323,7 +1323,7 @@ def cumulative_stage2(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
         raw = S.raw_reviews(spark, sf)
         line = F.col("_c0").cast("long") % 10
         changed = raw.withColumn("overall", F.when((line == 2) & (F.col("overall") != "n/a"), F.lit("1.0")).otherwise(F.col("overall")))
-        reviews = [St.review_outputs(St.classify_reviews(r))[0] for r in
+        reviews = [materialize(St.review_outputs(St.classify_reviews(r))[0]) for r in
                    (raw.filter(line <= 3), changed.filter(line.between(2, 5)), raw)]
         all_edges = W.build_stage1(raw.limit(0), S.raw_products(spark, sf, late=True)).related
         back = all_edges.select(F.col("rl_related_product_source_key").alias("rl_product_source_key"),
