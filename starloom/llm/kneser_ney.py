@@ -182,6 +182,7 @@ class Model:
     discounts: tuple[float, float, float] = (0.75, 0.75, 0.75)
     low_discounts: tuple[float, float, float] = (0.75, 0.75, 0.75)
     pairs: int = 0                                      # distinct pairs
+    pair_sizes: list[int] = field(default_factory=list)  # distinct pairs of each bucket
     low_rest: float = 1.0                               # mass the unigram level leaves to the uniform one
 
     @property
@@ -193,17 +194,27 @@ class Model:
 
 
 class Arrays:
-    """The model's arrays, mapped when first touched."""
+    """The model's arrays, mapped when first touched.
+
+    The model knows how long each of its arrays is.  One that is not there, or not
+    whole, is an error: the shared folder is out of sight or files were lost, and
+    scores without it would be wrong.
+    """
 
     def __init__(self, model: Model):
         self.m = model
         self.open: dict[str, np.ndarray] = {}
         self.known: dict[bytes, int] = {}
 
-    def get(self, name: str) -> np.ndarray | None:
+    def get(self, name: str, length: int) -> np.ndarray:
         if name not in self.open:
             path = f"{self.m.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            if not os.path.exists(path):
+                raise FileNotFoundError(f"the model's array {path} is missing; spark.checkpoint.dir must be a folder that all machines share")
+            table = np.load(path, mmap_mode="r")
+            if len(table) != length:
+                raise ValueError(f"the model's array {path} has {len(table)} entries, not {length}")
+            self.open[name] = table
         return self.open[name]
 
     def ids(self, words: list[bytes]) -> np.ndarray:
@@ -217,9 +228,10 @@ class Arrays:
             found = np.full(len(new), -1, dtype=np.int64)
             cuts = bucket_cuts(h[order], self.m.buckets)
             for b in np.flatnonzero(np.diff(cuts)):
-                table = self.get(f"words-{b}")
-                if table is None:
+                length = self.m.offsets[b + 1] - self.m.offsets[b]
+                if not length:
                     continue
+                table = self.get(f"words-{b}", length)
                 mine = order[cuts[b]:cuts[b + 1]]
                 at = np.minimum(np.searchsorted(table, h[mine]), len(table) - 1)
                 found[mine] = np.where(table[at] == h[mine], at + self.m.offsets[b], -1)
@@ -231,9 +243,8 @@ class Arrays:
         out = np.zeros(len(ids), dtype=np.int64)
         cuts = np.searchsorted(ids, edges)
         for r in np.flatnonzero(np.diff(cuts)):
-            table = self.get(f"{name}-{r}")
-            if table is not None:
-                out[cuts[r]:cuts[r + 1]] = table[ids[cuts[r]:cuts[r + 1]] - edges[r]]
+            table = self.get(f"{name}-{r}", int(edges[r + 1] - edges[r]))
+            out[cuts[r]:cuts[r + 1]] = table[ids[cuts[r]:cuts[r + 1]] - edges[r]]
         return out
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
@@ -243,12 +254,13 @@ class Arrays:
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(self.m.buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)):
-            table = self.get(f"pairs-{b}")
-            if table is None:
+            length = self.m.pair_sizes[b]
+            if not length:
                 continue
+            table = self.get(f"pairs-{b}", length)
             mine = order[cuts[b]:cuts[b + 1]]
             at = np.minimum(np.searchsorted(table, keys[mine]), len(table) - 1)
-            out[mine] = np.where(table[at] == keys[mine], self.get(f"pair-counts-{b}")[at], 0)
+            out[mine] = np.where(table[at] == keys[mine], self.get(f"pair-counts-{b}", length)[at], 0)
         return out
 
 
@@ -386,8 +398,12 @@ def _count_pairs(train: DataFrame, model: Model) -> None:
     stored = written(train.mapInArrow(count, _BLOB).groupBy("bucket").applyInArrow(
         store, "kind int, part int, ids binary, sums binary"), "kn-sums")
     n = np.zeros(5, dtype=np.int64)
-    for r in stored.where("kind = 2").select("sums").collect():  # a row per bucket
-        n += unpack(bytes(r.sums), np.int64)
+    sizes = [0] * buckets
+    for r in stored.where("kind = 2").select("part", "sums").collect():  # a row per bucket
+        sums = unpack(bytes(r.sums), np.int64)
+        n += sums
+        sizes[r.part] = int(sums[4])
+    model.pair_sizes = sizes
     model.discounts, model.pairs = discounts(n[:4].tolist()), int(n[4])
     t = stored.where("kind < 2").groupBy("part").applyInArrow(dense, ", ".join(f"n{k} long" for k in range(5))) \
         .agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(5)]).first()

@@ -13,6 +13,7 @@ are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +25,10 @@ from starloom.llm.common import prepare, text_column, written
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to the vocabulary file.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the characters that \s of the pattern stands for.
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 BLOCK = 1024
+LONG_SPACE = 10_000
 _ENCODERS: dict = {}
 
 
@@ -37,14 +41,30 @@ def _encoder(path: str):
     return _ENCODERS[path]
 
 
+def count_tokens(encoder, text: str) -> int:
+    """The encoded length of ``text``.
+
+    The pattern's search for the end of a white-space run goes back character by
+    character, which overflows the tokenizer's stack on very long runs.  Those are
+    cut out: the pattern makes one piece of such a run (without its last character
+    if a word follows, which that character joins), so the parts' counts add up.
+    """
+    total = at = 0
+    for run in re.finditer(f"[{SPACE}]{{{LONG_SPACE},}}", text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoder.encode_ordinary(text[at:run.start()])) + len(encoder._encode_single_piece(text[run.start():stop]))
+        at = stop
+    return total + len(encoder.encode_ordinary(text[at:]))
+
+
 def token_lengths(docs: DataFrame, text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """The encoded length of every text, in a column ``n_tokens``."""
     prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary).encode_ordinary
+        encoder = _encoder(vocabulary)
         for b in batches:
-            lengths = [len(encode(t.as_py())) for t in b.column(0)]
+            lengths = [count_tokens(encoder, t.as_py()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(lengths, type=pa.int64())], names=["n_tokens"])
 
     return docs.select(text_column(text_col).alias("_t")).mapInArrow(count, "n_tokens long")

@@ -84,6 +84,17 @@ def test_large_components_stay_exact():
     assert cover_tree.inner(a, a)[0, 0] == 2 ** 80 + 9
 
 
+def test_components_beyond_long_and_double_raise(spark):
+    """A finite component takes part; a score or multiple that no type holds is an error that names it, not a dropped row."""
+    small = [(i, [float(i), 1.0], 0, 0, 0) for i in range(30)]
+    fits = spark.createDataFrame([*small, (40, [2.0 ** 25, 0.0], 0, 0, 0), (41, [2.0 ** 25, 0.0], 0, 0, 0)], VECTORS.replace("float", "double"))
+    assert max(r.score for r in cover_tree.top_k(fits, fits).collect()) == 2 ** 62
+    for value, said in ((1e30, "beyond a long"), (1e307, "beyond a double")):
+        df = spark.createDataFrame([*small, (40, [value, 0.0], 0, 0, 0), (41, [value, 0.0], 0, 0, 0)], VECTORS.replace("float", "double"))
+        with pytest.raises(Exception, match=said):
+            cover_tree.top_k(df, df).collect()
+
+
 def test_top_k_few_rows_and_empty(spark):
     two = spark.createDataFrame([(0, [1.0], 0, 0, 0), (20, [2.0], 0, 0, 0)], VECTORS)
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in cover_tree.top_k(two, two).collect()) == \

@@ -172,6 +172,29 @@ def test_model_folder_must_be_mounted():
         kneser_ney.model_folder("hdfs://host/x")
 
 
+@pytest.mark.parametrize("lost", ["words-0", "word-counts-1", "pairs-2", "pair-counts-0", "context-0", "continuation-0", ""])
+def test_a_model_that_is_not_whole_raises(spark, lost):
+    """A lost or cut array, or a folder that is out of sight (the last case), never scores as if it were empty."""
+    import dataclasses
+    import os
+    from pyspark.sql import functions as F
+    rows = frame(spark, texts(1)).select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).cast("binary").alias("_t"))
+    model = kneser_ney.train(rows.select("_t"), 10_000)
+    assert kneser_ney.score(rows, model).count() == rows.count()
+    if not lost:
+        model = dataclasses.replace(model, folder=model.folder + "-elsewhere")
+    else:
+        path = f"{model.folder}/{lost}.npy"
+        whole = np.load(path)
+        os.remove(path)
+    with pytest.raises(Exception, match="is missing"):
+        kneser_ney.score(rows, model).collect()
+    if lost:
+        np.save(path, whole[:-1])
+        with pytest.raises(Exception, match="entries, not"):
+            kneser_ney.score(rows, model).collect()
+
+
 # --- toxicity
 
 def test_grammar_composes_the_parts():
@@ -331,6 +354,19 @@ def test_token_histogram_answers_every_limit(spark):
     assert empty.count() == 0 and token_counts.truncated_total(empty, 5) == 0
 
 
+def test_long_white_space_counts_like_any_other(spark, monkeypatch):
+    enc = token_counts._encoder(token_counts.DEFAULT_VOCABULARY)
+    rnd = random.Random(4)
+    monkeypatch.setattr(token_counts, "LONG_SPACE", 3)
+    for _ in range(300):
+        text = "".join(rnd.choice([" ", "\n", "\t", "  ", "\u3000", "\xa0", "\x1c", "a", "Wort", "12", "!?", "é"]) for _ in range(rnd.randrange(30)))
+        assert token_counts.count_tokens(enc, text) == len(enc.encode_ordinary(text)), repr(text)
+    monkeypatch.setattr(token_counts, "LONG_SPACE", 10_000)
+    n = 2_000_000
+    got = token_counts.token_lengths(frame(spark, [(1, " " * n), (2, "a" + " " * n + "b"), (3, "\n" * n + "x y")])).collect()
+    assert sorted(r.n_tokens for r in got) == sorted([n, 1 + (n - 1) + 1, len(enc._encode_single_piece("\n" * (n - 1))) + 1 + 2])
+
+
 def test_suffix_sums_over_blocks(spark):
     hist = spark.createDataFrame([(k * 700, k + 1) for k in range(10)], "n_tokens long, n_docs long")
     n = [k * 700 for k in range(10) for _ in range(k + 1)]
