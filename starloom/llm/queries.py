@@ -64,8 +64,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     The shuffle carries whole rows; the digest of the text is taken after it.
     """
     m = mixing.replicate(_table(spark, sf_dir, "documents"))
-    return m.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").alias("source"), "copies", "copy",
-                    "order_key", F.md5(F.coalesce(F.col("doc.text"), F.lit("")).cast("binary")).alias("text_md5"))
+    return m.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").alias("source"),
+                    F.col("copies").cast("int").alias("copies"), F.col("copy").cast("int").alias("copy"), "order_key", F.md5(F.coalesce(F.col("doc.text"), F.lit("")).cast("binary")).alias("text_md5"))
 
 
 OP5_SQL = f"""

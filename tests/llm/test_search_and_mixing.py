@@ -143,9 +143,29 @@ def test_mixing_reaches_the_target(spark):
     assert abs(n["big"] / 2000 - 1) < 0.1 and abs(n["small"] / 2000 - 1) < 0.1
 
 
-def test_poisson_inverse_at_large_mean(spark):
-    r = spark.range(1).select(mixing.poisson_cdf(mixing.F.lit(900.0)).alias("c")).first().c
-    assert abs(r[-1] - 1) < 1e-9 and abs(r[900] - 0.5) < 0.02
+@pytest.mark.parametrize("rate", [1e-9, 0.3, 7.0, 150.0, 230.0, 900.5, 250_000.0, 3e9])
+def test_poisson_tables(spark, rate):
+    r = mixing.poisson_tables(spark.createDataFrame([("a", rate), (None, 1.0)], "_source string, rate double")).where("_source = 'a'").first()
+    assert all(a <= b for a, b in zip(r._cdf, r._cdf[1:])) and abs(r._cdf[-1] - 1) < 1e-9
+    for k in {0, int(rate), int(rate + 2 * rate ** 0.5) + 1} & set(range(r._low, r._low + 2000)) | {int(rate)}:
+        below = r._cdf[k - r._low - 1] if k > r._low else 0.0
+        want = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        assert math.isclose(r._cdf[k - r._low] - below, want, rel_tol=1e-6 if rate < 1e6 else 1e-4)
+    assert abs(r._cdf[int(rate) - r._low] - 0.5) < max(0.5 / (1 + rate) ** 0.5, 1e-4) + (0.5 if rate < 1 else 0.1)
+    assert r._low == 0 or r._cdf[0] < 1e-25
+
+
+def test_very_large_rates(spark, monkeypatch):
+    """One character beside two million in another source: about a million copies, listed by several tasks."""
+    df = spark.createDataFrame([(1, "x", "a"), (2, "y" * 2_000_000, "b")], "doc_id long, text string, source string")
+    out = mixing.replicate(df).groupBy("doc.doc_id").agg(mixing.F.count("*").alias("n"), mixing.F.countDistinct("copy").alias("d"),
+                                                        mixing.F.max("copy").alias("m"), mixing.F.max("copies").alias("c"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert abs(got[1].n - 1_000_000) < 12_000 and got[1].n == got[1].d == got[1].m == got[1].c
+    small = spark.createDataFrame([(i, "x" * 9, "ab"[i % 9 == 0]) for i in range(200)], "doc_id long, text string, source string")
+    whole = Counter((r.doc.doc_id, r.copies, r["copy"], r.order_key) for r in mixing.replicate(small).collect())
+    monkeypatch.setattr(mixing, "CHUNK", 2)
+    assert Counter((r.doc.doc_id, r.copies, r["copy"], r.order_key) for r in mixing.replicate(small).collect()) == whole
 
 
 def test_mixing_runs_no_python(spark):
@@ -192,7 +212,7 @@ def test_every_query_keeps_its_columns(spark):
             4: "doc_id held_out n_tokens n_known train_tokens base_score score", 6: "doc_id held_out score predicted",
             8: "doc_id fingerprint component_id", 10: "doc_id n_bytes n_removed n_spans kept_sha256"}
     names = {int(n[2:].split("_")[0]): n for n in QUERIES}
-    assert sorted(names) == list(range(1, 11))
+    assert sorted(names) == list(range(1, 14))
     for k in (1, 3, 6):
         df = QUERIES[names[k]][0](spark, os.environ.get("LLM_SF", "/root/testdata/sf0.001"))
         assert set(want[k].split()) <= set(df.columns)
