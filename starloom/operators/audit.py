@@ -100,9 +100,10 @@ def latest_state(log: DataFrame) -> DataFrame:
     An aggregate per id (partial ``max_by``), not a window.
     """
     order = F.struct("event_ts", "seq")
+    described = F.when(F.col("description").isNotNull(), order)  # the oldest event that has a description
     newest = F.max_by(F.struct(*[c for c in EVENT_SCHEMA.fieldNames() if c not in ("level", "id")]), order)
     g = log.groupBy("level", "id").agg(newest.alias("n"), F.min("event_ts").alias("start_ts"),
-                                       F.first("description", ignorenulls=True).alias("first_description"),
+                                       F.min_by("description", described).alias("first_description"),
                                        *[F.max(c).alias(f"max_{c}") for c in ("year", "month", "parent_id")])
     status = F.col("n.status")
     return g.select(

@@ -97,19 +97,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 def csv_to_json(spark: SparkSession, csv_path: str, json_path: str, key: str | None = None) -> None:
     """S10/S11 end to end: a CSV path to JSON lines.
 
-    With ``key`` one object per key, the last row of a file winning; without it
-    every row, its cells typed by the P8 rule.  Malformed rows have no JSON;
-    a blank cell is the empty text.
-    Source order is the scan's own (rows of one file in order), taken before
-    any shuffle.
+    With ``key`` one object per key, the last row winning, of several files the one
+    whose name comes last; without it every row, its cells typed by the P8 rule.
+    Malformed rows have no JSON; a blank cell is the empty text.
     """
-    rows, _ = split_malformed(csv_scan(spark, csv_path), "csv")
+    rows, _ = split_malformed(csv_scan(spark, csv_path, order="_row_order"), "csv")
     rows = rows.na.fill("")
     if key is None:
-        out = typed_json_rows(rows)
+        out = typed_json_rows(rows.drop("_row_order"))
     else:
-        ordered = rows.withColumn("_row_order", F.monotonically_increasing_id())
-        out = keyed_last_wins(ordered, key, "_row_order").select("json")
+        out = keyed_last_wins(rows, key, "_row_order").select("json")
     out.write.mode("overwrite").text(json_path)
 
 

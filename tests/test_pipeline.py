@@ -221,3 +221,13 @@ def test_csv_to_json_files(spark, tmp_path):
     Sk.csv_to_json(spark, f"{tmp_path}/in.csv", f"{tmp_path}/typed")
     got = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/typed").collect()]
     assert {"k": "a", "v": 1} in got and {"k": "b", "v": 2.5} in got and {"k": "c", "v": ""} in got and len(got) == 4
+
+
+def test_last_row_of_several_csv_files_wins(spark, tmp_path):
+    """Files in order of their names, whatever their sizes and column orders; rows of a file in order."""
+    import json
+    put(f"{tmp_path}/in", a="k,v\n" + "".join(f"k{i % 5},a{i}\n" for i in range(500)), b="v,k\nb1,k1\nb2,k1\n", c="k,v\nk2,c1\n")
+    for _ in range(2):
+        Sk.csv_to_json(spark, f"{tmp_path}/in", f"{tmp_path}/out", key="k")
+        got = {r["k"]: r["v"] for r in (json.loads(x.value) for x in spark.read.text(f"{tmp_path}/out").collect())}
+        assert got == {"k0": "a495", "k1": "b2", "k2": "c1", "k3": "a498", "k4": "a499"}
