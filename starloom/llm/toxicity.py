@@ -1,27 +1,37 @@
 """Operator 6: toxicity by a weighted finite-state pattern grammar.
 
 Words of a clause become tags (insult, threat, target, negation, report,
-word).  Small transducers rewrite the tags in turn: a target before an insult
-aims it, a threat verb before a target is a menace, a negation before either
-denies it, a verb of speech before it reports it; the last one weighs what is
-left.  Their composition is one machine, run over the clauses of a text that
-holds an insult or a threat.  A bare insult scores 1 times its weight, a denied
-one 0.5 and a reported one 0.6, so patterns grade a lexicon hit but do not
-decide whether it counts; a threat without a target, or any other word, has no
-score.
-
-The insult tag is learnt: words and word beginnings that mark toxic documents
-in the labelled training rows, with their log-odds as weights, join a small
-fixed list.  A logistic curve over the clause scores, fitted on the same rows,
-gives the score.  Training reads at most ``SAMPLE`` labelled documents of each
-class, those first in the order of a hash of the id.
-
-Defined cases: null and empty texts have no clause and get the curve's floor;
+word).  Small transducers rewrite the tags in turn: a threat verb before a
+target is a menace, a target before an insult aims it, a negation before either
+denies it, a verb of speech before it reports it; the last one weighs the
+patterns that are left: insult (bare), aimed, menace, denied, reported.  Their
+composition is one machine, run over the clauses of a text that holds an insult
+or a threat.  A clause scores the sum of its patterns' weights times the
+strengths of their words; the text's score is the logistic function of a bias
+plus the clause scores.
+
+The weights and the bias are fitted, one weight a pattern, to the labelled
+training rows: a logistic regression whose ridge draws them to the fixed
+``PRIOR``, under which a bare insult, a denied and a reported one stay below the
+threshold and one aimed insult or menace reaches it.  So how much a bare, denied
+or reported insult counts is what the labels say of it.
+
+The insult tag is learnt too: words and word beginnings that mark toxic
+documents, with their log-odds as strengths, join a small fixed list.  Only
+occurrences that the grammar leaves standing (neither denied nor reported)
+count, for either class; words that have a role in the grammar are no insults.
+Training reads at most ``SAMPLE`` labelled documents of each class, those first
+in the order of a hash of the id.
+
+Defined cases: null and empty texts have no clause and get the bias;
 null ids are never training rows and count as not held out; null labels are
-ignored, several labels of an id count as toxic if one is; without training
-rows the fixed list and a fixed curve decide; repeated rows score alike; an
-empty table gives an empty result; extra columns are ignored by
-:func:`toxicity_scores` and kept by :func:`keep_clean`.
+ignored, several labels of an id count as toxic if one is; of several texts of
+an id the least one in code point order is learnt, and of equal texts with
+both labels the toxic one, so the order of rows changes nothing; without
+training rows of both classes the fixed list and ``PRIOR`` decide; repeated rows
+score alike; an empty table gives an empty result; extra columns are ignored by
+:func:`toxicity_scores` and kept by :func:`keep_clean`.  Texts of any length are
+read whole, clause by clause.
 """
 
 from __future__ import annotations
@@ -43,6 +53,9 @@ MIN_DOCS = 3             # an entry occurs in so many toxic documents
 MIN_ODDS = 4.0           # least log-odds of an entry
 STEMS = (4, 5, 6, 7)      # lengths of word beginnings that are tried
 THRESHOLD = 0.7
+PATTERNS = ("insult", "aimed", "menace", "denied", "reported")
+PRIOR = (-3.0, 2.0, 4.0, 4.0, 0.0, 0.0)  # bias and a weight a pattern: what holds where the labels say nothing
+RIDGE = 0.1
 
 INSULTS = ("idiot moron stupid fool loser scum trash clown pathetic worthless disgusting dumb imbecile bastard "
            "idiota imbécil estúpido basura dummkopf abschaum trottel crétin imbécile ordure").split()
@@ -109,21 +122,23 @@ TAGS = ["insult", "threat", "target", "negation", "report", "word"]
 MARKED = ["insult", "aimed", "menace"]
 
 
-def grammar() -> Transducer:
-    """Target, threat, negation, report and weight transducers composed to one machine."""
-    aim = within({"target"}, 4, {"insult": "aimed"})
+def grammar(weights=PRIOR[1:]) -> Transducer:
+    """Threat, target, negation, report and weight transducers composed to one machine of numbered states."""
     menace = within({"threat"}, 3, {"target": "menace"})
+    aim = within({"target"}, 4, {"insult": "aimed"})
     deny = within({"negation"}, 3, {m: "denied" for m in MARKED})
     report = within({"report"}, 8, {**{m: "reported" for m in MARKED}, "denied": "denied"})
-    weigh = weigher({"insult": 1.0, "aimed": 1.25, "menace": 1.5, "denied": 0.5, "reported": 0.6})
     machine = menace
-    for part in (aim, deny, report, weigh):
+    for part in (aim, deny, report, weigher(dict(zip(PATTERNS, weights)))):
         machine = machine.compose(part, TAGS)
-    return machine
+    number = {state: k for k, state in enumerate(machine.arcs)}
+    arcs = {number[state]: {tag: (tag if out == ANY else out, weight, number[after]) for tag, (out, weight, after) in by_tag.items()}
+            for state, by_tag in machine.arcs.items()}
+    return Transducer(number[machine.start], arcs)
 
 
 class Tagger(dict):
-    """Word -> (tag, weight), remembered for a bounded number of words."""
+    """Word -> (tag, strength), remembered for a bounded number of words."""
 
     LIMIT = 500_000
 
@@ -137,54 +152,87 @@ class Tagger(dict):
     def __missing__(self, word: str):
         if len(self) > self.LIMIT:
             self.clear()
-        best = self.words.get(word, 0.0)
-        for n in self.sizes:
-            if len(word) > n:
-                best = max(best, self.stems.get(word[:n], 0.0))
-        if best:
-            found = ("insult", best)
-        else:
-            found = (self.fixed.get(word, "word"), 1.0)
+        found = (self.fixed.get(word, "word"), 1.0)
+        if found[0] == "word":
+            best = self.words.get(word, 0.0)
+            for n in self.sizes:
+                if len(word) > n:
+                    best = max(best, self.stems.get(word[:n], 0.0))
+            if best:
+                found = ("insult", best)
         self[word] = found
         return found
 
 
-def clause_features(text: str, tagger: Tagger, machine: Transducer) -> tuple[float, float, int]:
-    """Sum and maximum of the clause scores of a text, and how many clauses matched."""
-    text = text.lower()
-    if not any(tagger[w][0] in ("insult", "threat") for w in set(_WORD.findall(text))):
-        return 0.0, 0.0, 0
-    total, most, matched = 0.0, 0.0, 0
-    for clause in _CLAUSE.split(text):
-        state, score = machine.start, 0.0
-        for word in _WORD.findall(clause):
-            tag, strength = tagger[word]
-            _, weight, state = machine.arcs[state][tag]
-            score += weight * strength
-        if score:
-            total, most, matched = total + score, max(most, score), matched + 1
-    return total, most, matched
+def clauses(text: str) -> Iterator[list[str]]:
+    for clause in _CLAUSE.split(text.lower()):
+        yield _WORD.findall(clause)
 
 
-def _inputs(features) -> np.ndarray:
-    total, most, matched = np.asarray(features, dtype=float).reshape(-1, 3).T
-    return np.stack([np.ones(len(total)), np.log1p(total), most > 0, np.log1p(matched)], axis=1)
+def matched_clauses(text: str, tagger: Tagger, machine: Transducer) -> Iterator[tuple[float, list[tuple[str, float]]]]:
+    """Score and (pattern, strength) pairs of each clause that matches."""
+    if not any(tagger[w][0] in ("insult", "threat") for w in set(_WORD.findall(text.lower()))):
+        return
+    for words in clauses(text):
+        state, score, found = machine.start, 0.0, []
+        for word in words:
+            tag, strength = tagger[word]
+            out, weight, state = machine.arcs[state][tag]
+            if out in PATTERNS:
+                score += weight * strength
+                found.append((out, strength))
+        if found:
+            yield score, found
+
+
+def pattern_sums(text: str, tagger: Tagger, machine: Transducer) -> list[float]:
+    """Strengths of a text's matches, summed by pattern."""
+    sums = dict.fromkeys(PATTERNS, 0.0)
+    for _, found in matched_clauses(text, tagger, machine):
+        for pattern, strength in found:
+            sums[pattern] += strength
+    return list(sums.values())
+
+
+def text_score(text: str, bias: float, tagger: Tagger, machine: Transducer) -> float:
+    total = bias + sum(score for score, _ in matched_clauses(text, tagger, machine))
+    return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+
+
+def standing_words(text: str, tagger: Tagger, machine: Transducer) -> set[str]:
+    """Words without a role in the grammar that, were they insults, would be neither denied nor reported somewhere."""
+    found = set()
+    for words in clauses(text):
+        state = machine.start
+        for word in words:
+            tag = tagger[word][0]
+            if tag in ("word", "insult") and machine.arcs[state]["insult"][0] in MARKED:
+                found.add(word)
+            state = machine.arcs[state][tag][2]
+    return found
+
+
+def fit_weights(sums, labels, rounds: int = 100) -> list[float]:
+    """Bias and pattern weights: logistic regression by damped Newton steps, its ridge centred on ``PRIOR``."""
+    y, prior = np.asarray(labels, dtype=float), np.array(PRIOR)
+    if len(y) == 0 or y.min() == y.max():
+        return list(PRIOR)
+    x = np.column_stack([np.ones(len(y)), np.asarray(sums, dtype=float)])
 
+    def loss(w):
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - y * z) + RIDGE / 2 * np.sum((w - prior) ** 2))
 
-def fit_curve(features, labels, ridge: float = 0.1, rounds: int = 50) -> list[float]:
-    """Ridge logistic regression by Newton steps; the fixed curve if a class is missing."""
-    y = np.asarray(labels, dtype=float)
-    if len(y) == 0 or y.min() == y.max():
-        return [-3.0, 1.0, 4.0, 0.5]
-    x = _inputs(features)
-    w = np.zeros(x.shape[1])
+    w = prior
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-9:
+        grad = x.T @ (p - y) + RIDGE * (w - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), grad)
+        rate, before = 1.0, loss(w)
+        while rate > 1e-6 and loss(w - rate * step) > before:
+            rate /= 2
+        w = w - rate * step
+        if np.abs(step).max() < 1e-9 or rate <= 1e-6:
             break
     return w.tolist()
 
@@ -201,19 +249,20 @@ def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     zero = ids.where("_y = 0").orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
     chosen = one.unionByName(zero)  # at most 2 * SAMPLE ids: the broadcast below is bounded
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_column(text_col).alias("_t"))
-    found = rows.join(F.broadcast(chosen), "_id")
-    return written(found.dropDuplicates(["_id"]), "toxic-sample")
+    found = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
+    return written(found, "toxic-sample")
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and beginnings that mark toxic documents, with their log-odds divided by ``MIN_ODDS``."""
+    """Words and beginnings that, left standing, mark toxic documents, with their log-odds divided by ``MIN_ODDS``."""
     texts = sample.groupBy(F.md5("_t").alias("_k")).agg(F.max("_y").alias("_y"), F.first("_t").alias("_t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger, machine = Tagger({}, {}), grammar()
         for b in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for y, t in zip(b.column("_y").to_pylist(), b.column("_t")):
-                words = set(_WORD.findall(t.as_py().lower()))
+                words = standing_words(t.as_py(), tagger, machine)
                 found = {w for w in words if len(w) > 2}
                 found |= {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
                 seen[y].update(found)
@@ -239,33 +288,30 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
 class Model:
     words: dict[str, float]
     stems: dict[str, float]
-    curve: list[float]
+    weights: list[float]  # bias, then a weight a pattern
 
-    def features(self, texts) -> list[tuple[float, float, int]]:
-        tagger, machine = Tagger(self.words, self.stems), grammar()
-        return [clause_features(t, tagger, machine) for t in texts]
+    def scorer(self):
+        """A function from a text to its score."""
+        tagger, machine = Tagger(self.words, self.stems), grammar(self.weights[1:])
+        return lambda text: text_score(text, self.weights[0], tagger, machine)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Learn the lexicon and the curve from the training rows among ``docs``."""
+    """Learn the lexicon and the pattern weights from the training rows among ``docs``."""
     prepare(docs.sparkSession)
     sample = _training(docs, labels, id_col, text_col, label_col)
     words, stems = learn_lexicon(sample)
-    model = Model(words, stems, [])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger, machine = Tagger(words, stems), grammar()
         for b in batches:
-            got = [clause_features(t.as_py(), tagger, machine) for t in b.column("_t")]
-            yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.int64()), b.column("_y").cast(pa.int32()),
-                                              *[pa.array([float(g[k]) for g in got], type=pa.float64()) for k in range(3)]],
-                                             names=["i", "y", "a", "b", "c"])
+            sums = [pattern_sums(t.as_py(), tagger, machine) for t in b.column("_t")]
+            yield pa.RecordBatch.from_arrays([b.column("_y").cast(pa.int32()), pa.array(sums, type=pa.list_(pa.float64()))], names=["y", "s"])
 
-    rows = sample.select(F.col("_id").cast("long").alias("_id"), "_y", "_t") \
-        .mapInArrow(measure, "i long, y int, a double, b double, c double").orderBy("i").collect()  # 2 * SAMPLE rows at most
-    model.curve = fit_curve([(r.a, r.b, r.c) for r in rows], [r.y for r in rows])
-    return model
+    # at most 2 * SAMPLE rows, in an order that does not depend on the tasks
+    rows = sample.select("_y", "_t").mapInArrow(measure, "y int, s array<double>").orderBy("y", "s").collect()
+    return Model(words, stems, fit_weights([r.s for r in rows], [r.y for r in rows]))
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
@@ -273,12 +319,11 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
     schema = rows.drop("_t").schema.add("_score", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger, machine, curve = Tagger(model.words, model.stems), grammar(), np.array(model.curve)
+        of = model.scorer()
         for b in batches:
-            x = _inputs([clause_features(t.as_py(), tagger, machine) for t in b.column("_t")]) if b.num_rows else np.zeros((0, 4))
-            p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
             names = [n for n in b.schema.names if n != "_t"]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(p)], names=[*names, "_score"])
+            scores = pa.array([of(t.as_py()) for t in b.column("_t")], type=pa.float64())
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], scores], names=[*names, "_score"])
 
     return rows.mapInArrow(score, schema)
 

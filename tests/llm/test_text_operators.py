@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -198,14 +199,126 @@ def test_a_model_that_is_not_whole_raises(spark, lost):
 # --- toxicity
 
 def test_grammar_composes_the_parts():
-    tagger, machine = toxicity.Tagger({"idiot": 1.0}, {}), toxicity.grammar()
-    score = lambda t: toxicity.clause_features(t, tagger, machine)[0]
+    tagger, machine = toxicity.Tagger({"idiot": 1.0}, {}), toxicity.grammar([1.0, 1.25, 1.5, 0.5, 0.6])
+    score = lambda t: sum(c for c, _ in toxicity.matched_clauses(t, tagger, machine))
     plain, aimed = score("what an idiot"), score("you are an idiot")
     denied, reported, menace = score("not an idiot"), score("someone said idiot"), score("we kill them")
     assert plain == 1.0 and aimed == 1.25 and denied == 0.5 and reported == 0.6 and menace == 1.5
     assert score("you and he are not an idiot") == 0.5
     assert score("you are here. idiot") == 1.0, "a target of another clause does not aim"
     assert score("a kind word") == score("") == 0.0
+    judge = toxicity.Model({"idiot": 1.0}, {}, list(toxicity.PRIOR)).scorer()
+    assert [judge(t) >= 0.7 for t in ("what an idiot", "you are an idiot", "not an idiot", "she wrote idiot", "we kill them")] \
+        == [False, True, False, False, True], "without labels a bare, denied or reported insult does not reach the threshold"
+
+
+def patterns_of(clause, insults):
+    """The pattern of each word of a clause by the distances to its trigger words; None where nothing matches."""
+    words = re.findall(r"[^\W\d_]+", clause.lower())
+    role = ["report" if w in toxicity.REPORTS else "negation" if w in toxicity.NEGATIONS else "target" if w in toxicity.TARGETS
+            else "threat" if w in toxicity.THREATS else "insult" if insults(w) else "" for w in words]
+    before = lambda kind, i, n, of: kind in of[max(0, i - n):i]
+    menaced = ["menace" if r == "target" and before("threat", i, 3, role) else r for i, r in enumerate(role)]
+    out = []
+    for i, r in enumerate(menaced):
+        p = r if r in ("insult", "menace") else None
+        if p == "insult" and before("target", i, 4, menaced):
+            p = "aimed"
+        if p and before("negation", i, 3, role):
+            p = "denied"
+        elif p and before("report", i, 8, role):
+            p = "reported"
+        out.append(p)
+    return words, out
+
+
+def insult_corpus(n, seed=5):
+    """Toxic documents throw an insult, clean ones deny or report it in the same words."""
+    rnd = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        plain = lambda k: " ".join(rnd.choice(["bara", "doso", "ketu", "lura", "miso", "you", "they"]) for _ in range(k))
+        filler, insult = ". ".join(plain(6) for _ in range(5)), rnd.choice(["zorgling", "zorgface", "vexhead", "idiot"])
+        bad = i % 3 == 0
+        clause = rnd.choice([f"bara {insult}", f"you are a {insult}"] if bad else
+                            [f"you are not a {insult}", f"he said bara {insult}", f"she wrote that they are {insult}", "bara doso"])
+        rows.append((i, f"{filler}. {clause}. {plain(4)}"))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def test_the_grammar_decides_and_isolated_words_do_not(spark):
+    rows, labels = insult_corpus(900)
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    truth = dict(labels)
+    held = [r for r in toxicity.toxicity_scores(docs, marks).collect() if r.held_out]
+    model = toxicity.train(docs, marks)
+    assert set(model.words) >= {"zorgling", "zorgface", "vexhead"}, "words that clean documents only deny or report are learnt"
+    assert model.weights[1] > 2 and model.weights[2] > 2 and max(model.weights[4:]) < 1
+    alone = {i: any(w in model.words or any(w.startswith(s) and w != s for s in model.stems) for w in re.findall(r"\w+", t.lower())) for i, t in rows}
+    wrong = sum(r.predicted != truth[r.doc_id] for r in held)
+    wrong_alone = sum(int(alone[r.doc_id]) != truth[r.doc_id] for r in held)
+    assert len(held) > 250 and wrong == 0 and wrong_alone > len(held) / 3
+
+
+def test_toxicity_against_brute_force(spark):
+    rows, labels = insult_corpus(240, seed=9)
+    rows[7], rows[8] = (7, "we kill them. " + rows[7][1]), (8, "They never hurt him; idiot\nno. " + rows[8][1])
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    y = dict(labels)
+    train = {t: y[i] for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    roles = set(toxicity.REPORTS + toxicity.NEGATIONS + toxicity.TARGETS + toxicity.THREATS)
+    split = lambda t: re.split(r"[.!?;\n]+", t)
+    seen, size = {0: Counter(), 1: Counter()}, Counter(train.values())
+    for t, label in train.items():
+        standing = set()
+        for c in split(t):
+            words, _ = patterns_of(c, lambda w: False)
+            for w in set(words) - roles:
+                got = patterns_of(c, lambda x: x == w)  # noqa: B023
+                if any(a == w and p in ("insult", "aimed") for a, p in zip(*got)):
+                    standing.add(w)
+        seen[label].update({w for w in standing if len(w) > 2} | {w[:n] + "*" for w in standing for n in (4, 5, 6, 7) if len(w) > n})
+    words, stems = {w: 1.0 for w in toxicity.INSULTS}, {}
+    for f, n in seen[1].items():
+        odds = math.log((n + 0.5) / (size[1] + 1)) - math.log((seen[0][f] + 0.5) / (size[0] + 1))
+        if n >= 3 and odds >= 4:
+            into, key = (stems, f[:-1]) if f.endswith("*") else (words, f)
+            into[key] = max(into.get(key, 0), odds / 4)
+    model = toxicity.train(docs, marks)
+    assert model.words == pytest.approx(words) and model.stems == pytest.approx(stems)
+
+    strength = lambda w: max([words.get(w, 0.0)] + [v for s, v in stems.items() if w.startswith(s) and w != s])
+
+    def sums(t):
+        total = dict.fromkeys(("insult", "aimed", "menace", "denied", "reported"), 0.0)
+        for c in split(t):
+            for w, p in zip(*patterns_of(c, lambda w: strength(w) > 0)):
+                if p:
+                    total[p] += 1.0 if w in roles else strength(w)
+        return list(total.values())
+
+    # the weights are the one point where the penalised likelihood has no slope
+    x = np.array([[1.0, *sums(t)] for t in train])
+    slope = x.T @ (1 / (1 + np.exp(-x @ np.array(model.weights))) - np.array(list(train.values()))) \
+        + 0.1 * (np.array(model.weights) - np.array([-3.0, 2.0, 4.0, 4.0, 0.0, 0.0]))
+    assert np.abs(slope).max() < 1e-6
+    for r in toxicity.toxicity_scores(docs, marks).collect():
+        want = 1 / (1 + math.exp(-float(np.dot(model.weights, [1.0, *sums(dict(rows)[r.doc_id])]))))
+        assert math.isclose(r.score, want, rel_tol=1e-9) and r.predicted == int(r.score >= 0.7)
+
+
+def test_toxicity_does_not_depend_on_the_order_of_rows(spark):
+    """Several texts of an id: one of them, by value, is learnt; a very long text scores like any other."""
+    rows, labels = insult_corpus(240)
+    rows += [(i, rows[(i + 3) % 240][1]) for i in range(0, 240, 2)] + rows[:20]
+    rows += [(5000, "bara doso " * 200_000 + ". you zorgling"), (5001, "bara" * 500_000)]
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    mixed = frame(spark, random.Random(1).sample(rows, len(rows))).repartition(3)
+    got, again = (Counter((r.doc_id, r.score) for r in toxicity.toxicity_scores(d, marks).collect()) for d in (docs, mixed))
+    assert got == again and len(rows) == sum(got.values())
+    scores = dict(got.keys())
+    assert scores[5000] >= 0.7 > scores[5001]
 
 
 def test_toxicity_learns_held_out_rows(spark):
@@ -245,8 +358,8 @@ def test_rare_markers_are_learnt_beside_many_toxic_documents(spark):
 
 def test_toxicity_without_labels_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(frame(spark, [(1, "you idiot"), (2, "hello")]), none).collect()}
-    assert got == {1: 1, 2: 0}
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(frame(spark, [(1, "you idiot"), (2, "hello"), (3, "idiot")]), none).collect()}
+    assert got == {1: 1, 2: 0, 3: 0}
     assert toxicity.toxicity_scores(spark.createDataFrame([], SCHEMA), none).count() == 0
 
 
