@@ -309,9 +309,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             sums = [pattern_sums(t.as_py(), tagger, machine) for t in b.column("_t")]
             yield pa.RecordBatch.from_arrays([b.column("_y").cast(pa.int32()), pa.array(sums, type=pa.list_(pa.float64()))], names=["y", "s"])
 
-    # at most 2 * SAMPLE rows, in an order that does not depend on the tasks
-    rows = sample.select("_y", "_t").mapInArrow(measure, "y int, s array<double>").orderBy("y", "s").collect()
-    return Model(words, stems, fit_weights([r.s for r in rows], [r.y for r in rows]))
+    # at most 2 * SAMPLE rows; sorted, as sums of floats depend on their order
+    rows = sorted((r.y, r.s) for r in sample.select("_y", "_t").mapInArrow(measure, "y int, s array<double>").collect())
+    return Model(words, stems, fit_weights([s for _, s in rows], [y for y, _ in rows]))
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
