@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.literals import LENIENT, one_value, SUSPECT, with_category_list, with_literal
+from ..functions.literals import with_category_list, with_literal
 from ..functions.numbers import epoch_to_timestamp, py_float, ratio_round
 from ..functions.text import (PRODUCT_DEFAULTS, REVIEW_DEFAULTS, clean_text, default_if_blank,
                               is_blank)
@@ -87,14 +87,9 @@ def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up", python_fallbac
     if python_fallback not in ("inline", "defer"):
         raise ValueError("python_fallback must be 'inline' or 'defer'")
     d = REVIEW_DEFAULTS
-    if python_fallback == "inline":
-        df = with_literal(raw, "helpful", "_helpful", "array<double>", ("list", "tuple"))
-        needs_python = F.lit(False)
-    else:
-        lenient = F.from_json(F.col("helpful"), "array<double>", LENIENT)
-        needs_python = F.col("helpful").isNotNull() & (
-            lenient.isNull() | F.col("helpful").rlike(SUSPECT) | ~one_value(F.col("helpful")))
-        df = raw.withColumn("_helpful", F.when(~needs_python, lenient))
+    defer = python_fallback == "defer"
+    df = with_literal(raw, "helpful", "_helpful", "array<double>", ("list", "tuple"), defer)
+    needs_python = F.col("_helpful_need") if defer else F.lit(False)
     rid = default_if_blank("reviewerID", d["reviewer_source_key"])
     pkey = default_if_blank("asin", d["product_key"])
     score = py_float("overall")
@@ -122,7 +117,7 @@ def classify_reviews(raw: DataFrame, ratio_mode: str = "half_up", python_fallbac
         reason.alias(V.REASON),
         _source_row(raw, reason).alias("_source_row"),
         *([pending.alias("_pending"), F.when(pending, F.col("helpful")).alias("_helpful_src")]
-          if python_fallback == "defer" else []))
+          if defer else []))
     return out
 
 

@@ -166,3 +166,86 @@ def test_literal_with_anything_after_it_is_text(spark):
     assert got["[2, 3][4]"] == "str"
     maps = with_literal(spark.createDataFrame([("{'a': 1} x",), ("{'a': 1}",)], "c string"), "c", "v", "map<string,int>", ("dict",))
     assert {r.c: r.v_kind for r in maps.collect()} == {"{'a': 1} x": "str", "{'a': 1}": "dict"}
+
+
+LITERAL_CASES = [
+    "{'a': None}", "{'a': 1, 'a': None}", "{'a': 3,}", "{'a\\'b': 2}", "{'a\"b': 2, \"c'd\": 4}", "{'t\\\\': 1}", "{'t\\\\\\'': 1}",
+    "{'\\x41\\u00e9\\n': 7}", "{'a\tb': 1}", "{'a': True}", "{'a': 'x'}", "{'a': (1, 2)}", "{1: 2}", "{'a' 'b': 1}", "{'a': 1} x",
+    "(1, 2)", "(1,)", "(1)", "()", "[]", "[1, 2,]", "[1,, 2]", "[,]", "[1 2]", "[- 1, -2]", "[01, 2]", "[1.50, 2]", "[0.5, 3]", "[1e3, 2]",
+    "[1_0, 2]", "{1, 2}", "[None, 2]", "[True, False]", "['a', None, True, 1, -2, 0.25]", "[['a'], ('b', 'c')]", "[{'k': 1}, 'x']",
+    "('a', 'b')", "[['a', ['b', ['c']]], 'd']", "[[[[['deep']]]]]", "['a\\q']", "['a\\", "['''a''']", "['a''b']", "[u'a', 'b']", "[b'a']",
+    "['it\\'s', \"a \\\"b\\\"\"]", "['x, None), (', 'y,]']", "['None', 'a,)']", "[\n'a']", "['a\nb']", "[q]", "['a', q]", "None", "True",
+    "Books", "not None", "abc def", "  ", "", " [1, 2]", "\t['a',]", "[1, 2] ", "['a'] # c", "[' é']", "[\x01]", "['\\ud83d\\ude00']", "['\\ud83d',]", "{'\\ud83d': 1}",
+    "{'also_bought': ['a', 'b',], 'x': None}", "{'k': [['a', 'b'], None, 2]}", "{'k': ['\\xe9\\\\', '\\'']}", "{'a': {'b': 1}}", "[1,2]]",
+    "['" + "long \\' text " * 3000 + "',]", "[" + "1, " * 5000 + "]", "word " * 3000,
+]
+
+
+def random_literals(n=600, seed=11):
+    """Texts near the grammar of literals: random ones, some with a character changed."""
+    rnd = random.Random(seed)
+
+    def value(depth, kinds="stnwlLpd"):
+        kind = rnd.choice("stnw" if depth == 0 else kinds)
+        if kind in "st":
+            body = "".join(rnd.choice(["a", "b ", ",", "(", "]", "\\\\", "\\'", "\\\"", "\\n", "\\x41", "é", "None", "1"])
+                           for _ in range(rnd.randint(0, 4)))
+            return f"'{body}'" if kind == "s" else f'"{body}"'
+        if kind == "n":
+            return rnd.choice(["0", "1", "-7", "12", "1.5", "0.25", "-0.5", "00", "1.0", "2.50"])
+        if kind == "w":
+            return rnd.choice(["None", "True", "False"])
+        items = [value(depth - 1) for _ in range(rnd.randint(0, 3))]
+        if kind == "d":
+            return "{" + ", ".join(f"'k{i % 2}': {v}" for i, v in enumerate(items)) + rnd.choice(["", "," if items else ""]) + "}"
+        left, right = "()" if kind == "p" else "[]"
+        return left + rnd.choice([", ", ",", " , "]).join(items) + rnd.choice(["", "," if items else ""]) + right
+
+    out = []
+    for _ in range(n):
+        text = value(3, "lLpd")
+        if text and rnd.random() < 0.3:
+            at = rnd.randrange(len(text))
+            text = text[:at] + rnd.choice(["", ",", "'", "\\", "]", " "]) + text[at + 1:]
+        out.append(text)
+    return out
+
+
+def test_rewritten_literals_equal_python(spark):
+    """Both readings give what ``ast.literal_eval`` gives; a deferred cell is marked, never guessed."""
+    import json
+    cases = list(dict.fromkeys([*LITERAL_CASES, *random_literals()]))
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string").repartition(4)
+    decided = {r.i: (r.k, r.j, r.leaves) for r in df.select(
+        "i", L.literal_kind(F.col("s")).alias("k"), L.python_json(F.col("s")).alias("j"), L.python_leaves(F.col("s")).alias("leaves")).collect()}
+    read = 0
+    for i, text in enumerate(cases):
+        kind, as_json, flat = L.literal_eval_one(text)
+        got, got_json, leaves = decided[i]
+        if got is None:
+            continue
+        read += 1
+        assert got == kind, text[:80]
+        if kind != "str":
+            assert json.loads(got_json) == json.loads(as_json), text[:80]
+        if kind == "list" and "(" not in text and "{" not in text:
+            assert json.loads(leaves) == flat, text[:80]
+    assert read > len(cases) / 3
+    for add, ddl, kinds in ((L.with_literal, "map<string,int>", ("dict",)), (L.with_literal, "array<double>", ("list", "tuple")),
+                            (L.with_literal, "map<string,array<string>>", ("dict",)), (L.with_category_list, None, None)):
+        args = [ddl, kinds] if ddl else []
+        inline = {r.i: (r.v, r.v_kind) for r in add(df, "s", "v", *args).collect()}
+        marked = {r.i: (r.v, r.v_kind, r.v_need) for r in add(df, "s", "v", *args, defer=True).collect()}
+        for i, text in enumerate(cases):
+            v, k, need = marked[i]
+            assert (v, k) == ((None, None) if need else inline[i]), text[:80]
+            _, as_json, flat = L.literal_eval_one(text)
+            if add is L.with_category_list and inline[i][1] == "list":
+                assert inline[i][0] == flat, text[:80]
+
+
+def test_python_shapes_stay_on_the_jvm(spark):
+    cases = ["{'a': None}", "(1, 2)", "[1, 2,]", "['a\\'s', None, True]", "[['a'], 'b',]", "Books", ""]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    assert not [r.s for r in L.with_literal(df, "s", "v", "array<string>", ("list", "tuple"), defer=True).collect() if r.v_need]
+    assert not [r.s for r in L.with_category_list(df, "s", "v", defer=True).collect() if r.v_need]
