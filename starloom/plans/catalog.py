@@ -641,6 +641,27 @@ def p5(spark, sf):
     return ev.select("event_id", F.col("_p")["k"].alias("k"))
 
 
+@register("p5_python_shapes", """SELECT o_orderkey,
+  'O''' || o_orderstatus || '|' || o_orderpriority || '|None|' || CAST(o_custkey AS VARCHAR) || '|True' AS leaves, 'list' AS leaves_kind,
+  CAST(o_custkey AS BIGINT) AS pair_first, CASE WHEN o_orderstatus = 'F' THEN CAST(NULL AS BIGINT) ELSE CAST(-3 AS BIGINT) END AS pair_second,
+  'tuple' AS pair_kind, 7 AS last_n, 2 AS entries, 'dict' AS entries_kind FROM orders""")
+def p5_shapes(spark, sf):
+    """Ragged lists, ``None``, ``True``, escapes, tuples, trailing commas and repeated keys."""
+    key = F.col("o_custkey").cast("string")
+    cells = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("['O\\'"), "o_orderstatus", F.lit("', [\""), "o_orderpriority", F.lit('", [None, '), key, F.lit("]], True,]")).alias("ragged"),
+        F.concat(F.lit("("), key, F.when(F.col("o_orderstatus") == "F", ", None,)").otherwise(", -3)")).alias("pair"),
+        F.concat(F.lit("{'"), "o_orderpriority", F.lit("': None, \"n\": "), key, F.lit(", 'n': 7,}")).alias("dict"))
+    df = L.with_category_list(cells, "ragged", "_l")
+    df = L.with_literal(df, "pair", "_p", "array<double>", ("list", "tuple"))
+    df = L.with_literal(df, "dict", "_d", "map<string,int>", ("dict",))
+    return df.select("o_orderkey", F.array_join("_l", "|").alias("leaves"), F.col("_l_kind").alias("leaves_kind"),
+                     F.get(F.col("_p"), 0).cast("long").alias("pair_first"), F.get(F.col("_p"), 1).cast("long").alias("pair_second"),
+                     F.col("_p_kind").alias("pair_kind"), F.col("_d")["n"].alias("last_n"), F.size("_d").alias("entries"),
+                     F.col("_d_kind").alias("entries_kind"))
+
+
 @register("p6_first_map_entry", O.query("""
 SELECT asin AS product_source_key, regexp_extract(salesrank, '^\\{''([^'']*)''', 1) AS rank_category,
   CAST(regexp_extract(salesrank, ': (-?[0-9]+)\\}$', 1) AS INTEGER) AS rank FROM raw_products""",
