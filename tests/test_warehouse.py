@@ -311,3 +311,50 @@ def test_fact_event_time_binding(spark):
     assert got == [(19990601, 1), (20240115, 1), (20240301, 2)]
     ld, _, _ = Fa.load_fact(St.review_view(reviews), reviewers, prods, junk, date)
     assert {r.product_key for r in ld.collect()} == {2}
+
+
+def test_warehouse_tables_are_computed_when_asked_for(spark):
+    """Relations come from the products alone: reviews that cannot be read do not matter to them."""
+    from starloom.plans import standin, warehouse
+    broken = standin.raw_reviews(spark, "/root/testdata/sf0.001").withColumn("overall", F.raise_error(F.lit("reviews read")))
+    wh = warehouse.build_warehouse(broken, standin.raw_products(spark, "/root/testdata/sf0.001"), "2024-01-01 00:00:00")
+    assert wh.stage1.related.count() > 0 and wh.stage2.categories.count() > 0
+
+
+def test_materialized_frames_are_compressed_columns(spark):
+    from starloom.session import materialize
+    df = materialize(spark.range(1000).select("id", F.repeat(F.lit("same text "), 100).alias("t")))
+    files = df.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert df.count() == 1000 and df.columns == ["id", "t"]
+
+
+def test_rows_of_single_keys_pass_the_key_rule_without_a_shuffle(spark):
+    from starloom.operators.keys import dedupe_on_key
+    rows_ = spark.range(5000).select((F.col("id") % 4990).alias("k"), F.repeat(F.lit("x"), 500).alias("t"), "id")
+    stored = rows_.localCheckpoint()
+    kept, dropped = dedupe_on_key(stored, ["k"])
+    assert kept.count() == 4990 and dropped.count() == 10
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [k" in plan and "count(1)" not in plan  # the count per key is done, its few keys are stored
+    physical = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+
+
+def test_line_items_are_shuffled_once_for_the_raw_reviews(spark):
+    from starloom.plans import standin
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = standin.raw_reviews(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 5  # orders, customers, their join, line items, documents
+
+
+def test_quarantine_is_compressed(spark, tmp_path):
+    from starloom.sources import sinks
+    df = spark.createDataFrame([("a", "r", "{}"), ("b", "r", "{}")], "entity string, reason string, row string")
+    sinks.write_quarantine(df, str(tmp_path / "q"))
+    assert list((tmp_path / "q").rglob("*.json.gz")) and not list((tmp_path / "q").rglob("*.json"))
+    assert spark.read.json(str(tmp_path / "q")).count() == 2
