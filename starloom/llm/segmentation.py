@@ -41,7 +41,7 @@ from starloom.llm.common import U64, mix64, prepare, text_column
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, SEED = 2, 7
-MAX_EDGES = 4_000_000    # lattice edges a worker remembers; beyond it the rarer words are forgotten
+MAX_EDGES = 2_000_000    # lattice edges a worker remembers; beyond it the rarer words are forgotten
 WORDS_AT_ONCE = 100_000  # words of the texts that are sampled together
 AHEAD = 48               # steps of a path whose open sets have bounds at once
 WORDS_BUILT = 6_000     # new words whose lattices are built together
