@@ -249,3 +249,29 @@ def test_python_shapes_stay_on_the_jvm(spark):
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     assert not [r.s for r in L.with_literal(df, "s", "v", "array<string>", ("list", "tuple"), defer=True).collect() if r.v_need]
     assert not [r.s for r in L.with_category_list(df, "s", "v", defer=True).collect() if r.v_need]
+
+
+def test_quick_tests_leave_the_results(spark):
+    """Cells on either side of the quick tests: rare signs, runs of every kind of whitespace, numbers beyond plain digits."""
+    spaces = [chr(cp) for cp in range(0x3001) if chr(cp).isspace()]
+    texts = [f"a{x}{y}b{x}" for x in spaces for y in (" ", "\u3000", "\n", "\\", "=\\ ", "\u2019")] + ["\n \t", "=\\ \n", "\u2019x", "x\x85"]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        "s", T.sanitize_string("s").alias("o"), T.py_strip("s").alias("t"), T.clean_text("s", "*d", strip=True).alias("c")).collect()
+    for r in rows:
+        assert (r.o, r.t, r.c) == (py_sanitize(r.s), r.s.strip(), py_sanitize(r.s.strip())), repr(r.s)
+    numbers = ["12", "12\n", "007", "9" * 18, "9" * 19, "1_0", "12.", "12.50", "1" * 15 + ".5", "1" * 16 + ".5", "12.5\n", "1.2.3", "\u0663"]
+    df = spark.createDataFrame([(n,) for n in numbers], "s string").select("s", N.py_float("s").alias("f"), N.py_int("s").alias("i"))
+    for r in df.collect():
+        plain = r.s.isascii()
+        as_float = float(r.s) if plain and r.s.count(".") < 2 else None
+        as_int = int(r.s) if plain and "." not in r.s and len(r.s) < 19 else None
+        assert (r.f, r.i) == (as_float, as_int), repr(r.s)
+
+
+def test_plain_cells_skip_the_costly_steps(spark):
+    """Plain text, votes and numbers pass by tests on tables or ranges, without the whole whitespace class or the grammar of literals."""
+    df = spark.createDataFrame([("a",)], "s string")
+    plan = df.select(T.sanitize_string("s"), N.py_int("s"))._jdf.queryExecution().analyzed().toString()
+    assert T._KEPT_WS in plan and N.PLAIN_INT in plan
+    plan = L.with_literal(df, "s", "o", "array<double>", ("list",), True)._jdf.queryExecution().analyzed().toString()
+    assert L.PLAIN_NUMBERS in plan

@@ -358,3 +358,24 @@ def test_quarantine_is_compressed(spark, tmp_path):
     sinks.write_quarantine(df, str(tmp_path / "q"))
     assert list((tmp_path / "q").rglob("*.json.gz")) and not list((tmp_path / "q").rglob("*.json"))
     assert spark.read.json(str(tmp_path / "q")).count() == 2
+
+
+def test_first_loads_start_no_python_for_the_empty_dimension(spark):
+    rows = spark.range(1, 4).select(F.concat(F.lit("r"), "id").alias("reviewer_source_key"), F.lit("n").alias("reviewer_name"),
+                                    F.lit("2024-01-01").cast("timestamp_ntz").alias("review_datetime"))
+    dim, counts = Dm.scd1_upsert(None, rows)
+    assert [r.reviewer_key for r in dim.orderBy("reviewer_key").collect()] == [1, 2, 3] and counts.first().dim_new == 3
+    assert "ExistingRDD" not in dim._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_classification_is_written_in_compiled_methods(spark, monkeypatch):
+    from starloom.plans import warehouse as W
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(W, "materialize", lambda df: seen.append(spark.conf.get(name)) or df)
+    raw = spark.createDataFrame([("1", "A", "B", "n", "[1, 2]", "text", "5.0", "t", "86400")],
+                                "_c0 string, reviewerID string, asin string, reviewerName string, helpful string, reviewText string, "
+                                "overall string, summary string, unixReviewTime string")
+    assert W.classified_reviews(raw).count() == 1
+    assert seen[0] == "8000" and spark.conf.get(name) == before
