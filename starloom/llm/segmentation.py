@@ -45,7 +45,7 @@ MAX_EDGES = 2_000_000    # lattice edges a worker remembers; beyond it the rarer
 WORDS_AT_ONCE = 100_000  # words of the texts that are sampled together
 AHEAD = 48               # steps of a path whose open sets have bounds at once
 WORDS_BUILT = 6_000     # new words whose lattices are built together
-_UNIT = re.compile(rb"\n| *[^ \n]+| +")
+_UNIT = re.compile(rb" *+[^ \n]++|\n| ++")
 _LATTICES: dict = {}
 
 
@@ -230,14 +230,16 @@ class Lattices:
             step.append(np.ones(len(place), dtype=np.int32))
             piece.append(self.v.byte_piece[data[place]])
         at, step, piece = np.concatenate(at), np.concatenate(step), np.concatenate(piece)
+        order = np.argsort(at, kind="stable")  # ordered runs, one a size; the sorts below then find edges nearly in place
+        at, step, piece = at[order], step[order], piece[order]
         weight = self.v.weight[piece]
         beta = self._backward(len(data), at, step, weight, left, ends)
         logp = weight + np.where(step == left[at], 0.0, beta[np.minimum(at + step, len(data) - 1)]) - beta[at]
-        order = np.argsort(at - 0.9 * np.exp(logp), kind="stable")  # by position, likeliest first
-        at, step, piece, logp = at[order], step[order], piece[order], logp[order]
+        p = np.exp(logp)
+        order = np.argsort(at - 0.9 * p, kind="stable")  # by position, likeliest first
+        at, step, piece, logp, p = at[order], step[order], piece[order], logp[order], p[order]
         edges = np.bincount(at, minlength=len(data))
         first = np.cumsum(edges) - edges
-        p = np.exp(logp)
         total = np.cumsum(p)
         cum = total - (total - p)[first[at]]
         cum[(first + edges - 1)[edges > 0]] = 2.0  # the last edge takes what rounding leaves
@@ -251,10 +253,12 @@ class Lattices:
 
     @staticmethod
     def _backward(n, at, step, weight, left, ends) -> np.ndarray:
-        """Log of the summed weight of all paths from each position to the end of its word."""
+        """Log of the summed weight of all paths from each position to the end of its word; ``at`` ascends."""
         beta = np.full(n, -np.inf)
-        order = np.argsort(left[at] * n + at, kind="stable")
-        a, s, w, d = at[order], step[order], weight[order], left[at[order]]
+        reach = left[at]
+        # sizes of two bytes are sorted by radix
+        order = np.argsort(reach.astype(np.uint16) if n < 1 << 16 or reach.max(initial=0) < 1 << 16 else reach, kind="stable")
+        a, s, w, d = at[order], step[order], weight[order], reach[order]
         cuts = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(a) else np.zeros(0, np.int64)
         with np.errstate(divide="ignore", invalid="ignore"):
             for x, y in zip(cuts, np.append(cuts[1:], len(a))):
@@ -359,8 +363,8 @@ class Paths:
 class Search:
     """Emitted paths of one text (its places in :class:`Paths`) and the open sets beside them."""
 
-    def __init__(self, key: int, lattices: Lattices):
-        self.key, self.l = key, lattices
+    def __init__(self, lattices: Lattices):
+        self.l = lattices
         self.paths: list[dict] = []
         self.closed: dict[tuple[int, int], list[int]] = {}
 
@@ -392,8 +396,8 @@ class Search:
                 top = (float(p["bounds"][k]), n, k)
         return top
 
-    def branch(self) -> tuple | None:
-        """Open the best set and draw the piece by which the next path leaves it; close that piece in the set."""
+    def branch(self, u: np.ndarray) -> tuple | None:
+        """Open the best set and draw (by two numbers) the piece by which the next path leaves it; close that piece in the set."""
         value, n, k = self.best()
         if n < 0:
             return None
@@ -407,7 +411,6 @@ class Search:
         lo, hi = int(self.l.first[row]), int(self.l.first[row] + self.l.edges[row])
         free = [e for e in range(lo, hi) if e not in closed]
         mass = np.exp(self.l.logp[free])
-        u = uniforms(np.full(2, self.key, dtype=U64), 10_007 + 2 * len(self.paths) + np.arange(2))
         e = free[min(int(np.searchsorted(np.cumsum(mass), u[0] * mass.sum(), side="right")), len(free) - 1)]
         closed.append(e)
         rest = [f for f in free if f != e]
@@ -443,11 +446,11 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices, k: int)
     u = uniforms(keys, 1)
     paths = Paths(0, keys, lattices, edges, rows, of_word - np.repeat(word0[:-1], n_words)[of_word], step0[word0],
                   np.zeros(len(texts), np.int64), -np.log(-np.log(u)))
-    searches = [Search(int(key), lattices) for key in keys]
+    searches = [Search(lattices) for _ in texts]
     for d, s in enumerate(searches):
         s.add(paths, d)
     for j in range(1, k):
-        branches = [s.branch() for s in searches]
+        branches = [s.branch(x) for s, x in zip(searches, uniforms(keys[:, None], 10_007 + 2 * j + np.arange(2)))]
         r, left, key, sizes = [], [], [], []
         for d, br in enumerate(branches):
             if br is None:

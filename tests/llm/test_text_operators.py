@@ -416,6 +416,19 @@ def test_paths_are_whole_and_distinct(monkeypatch):
                 assert all(p["log_inclusion"] == 0 for p in found)
 
 
+def test_numbers_of_all_texts_are_drawn_together(monkeypatch):
+    calls, real = [], segmentation.uniforms
+    monkeypatch.setattr(segmentation, "uniforms", lambda key, counter: calls.append(1) or real(key, counter))
+    lattices = segmentation.lattices_of(segmentation.DEFAULT_MODEL)
+    drawn = []
+    for n in (20, 200):
+        calls.clear()
+        found = segmentation.sample_texts(["the cat sat on the mat"] * n, np.arange(n, dtype=np.uint64), lattices, 2)
+        assert all(len(f) == 2 for f in found)
+        drawn.append(len(calls))
+    assert drawn[1] < drawn[0] + 100  # no draw a text
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     fresh = segmentation.Lattices(segmentation.Vocabulary(segmentation.DEFAULT_MODEL))
     small = segmentation.Lattices(fresh.v)
