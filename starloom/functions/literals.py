@@ -40,6 +40,12 @@ SUSPECT = r"\\|\b(true|false|null|NaN|Infinity)\b"
 # A flat list of plain whole numbers, which JSON and Python read alike: no further test.
 PLAIN_NUMBERS = r"^\[(?:0|[1-9][0-9]{0,8})(?:, ?(?:0|[1-9][0-9]{0,8}))*+\]\z"
 
+
+def plain_numbers(c: Column) -> Column:
+    """The numbers of a cell that matches :data:`PLAIN_NUMBERS`, as ``array<double>``."""
+    return F.split(F.translate(c, "[ ]", ""), ",").try_cast("array<double>")
+
+
 # Quoted text, and a bracket pair without brackets inside.
 QUOTED, INNERMOST = r"\"[^\"]*\"|'[^']*'", r"\[[^\[\]{}]*\]|\{[^\[\]{}]*\}"
 DEPTH = 4
@@ -215,15 +221,19 @@ def with_literal(df: DataFrame, src: str, out: str, ddl: str,
     same type.  With ``defer`` they stay null and ``out + '_need'`` is true.
     """
     c = F.col(src)
-    js = f"__js_{out}"
-    df = df.withColumn(js, F.from_json(c, ddl, LENIENT))  # a step of its own: read once, tested and taken
+    js, pl = f"__js_{out}", f"__pl_{out}"
+    shape = ddl.replace(" ", "").lower()
+    is_map = shape.startswith("map<")
+    # Steps of their own: read once, tested and taken.  Plain vote lists need no JSON reader.
+    df = df.withColumn(pl, F.coalesce(c.rlike(PLAIN_NUMBERS), F.lit(False)))
+    plain, json_read = F.col(pl), F.from_json(c, ddl, LENIENT)
+    df = df.withColumn(js, F.when(plain, plain_numbers(c)).otherwise(json_read) if shape == "array<double>" else json_read)
     lenient = F.col(js)
-    inexact = c.isNotNull() & (lenient.isNull() | (~c.rlike(PLAIN_NUMBERS) & (c.rlike(SUSPECT) | ~one_value(c))))
-    is_map = ddl.replace(" ", "").lower().startswith("map<")
+    inexact = c.isNotNull() & (lenient.isNull() | (~plain & (c.rlike(SUSPECT) | ~one_value(c))))
     once = _last_value_wins if is_map else (lambda v: v)
     return _parsed(df, out, c, once(lenient), kinds[0], inexact, literal_kind(c),
                    lambda k: F.when(k.isin(*kinds), once(F.from_json(python_json(c), ddl))),
-                   lambda fb: F.when(fb["kind"].isin(*kinds), F.from_json(fb["json"], ddl)), defer).drop(js)
+                   lambda fb: F.when(fb["kind"].isin(*kinds), F.from_json(fb["json"], ddl)), defer).drop(js, pl)
 
 
 def with_category_list(df: DataFrame, src: str, out: str, defer: bool = False) -> DataFrame:

@@ -275,3 +275,22 @@ def test_plain_cells_skip_the_costly_steps(spark):
     assert T._KEPT_WS in plan and N.PLAIN_INT in plan
     plan = L.with_literal(df, "s", "o", "array<double>", ("list",), True)._jdf.queryExecution().analyzed().toString()
     assert L.PLAIN_NUMBERS in plan
+
+
+def test_plain_votes_are_read_without_json(spark):
+    """Plain vote lists give Python's numbers by a split alone; cells beside that shape keep their reading."""
+    import json
+    rnd = random.Random(5)
+    plain = ["[0]", "[0, 0]", "[2,3]", "[999999999, 1,20]", *(str([rnd.randint(0, 10 ** 9 - 1) for _ in range(rnd.randint(1, 4))]) for _ in range(40))]
+    beside = ["[]", "[01, 2]", "[1,  2]", "[1, 2]\n", "[1 2]", "[1, 2,]", "(1, 2)", "[1000000000, 2]", "[-1, 2]", "[1.5, 2]", "[None, 2]", "1, 2", ""]
+    cells = spark.createDataFrame([(c,) for c in plain + beside], "s string")
+    assert [r.v for r in cells.filter(F.col("s").rlike(L.PLAIN_NUMBERS)).select(L.plain_numbers(F.col("s")).alias("v")).collect()] \
+        == [[float(x) for x in ast.literal_eval(c)] for c in plain]
+    votes = L.with_literal(cells, "s", "v", "array<double>", ("list", "tuple"))
+    got = {r.s: (r.v, r.v_kind) for r in votes.collect()}
+    for c in plain + beside:
+        kind, as_json, _ = L.literal_eval_one(c)
+        numbers = [None if x is None else float(x) for x in json.loads(as_json)] if kind in ("list", "tuple") else None
+        assert got[c] == (numbers, kind), c
+    plan = votes.select("v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan
