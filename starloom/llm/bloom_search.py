@@ -29,11 +29,13 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import U64, batch, mix64, prepare, written
@@ -52,6 +54,10 @@ TERM_CHUNK = 2048
 SEEDS = 4                     # documents of a block scored for the floor, an item
 SLACK = 1.0 + 1e-9            # bounds are summed in doubles
 PIECE = 1 << 20
+BATCH_BYTES = 1 << 22         # texts or index rows that reach a task's Python at once
+READ_ROWS = 8                 # index rows decoded at once, a few MB each
+SCORE_SLOTS = 64              # documents scored at once
+HASHES_KEPT = 100_000
 
 # Terms are runs of ASCII letters and digits and of all characters beyond ASCII.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -81,11 +87,27 @@ def term_counts(text: str | None) -> Counter:
     return counts
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int | None = None):
+    """Jobs run within hand Python ``BATCH_BYTES`` at a time; with ``rows``, Parquet is decoded by so many rows."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    if rows is not None:
+        wanted["spark.sql.parquet.columnarReaderBatchSize"] = str(rows)
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 class _Hashes(dict):
     """64-bit term hashes, remembered up to a bound."""
 
     def __missing__(self, term: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= HASHES_KEPT:
             self.clear()
         value = self[term] = xxhash.xxh64_intdigest(term)
         return value
@@ -98,25 +120,40 @@ def positions(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
     return ((first[:, None] + step[:, None] * np.arange(HASHES, dtype=U64)[None, :]) % U64(width)).astype(np.int64)
 
 
+class Packed(NamedTuple):
+    """A document's term counts in a tenth of a Counter's memory."""
+
+    terms: bytes
+    tfs: np.ndarray
+
+    @classmethod
+    def of(cls, counts: Counter) -> Packed:
+        return cls(b" ".join(counts), np.fromiter(counts.values(), dtype=np.uint32, count=len(counts)))
+
+    def entries(self) -> int:
+        """Terms at each level that they reach: the bits to set, over ``HASHES``."""
+        return sum(int((self.tfs >= level).sum()) for level in LEVELS)
+
+
 def _block(docs: list, hashes: _Hashes) -> pa.RecordBatch:
-    """An index row of documents ``(entries, id, counts)``, the largest first."""
+    """An index row of documents ``(entries, id, counts)``, the largest first; counts may be packed."""
     width = min(max(docs[0][0] * BITS_PER_TERM, 64), MAX_WIDTH)
-    bits = np.zeros((width, -(-len(docs) // 8) * 8), dtype=bool)
+    bits = np.zeros((width, -(-len(docs) // 8)), dtype=np.uint8)
     out = {"ids": [], "n": [], "top": [], "terms": [], "tfs": []}
     for slot, (_, doc_id, counts) in enumerate(docs):
-        tfs = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
-        h = np.fromiter((hashes[t] for t in counts), dtype=U64, count=len(counts))
+        terms, tfs = counts if isinstance(counts, Packed) else Packed.of(counts)
+        h = np.fromiter((hashes[t] for t in terms.split(b" ")), dtype=U64, count=len(tfs))
         for level in LEVELS:
-            held = h if level == 1 else h[tfs >= level]
+            held = h[tfs >= level]
             if not len(held):
                 break
-            bits[positions(held, level, width).reshape(-1), slot] = True
+            bits[positions(held, level, width).reshape(-1), slot >> 3] |= np.uint8(128 >> (slot & 7))
         out["ids"].append(doc_id)
-        out["n"].append(int(tfs.sum()))
+        out["n"].append(int(tfs.sum(dtype=np.int64)))
         out["top"].append(int(tfs.max()))
-        out["terms"].append(b" ".join(counts))
-        out["tfs"].append(tfs.astype(np.uint32).tobytes())
-    return batch(INDEX, {**{k: [v] for k, v in out.items()}, "width": [width], "bits": [np.packbits(bits, axis=1).tobytes()]})
+        out["terms"].append(terms)
+        out["tfs"].append(tfs.tobytes())
+    return batch(INDEX, {**{k: [v] for k, v in out.items()}, "width": [width], "bits": [bits.tobytes()]})
 
 
 def _blocks(pending: list, hashes: _Hashes) -> Iterator[pa.RecordBatch]:
@@ -137,13 +174,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 counts = term_counts(text.as_py())
                 if not counts:
                     continue
-                entries = len(counts)
-                for level in LEVELS[1:]:
-                    more = sum(tf >= level for tf in counts.values())
-                    entries += more
-                    if not more:
-                        break
-                pending.append((entries, doc_id.as_py(), counts))
+                packed = Packed.of(counts)
+                pending.append((packed.entries(), doc_id.as_py(), packed))
                 size += len(counts)
                 if len(pending) >= BUFFER_DOCS or size >= BUFFER_TERMS:
                     yield from _blocks(pending, hashes)
@@ -225,6 +257,12 @@ class Block:
 
     def scores(self, slots: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Items by the given documents: exact scores from the documents' counts."""
+        out = np.zeros((times.shape[0], len(slots)), dtype=np.int64)
+        for start in range(0, len(slots), SCORE_SLOTS):
+            out[:, start:start + SCORE_SLOTS] = self._scores(slots[start:start + SCORE_SLOTS], times)
+        return out
+
+    def _scores(self, slots: np.ndarray, times: np.ndarray) -> np.ndarray:
         place = self.items.place
         rows, cols, tfs = [], [], []
         for at, slot in enumerate(slots):
@@ -338,16 +376,18 @@ def search(items: DataFrame, docs: DataFrame, k: int = 20, item_id: str = "item_
     """
     spark = docs.sparkSession
     prepare(spark)
-    index = written(build_index(docs, id_col, text_col), "bloom-index")
+    with _small_batches(spark):
+        index = written(build_index(docs, id_col, text_col), "bloom-index")
     size = index.agg(F.sum(F.size("ids").cast("long")).alias("docs"),
                      F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)).alias("terms")).first()
     result = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     if not size.docs:
         return result
     for block in _item_blocks(items, item_id, item_text):
-        block.weigh(document_frequencies(index, block.terms), int(size.docs), int(size.terms))
-        block.floors = floors(index, block, k)
-        found = written(rescored(index, block, k), "bloom-found")
+        with _small_batches(spark, READ_ROWS):
+            block.weigh(document_frequencies(index, block.terms), int(size.docs), int(size.terms))
+            block.floors = floors(index, block, k)
+            found = written(rescored(index, block, k), "bloom-found")
         if tally is not None:
             tally.append(tuple(found.where("item IS NULL").agg(F.sum("score"), F.sum("doc_id")).first()))
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

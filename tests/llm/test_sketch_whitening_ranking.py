@@ -4,10 +4,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import bloom_search, queries, sketch, whitening
 
@@ -241,6 +244,36 @@ def test_bounds_are_never_below_scores():
         assert (bounds >= scores).all() and (bounds > scores).any()
 
 
+def test_a_block_of_documents_needs_little_memory():
+    rnd = random.Random(4)
+    words = [f"w{i}".encode() for i in range(8192)]
+    docs = [(len(c), i, c) for i, c in enumerate(Counter(words if i == 0 else rnd.sample(words, 2000)) for i in range(512))]
+    items = bloom_search.Items([(i, Counter(words[i::8])) for i in range(8)])
+    items.weigh({w: 1 for w in words}, len(docs), sum(n for n, _, _ in docs))
+    times, hashes = items.times(), bloom_search._Hashes()
+    for word in words:
+        hashes[word]
+    tracemalloc.start()
+    record = next(bloom_search._blocks(list(docs), hashes))
+    built = tracemalloc.get_traced_memory()[1]
+    opened = bloom_search.Block(record, 0, items)
+    tracemalloc.reset_peak()
+    opened.scores(np.arange(len(opened)), times)
+    scored = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert opened.width * len(opened) == bloom_search.BLOCK_BITS and built < 55e6 and scored < 60e6
+
+
+def test_index_rows_reach_python_a_few_at_a_time(spark):
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(n) for n in names]
+    with bloom_search._small_batches(spark, bloom_search.READ_ROWS):
+        rows = spark.range(0, 400, 1, 1).select(F.col("id"), F.expr("repeat('x', 100000)").alias("t"))
+        most = rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").agg(F.max("n")).first()[0]
+    assert most <= 50
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_terms_do_not_break_at_pieces(monkeypatch):
     text = "alpha Beta, gamma" + "日" * 50 + " delta9 " + "e" * 70 + "-zeta"
     want = {t.encode(): n for t, n in terms(text).items()}
