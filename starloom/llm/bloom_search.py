@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -39,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import U64, batch, mix64, prepare, written
+from starloom.session import settings
 
 HASHES = 4
 BITS_PER_TERM = 8
@@ -87,20 +87,12 @@ def term_counts(text: str | None) -> Counter:
     return counts
 
 
-@contextmanager
 def _small_batches(spark: SparkSession, rows: int | None = None):
     """Jobs run within hand Python ``BATCH_BYTES`` at a time; with ``rows``, Parquet is decoded by so many rows."""
     wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
     if rows is not None:
         wanted["spark.sql.parquet.columnarReaderBatchSize"] = str(rows)
-    before = {name: spark.conf.get(name) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+    return settings(spark, wanted)
 
 
 class _Hashes(dict):
