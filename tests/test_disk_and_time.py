@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import key_index as Ki
 from starloom.operators import stage as St
+from starloom.plans import catalog
 from starloom.plans import pipeline as P
 from starloom.plans import standin as S
 from starloom.session import finished_shuffles_removed, settings
@@ -103,3 +104,14 @@ def test_rows_meet_the_taken_keys_without_their_digest(spark, monkeypatch):
         Ki.dedupe_across(rows, ["k"], rows.select("k", Ki.row_digest(rows.columns).alias(Ki.DIGEST)))
     above = plans[0].split("Join")[0]
     assert "sha2" in above  # taken after the join
+
+
+def test_three_cumulative_batches_read_one_stored_copy(spark, tables, monkeypatch):
+    before, made, copied = shuffle_files(spark), [], []
+    raw, materialize = S.raw_reviews, catalog.materialize
+    monkeypatch.setattr(S, "raw_reviews", lambda *a: made.append(raw(*a)) or made[-1])
+    monkeypatch.setattr(catalog, "materialize", lambda df: copied.append(df) or materialize(df))
+    reviews, rejects, edges = catalog.cumulative_stage2(spark, tables)
+    assert any(df is made[-1] for df in copied)
+    assert not left_over(spark, before)
+    assert {r.batch for r in reviews.select("batch").distinct().collect()} == {1, 2} and rejects.count() > 0 and edges.count() > 0
