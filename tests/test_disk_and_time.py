@@ -115,3 +115,15 @@ def test_three_cumulative_batches_read_one_stored_copy(spark, tables, monkeypatc
     assert any(df is made[-1] for df in copied)
     assert not left_over(spark, before)
     assert {r.batch for r in reviews.select("batch").distinct().collect()} == {1, 2} and rejects.count() > 0 and edges.count() > 0
+
+
+@pytest.mark.parametrize("query, folders", [(catalog.stream_ingest, ["drop"]), (catalog.stream_by_name, ["drop2"])])
+def test_texts_on_disk_are_compressed(spark, tables, tmp_path, monkeypatch, query, folders):
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, name: f"{tmp_path}/{name}")
+    before = shuffle_files(spark)
+    got = query(spark, tables)
+    assert not left_over(spark, before)
+    assert got.count() == 600
+    for folder in folders:
+        files = names(f"{tmp_path}/{folder}")
+        assert files and all(f.endswith(".gz") for f in files)
