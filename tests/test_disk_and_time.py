@@ -117,7 +117,7 @@ def test_three_cumulative_batches_read_one_stored_copy(spark, tables, monkeypatc
     assert {r.batch for r in reviews.select("batch").distinct().collect()} == {1, 2} and rejects.count() > 0 and edges.count() > 0
 
 
-@pytest.mark.parametrize("query, folders", [(catalog.stream_ingest, ["drop"]), (catalog.stream_by_name, ["drop2"])])
+@pytest.mark.parametrize("query, folders", [(catalog.stream_ingest, ["drop"]), (catalog.stream_by_name, ["drop2"]), (catalog.s11, ["s11_csv", "s11_json"])])
 def test_texts_on_disk_are_compressed(spark, tables, tmp_path, monkeypatch, query, folders):
     monkeypatch.setattr(catalog, "_scratch", lambda spark, name: f"{tmp_path}/{name}")
     before = shuffle_files(spark)
